@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepath.functions import reference_data as ref
-from tradepath.functions.temporal import plus
 
 MONEY = "decimal(10,2)"
 
@@ -46,8 +45,9 @@ STATE_CODES = list(ref.STATE_NAMES)
 CATEGORY_NAMES = [c for c in ref.CATEGORY_ENGLISH if c != "unknown"]
 
 
-def _pick(values: list[str], index):
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list[str], index: str):
+    names = ", ".join(f"'{v}'" for v in values)
+    return F.expr(f"element_at(array({names}), CAST({index} + 1 AS INT))")
 
 
 def _zip(number):
@@ -66,93 +66,79 @@ class Marketplace:
 
     @cached_property
     def orders(self) -> DataFrame:
-        k, status, purchase = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderdate")
-        corrupt = k % 1009 == 0
-        canceled = k % 37 == 0
-        return self.raw("orders").select(
-            k.alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.when(canceled, "canceled")
-            .when(status == "F", "delivered")
-            .when(status == "O", "shipped")
-            .otherwise("processing")
-            .alias("order_status"),
-            purchase.alias("order_purchase_timestamp"),
-            F.when(~((k % 97 == 0) | corrupt), plus(purchase, hours=k % 48))
-            .alias("order_approved_at"),
-            F.when(
-                ~((status == "P") | (k % 89 == 0) | corrupt),
-                plus(purchase, days=k % 9 - 1, hours=k % 7),
-            ).alias("order_delivered_carrier_date"),
-            F.when(
-                (status == "F") & ~canceled & (k % 103 != 0) & ~corrupt,
-                plus(purchase, days=(k * 37) % 40, hours=k % 24),
-            ).alias("order_delivered_customer_date"),
-            plus(purchase, days=k % 24 + 7).alias("order_estimated_delivery_date"),
+        """Every 37th order is canceled; some milestones are missing or out of order."""
+        return self.raw("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            """CASE WHEN o_orderkey % 37 = 0 THEN 'canceled' WHEN o_orderstatus = 'F'
+               THEN 'delivered' WHEN o_orderstatus = 'O' THEN 'shipped'
+               ELSE 'processing' END AS order_status""",
+            "o_orderdate AS order_purchase_timestamp",
+            """CASE WHEN o_orderkey % 97 <> 0 AND o_orderkey % 1009 <> 0
+               THEN o_orderdate + make_dt_interval(0, CAST(o_orderkey % 48 AS INT)) END
+               AS order_approved_at""",
+            """CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 89 <> 0 AND o_orderkey % 1009 <> 0
+               THEN o_orderdate + make_dt_interval(
+                 CAST(o_orderkey % 9 - 1 AS INT), CAST(o_orderkey % 7 AS INT)) END
+               AS order_delivered_carrier_date""",
+            """CASE WHEN o_orderstatus = 'F' AND o_orderkey % 37 <> 0 AND o_orderkey % 103 <> 0
+               AND o_orderkey % 1009 <> 0 THEN o_orderdate + make_dt_interval(
+                 CAST(o_orderkey * 37 % 40 AS INT), CAST(o_orderkey % 24 AS INT)) END
+               AS order_delivered_customer_date""",
+            """o_orderdate + make_dt_interval(CAST(o_orderkey % 24 + 7 AS INT))
+               AS order_estimated_delivery_date""",
         )
 
     @cached_property
     def items(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast(MONEY)
-        gift = (F.col("l_orderkey") + F.col("l_partkey")) % 997 == 0
-        return self.raw("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("order_item_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_suppkey").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            F.when(gift, F.lit(0)).otherwise(price).cast(MONEY).alias("price"),
-            F.round(price * F.col("l_tax").cast("decimal(4,2)"), 2).cast(MONEY)
-            .alias("freight_value"),
+        return self.raw("lineitem").selectExpr(
+            "l_orderkey AS order_id",
+            "l_linenumber AS order_item_id",
+            "l_partkey AS product_id",
+            "l_suppkey AS seller_id",
+            "l_shipdate AS shipping_limit_date",
+            f"""CAST(CASE WHEN (l_orderkey + l_partkey) % 997 = 0 THEN 0
+                ELSE CAST(l_extendedprice AS {MONEY}) END AS {MONEY}) AS price""",
+            f"""CAST(round(CAST(l_extendedprice AS {MONEY}) * CAST(l_tax AS DECIMAL(4,2)), 2)
+                AS {MONEY}) AS freight_value""",
         )
 
     @cached_property
     def payments(self) -> DataFrame:
         """One payment per order plus a voucher on every 23rd; every 211th order has none."""
-        k = F.col("o_orderkey")
-        total = F.col("o_totalprice").cast(MONEY)
-        kind = F.create_map(*[F.lit(x) for kv in PRIORITY_PAYMENT.items() for x in kv])
-        first = F.struct(
-            F.lit(1).alias("payment_sequential"),
-            kind[F.col("o_orderpriority")].alias("payment_type"),
-            (k % 10 + 1).cast("int").alias("payment_installments"),
-            total.alias("payment_value"),
+        kinds = ", ".join(f"'{k}', '{v}'" for k, v in PRIORITY_PAYMENT.items())
+        payment = """struct({n} AS payment_sequential, {kind} AS payment_type,
+            CAST({months} AS INT) AS payment_installments,
+            CAST({value} AS DECIMAL(10,2)) AS payment_value)"""
+        first = payment.format(
+            n=1, kind=f"map({kinds})[o_orderpriority]", months="o_orderkey % 10 + 1",
+            value="o_totalprice",
         )
-        second = F.struct(
-            F.lit(2).alias("payment_sequential"),
-            F.lit("voucher").alias("payment_type"),
-            F.lit(1).alias("payment_installments"),
-            F.round(total * F.lit("0.10").cast("decimal(3,2)"), 2).cast(MONEY)
-            .alias("payment_value"),
+        second = payment.format(
+            n=2, kind="'voucher'", months=1,
+            value=f"round(CAST(o_totalprice AS {MONEY}) * 0.10BD, 2)",
         )
-        rows = F.when(k % 23 == 0, F.array(first, second)).otherwise(F.array(first))
-        return (
-            self.raw("orders").where(k % 211 != 0)
-            .select(k.alias("order_id"), F.explode(rows).alias("p"))
-            .select("order_id", "p.*")
+        return self.raw("orders").where("o_orderkey % 211 <> 0").selectExpr(
+            "o_orderkey AS order_id",
+            f"""inline(CASE WHEN o_orderkey % 23 = 0 THEN array({first}, {second})
+                ELSE array({first}) END)
+                AS (payment_sequential, payment_type, payment_installments, payment_value)""",
         )
 
     @cached_property
     def reviews(self) -> DataFrame:
         """One review per order but for every 11th; every 101st order has two."""
-        k = F.col("o_orderkey")
-        wait = F.col("o_orderkey") * 37 % 40 + k % 5 - 1
-        first = F.struct(
-            (k * 2).alias("review_id"),
-            (k * 7 % 5 + 1).cast("int").alias("review_score"),
-            plus(F.col("o_orderdate"), days=wait, hours=k % 13).alias("review_creation_date"),
-        )
-        second = F.struct(
-            (k * 2 + 1).alias("review_id"),
-            (k % 5 + 1).cast("int").alias("review_score"),
-            plus(F.col("o_orderdate"), days=wait + 2, hours=k % 13).alias("review_creation_date"),
-        )
-        rows = F.when(k % 101 == 0, F.array(first, second)).otherwise(F.array(first))
-        return (
-            self.raw("orders").where(k % 11 != 0)
-            .select(k.alias("order_id"), F.explode(rows).alias("r"))
-            .select("r.review_id", "order_id", "r.review_score", "r.review_creation_date")
-        )
+        review = """struct({id} AS review_id, CAST({score} AS INT) AS review_score,
+            o_orderdate + make_dt_interval(
+              CAST(o_orderkey * 37 % 40 + o_orderkey % 5 + {shift} AS INT),
+              CAST(o_orderkey % 13 AS INT)) AS review_creation_date)"""
+        first = review.format(id="o_orderkey * 2", score="o_orderkey * 7 % 5 + 1", shift=-1)
+        second = review.format(id="o_orderkey * 2 + 1", score="o_orderkey % 5 + 1", shift=1)
+        return self.raw("orders").where("o_orderkey % 11 <> 0").selectExpr(
+            "o_orderkey AS order_id",
+            f"""inline(CASE WHEN o_orderkey % 101 = 0 THEN array({first}, {second})
+                ELSE array({first}) END) AS (review_id, review_score, review_creation_date)""",
+        ).select("review_id", "order_id", "review_score", "review_creation_date")
 
     @cached_property
     def reviews_with_text(self) -> DataFrame:
@@ -174,7 +160,7 @@ class Marketplace:
         return self.raw("nation").select(
             "n_nationkey",
             F.lower("n_name").alias("city"),
-            _pick(STATE_CODES, F.col("n_nationkey")).alias("state"),
+            _pick(STATE_CODES, "n_nationkey").alias("state"),
         )
 
     @cached_property
@@ -201,12 +187,11 @@ class Marketplace:
     @cached_property
     def products(self) -> DataFrame:
         k, size = F.col("p_partkey"), F.col("p_size")
-        brand = F.regexp_extract("p_brand", r"(\d+)$", 1).cast("int")
         known = k % 61 != 0
         measured = k % 47 != 0
         return self.raw("part").select(
             k.alias("product_id"),
-            F.when(known, _pick(CATEGORY_NAMES, brand)).alias("product_category_name"),
+            F.when(known, _pick(CATEGORY_NAMES, r"CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS INT)")).alias("product_category_name"),
             F.when(known, F.length("p_name")).alias("product_name_lenght"),
             F.when(known, size * 20 + k % 50).cast("int").alias("product_description_lenght"),
             F.when(known, k % 6 + 1).cast("int").alias("product_photos_qty"),
@@ -227,7 +212,7 @@ class Marketplace:
             .alias("geolocation_lat"),
             ((m % 40 * 100 - 7000 + m % 11) / F.lit(100.0)).alias("geolocation_lng"),
             F.concat(F.lit("nation_"), (m % 25).cast("string")).alias("geolocation_city"),
-            _pick(STATE_CODES, m % 25).alias("geolocation_state"),
+            _pick(STATE_CODES, "c_custkey % 700 % 25").alias("geolocation_state"),
         )
 
     @cached_property

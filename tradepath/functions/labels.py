@@ -9,8 +9,8 @@ from tradepath.functions.temporal import _col, seconds_between
 
 def literal_map(values: dict, key) -> Column:
     """Constant lookup folded into the expression; null for a key outside the map."""
-    pairs = [F.lit(x) for kv in values.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), _col(key))
+    pairs = ", ".join(f"'{k}', '{v}'" for k, v in values.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), _col(key))
 
 
 def delivery_status(delay_days) -> Column:

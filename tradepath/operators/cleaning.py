@@ -9,26 +9,33 @@ from tradepath.operators.profile import melt
 from tradepath.operators.quantiles import distribution, medians
 
 
-def fill_with_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def fill_with_medians(
+    df: DataFrame, columns: Sequence[str], copies: str | None = None
+) -> DataFrame:
     """Nulls replaced by the column's median, all medians from one pass."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    per_column = distribution(melt(numbers, columns), "value", ["column"], {"m": 0.5})
+    keep = [copies] if copies else []
+    numbers = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    cells = melt(numbers, columns, keep=keep)
+    per_column = distribution(cells, "value", ["column"], {"m": 0.5}, copies)
     found = per_column.agg(F.map_from_entries(F.collect_list(F.struct("column", "m")))).scalar()
     return df.withColumns({
         c: F.coalesce(F.col(c).cast("double"), F.try_element_at(found, F.lit(c))) for c in columns
     })
 
 
-def fill_with_group_median(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
+def fill_with_group_median(
+    df: DataFrame, columns: Sequence[str], group: str, copies: str | None = None
+) -> DataFrame:
     """Nulls replaced by the median of the row's group; a group without values stays null.
 
     The medians are one row per group and come from a histogram, so a group that
     holds much of the table costs no more than its distinct values.
     """
-    numbers = df.select(group, *[F.col(c).cast("double").alias(c) for c in columns])
-    cells = melt(numbers, columns, keep=[group])
+    keep = [group, copies] if copies else [group]
+    numbers = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    cells = melt(numbers, columns, keep=keep)
     wide = (
-        distribution(cells, "value", [group, "column"], {"m": 0.5})
+        distribution(cells, "value", [group, "column"], {"m": 0.5}, copies)
         .groupBy(group)
         .agg(*[F.max(F.when(F.col("column") == c, F.col("m"))).alias(f"_m_{c}") for c in columns])
     )

@@ -49,13 +49,24 @@ def add_chi_square_p(df: DataFrame, statistic: str, dof: str, name: str = "p_val
     return df.withColumn(name, tail(F.col(statistic), F.col(dof)))
 
 
-def two_proportions(df: DataFrame, success: Column, treated: Column) -> DataFrame:
+def _rows_where(condition: str, weight: str = "w") -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN {weight} END), 0L)"
+
+
+def _weight(copies: str | None) -> Column:
+    return (F.col(copies) if copies else F.lit(1)).cast("long").alias("w")
+
+
+def two_proportions(
+    df: DataFrame, success: Column, treated: Column, copies: str | None = None
+) -> DataFrame:
     """z of success share in treated rows against the others, pooled variance."""
-    counts = df.select(success.alias("s"), treated.alias("t")).agg(
-        F.count_if(F.col("s") & F.col("t")).alias("success_treated"),
-        F.count_if(F.col("t")).alias("n_treated"),
-        F.count_if(F.col("s") & ~F.col("t")).alias("success_other"),
-        F.count_if(~F.col("t")).alias("n_other"),
+    flags = df.select(success.alias("s"), treated.alias("t"), _weight(copies))
+    counts = flags.selectExpr(
+        f"{_rows_where('s AND t')} AS success_treated",
+        f"{_rows_where('t')} AS n_treated",
+        f"{_rows_where('s AND NOT t')} AS success_other",
+        f"{_rows_where('NOT t')} AS n_other",
     )
     s1, n1, s2, n2 = (F.col(c) for c in counts.columns)
     pooled = (s1 + s2) / (n1 + n2)
@@ -66,15 +77,16 @@ def two_proportions(df: DataFrame, success: Column, treated: Column) -> DataFram
     return counts.withColumn("z", z)
 
 
-def chi_square_2x2(df: DataFrame, outcome: Column, exposed: Column) -> DataFrame:
+def chi_square_2x2(
+    df: DataFrame, outcome: Column, exposed: Column, copies: str | None = None
+) -> DataFrame:
     """Chi-square without continuity correction, and the risk ratio of the exposed."""
-    counts = df.select(outcome.alias("o"), exposed.alias("e")).agg(
-        *[
-            F.count_if((F.col("e") == F.lit(e)) & (F.col("o") == F.lit(o))).cast("double")
-            .alias(name)
-            for name, e, o in [("a", True, True), ("b", True, False),
-                               ("c", False, True), ("d", False, False)]
-        ]
+    flags = df.select(outcome.alias("o"), exposed.alias("e"), _weight(copies))
+    counts = flags.selectExpr(
+        f"CAST({_rows_where('e AND o')} AS DOUBLE) AS a",
+        f"CAST({_rows_where('e AND NOT o')} AS DOUBLE) AS b",
+        f"CAST({_rows_where('NOT e AND o')} AS DOUBLE) AS c",
+        f"CAST({_rows_where('NOT e AND NOT o')} AS DOUBLE) AS d",
     )
     a, b, c, d = (F.col(x) for x in "abcd")
     n = a + b + c + d
@@ -87,9 +99,9 @@ def chi_square_2x2(df: DataFrame, outcome: Column, exposed: Column) -> DataFrame
     )
 
 
-def rank_sums(df: DataFrame, value, group: str) -> DataFrame:
+def rank_sums(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
     """Per group: rows, rank sum; on every row the total count and the tie term."""
-    ranks = average_ranks(df, value, group)
+    ranks = average_ranks(df, value, group, copies)
     cube = F.col("n").cast("double")
     ties = (
         ranks.agg(F.sum(cube * cube * cube - cube)).scalar()
@@ -106,10 +118,12 @@ def rank_sums(df: DataFrame, value, group: str) -> DataFrame:
     )
 
 
-def mann_whitney(df: DataFrame, value, group: str, first: str, second: str) -> DataFrame:
+def mann_whitney(
+    df: DataFrame, value, group: str, first: str, second: str, copies: str | None = None
+) -> DataFrame:
     """U of the first group, and z with tie and continuity correction."""
     two = df.where(F.col(group).isin(first, second))
-    one = rank_sums(two, value, group).agg(
+    one = rank_sums(two, value, group, copies).agg(
         F.max(F.when(F.col("group") == first, F.col("rank_sum"))).alias("r1"),
         F.max(F.when(F.col("group") == first, F.col("n"))).cast("double").alias("n1"),
         F.max(F.when(F.col("group") == second, F.col("n"))).cast("double").alias("n2"),
@@ -126,9 +140,9 @@ def mann_whitney(df: DataFrame, value, group: str, first: str, second: str) -> D
     )
 
 
-def kruskal_wallis(df: DataFrame, value, group: str) -> DataFrame:
+def kruskal_wallis(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
     """H over all groups with tie correction, and its degrees of freedom."""
-    one = rank_sums(df, value, group).agg(
+    one = rank_sums(df, value, group, copies).agg(
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("q"),
         F.count(F.lit(1)).alias("k"),
         F.max("total").cast("double").alias("n"),
@@ -144,12 +158,12 @@ def kruskal_wallis(df: DataFrame, value, group: str) -> DataFrame:
     )
 
 
-def dunn(df: DataFrame, value, group: str) -> DataFrame:
+def dunn(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
     """z of the mean rank difference for each pair of groups, and the number of pairs.
 
     Pairs are formed from one array with an entry per group, not by joining rows.
     """
-    groups = rank_sums(df, value, group).agg(
+    groups = rank_sums(df, value, group, copies).agg(
         F.array_sort(F.collect_list(
             F.struct("group", (F.col("rank_sum") / F.col("n")).alias("mean_rank"), "n")
         )).alias("g"),
@@ -177,16 +191,19 @@ def dunn(df: DataFrame, value, group: str) -> DataFrame:
     )
 
 
-def dunn_bonferroni(df: DataFrame, value, group: str) -> DataFrame:
+def dunn_bonferroni(df: DataFrame, value, group: str, copies: str | None = None):
     """Dunn pairs with two-sided probabilities, multiplied by the number of pairs."""
-    out = add_normal_p(dunn(df, value, group), "z", 2, "p_raw")
+    out = add_normal_p(dunn(df, value, group, copies), "z", 2, "p_raw")
     return out.withColumn("p_value", F.least(F.col("p_raw") * F.col("n_pairs"), F.lit(1.0)))
 
 
-def log_histogram(df: DataFrame, value: str, group: str, bins: int, low: float, high: float):
+def log_histogram(
+    df: DataFrame, value: str, group: str, bins: int, low: float, high: float,
+    copies: str | None = None,
+) -> DataFrame:
     """Rows per group and equal-width bin of log1p(value); outer bins are 0 and bins + 1."""
     x = F.log1p(F.col(value).cast("double"))
     kept = df.where(F.col(value).isNotNull() & F.col(group).isNotNull())
     return kept.groupBy(
         group, F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins)).alias("bin")
-    ).agg(F.count(F.lit(1)).alias("n"))
+    ).agg((F.sum(copies) if copies else F.count(F.lit(1))).alias("n"))

@@ -22,10 +22,8 @@ def shape(df: DataFrame) -> DataFrame:
 
 def melt(df: DataFrame, columns: Sequence[str], name="column", value="value", keep=()):
     """One row per (row, column). All columns must share a type."""
-    cells = F.array(*[
-        F.struct(F.lit(c).alias(name), F.col(c).alias(value)) for c in columns
-    ])
-    return df.select(*keep, F.explode(cells).alias("_cell")).select(*keep, "_cell.*")
+    cells = ", ".join(f"'{c}', `{c}`" for c in columns)
+    return df.selectExpr(*keep, f"stack({len(columns)}, {cells}) AS (`{name}`, `{value}`)")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -87,13 +85,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], share: str | None = None) -> DataFrame:
-    """Rows per value, nulls left out; `share` adds each value's part of the total."""
-    kept = df
-    for c in columns:
-        kept = kept.where(F.col(c).isNotNull())
-    counts = kept.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+def value_counts(
+    df: DataFrame, columns: Sequence[str], share: str | None = None, copies: str | None = None
+) -> DataFrame:
+    """Rows per value, nulls left out; `share` adds each value's part of the total.
+
+    The total is a sum over the counts, whose exchange Spark reuses.
+    """
+    kept = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
+    weight = F.sum(copies) if copies else F.count(F.lit(1))
+    counts = kept.groupBy(*columns).agg(weight.alias("n"))
     if share is None:
         return counts
-    total = kept.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return counts.withColumn(share, F.col("n") / total)
+    return counts.withColumn(share, F.col("n") / counts.agg(F.sum("n")).scalar())

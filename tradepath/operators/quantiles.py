@@ -23,37 +23,45 @@ RESOLUTION = 10_000
 
 
 def _bucket(value):
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * RESOLUTION)
+    # never null: a null filter pushed into one use of the histogram would stop its reuse
+    return F.coalesce(
+        F.floor(F.signum(value) * F.log1p(F.abs(value)) * RESOLUTION), F.lit(0).cast("long")
+    )
+
 
+def histogram(
+    df: DataFrame, value, by: Sequence[str] = (), copies: str | None = None
+) -> DataFrame:
+    """Rows per (group, value) as columns by + v, n; null values and groups are left out.
 
-def histogram(df: DataFrame, value, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per (group, value) as columns by + v, n; null values and groups are left out."""
+    `copies` names a column with the number of rows that each row stands for.
+    """
     v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    out = df.select(*by, v.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    for key in by:
-        out = out.where(F.col(key).isNotNull())
-    return out.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    weight = F.col(copies) if copies else F.lit(1)
+    kept = " AND ".join(["v IS NOT NULL", "NOT isnan(v)", *[f"`{k}` IS NOT NULL" for k in by]])
+    out = df.select(*by, v.alias("v"), weight.cast("long").alias("_w")).where(kept)
+    return out.groupBy(*by, "v").agg(F.sum("_w").alias("n"))
 
 
 def _bucket_totals(hist: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per bucket: rows, rows before it in its group, and the group's moments."""
-    v, n = F.col("v"), F.col("n")
-    totals = hist.groupBy(*by, _bucket(v).alias("_b")).agg(
-        F.sum(n).alias("_rows"),
-        F.sum(n * v).alias("_sum"),
-        F.sum(n * v * v).alias("_squares"),
-        F.min(v).alias("_min"),
-        F.max(v).alias("_max"),
+    totals = hist.groupBy(*by, _bucket(F.col("v")).alias("_b")).agg(
+        F.expr("sum(n) AS _rows"),
+        F.expr("sum(n * v) AS _sum"),
+        F.expr("sum(n * v * v) AS _squares"),
+        F.expr("min(v) AS _min"),
+        F.expr("max(v) AS _max"),
     )
-    group = Window.partitionBy(*by)
-    earlier = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        totals.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-        .withColumn("_total", F.sum("_rows").over(group))
-        .withColumn("_sum", F.sum("_sum").over(group))
-        .withColumn("_squares", F.sum("_squares").over(group))
-        .withColumn("_min", F.min("_min").over(group))
-        .withColumn("_max", F.max("_max").over(group))
+    group = f"PARTITION BY {', '.join(by)}" if by else ""
+    earlier = f"{group} ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    return totals.selectExpr(
+        *by, "_b", "_rows",
+        f"coalesce(sum(_rows) OVER ({earlier}), 0L) AS _before",
+        f"sum(_rows) OVER ({group}) AS _total",
+        f"sum(_sum) OVER ({group}) AS _sum",
+        f"sum(_squares) OVER ({group}) AS _squares",
+        f"min(_min) OVER ({group}) AS _min",
+        f"max(_max) OVER ({group}) AS _max",
     )
 
 
@@ -64,7 +72,11 @@ def _open_bucket(by: Sequence[str]):
 
 
 def distribution(
-    df: DataFrame, value, by: Sequence[str] = (), probs: Mapping[str, float] | None = None
+    df: DataFrame,
+    value,
+    by: Sequence[str] = (),
+    probs: Mapping[str, float] | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """Per group: count, mean, std (sample), min, max and linearly interpolated quantiles.
 
@@ -72,27 +84,22 @@ def distribution(
     """
     probs = dict(probs or {})
     by = list(by)
-    hist = histogram(df, value, by)
+    hist = histogram(df, value, by, copies)
     buckets = _bucket_totals(hist, by)
 
     wanted = []
     for i, p in enumerate(probs.values()):
-        position = (F.col("_total") - 1) * F.lit(float(p))
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+        position = f"((_total - 1) * {float(p)!r}D)"
+        for side, rank in (("lo", f"floor({position})"), ("hi", f"ceil({position})")):
             wanted.append(
-                F.struct(
-                    F.lit(f"{i}{side}").alias("slot"),
-                    (rank - F.col("_before")).alias("rank"),
-                    (position - F.floor(position)).alias("fraction"),
-                )
+                f"struct('{i}{side}' AS slot, {rank} - _before AS rank, "
+                f"{position} - floor({position}) AS fraction)"
             )
     if wanted:
-        buckets = buckets.withColumn(
-            "_wanted",
-            F.filter(F.array(*wanted), lambda w: (w["rank"] >= 0) & (w["rank"] < F.col("_rows"))),
-        ).where(F.size("_wanted") > 0)
+        inside = f"filter(array({', '.join(wanted)}), w -> w.rank >= 0 AND w.rank < _rows)"
+        buckets = buckets.withColumn("_wanted", F.expr(inside)).where("size(_wanted) > 0")
     else:
-        buckets = buckets.where(F.col("_before") == 0).withColumn("_wanted", F.lit(None))
+        buckets = buckets.where("_before = 0").withColumn("_wanted", F.lit(None))
 
     keys = [*by, "_b"]
     moments = ["_total", "_sum", "_squares", "_min", "_max"]
@@ -102,39 +109,42 @@ def distribution(
             .join(buckets.select(*keys, "_wanted", *moments), keys)
             .withColumn("_skip", F.coalesce(F.sum("n").over(_open_bucket(by)), F.lit(0)))
             .select(*by, "v", "n", "_skip", *moments, F.explode("_wanted").alias("w"))
-            .where((F.col("w.rank") >= F.col("_skip"))
-                   & (F.col("w.rank") < F.col("_skip") + F.col("n")))
+            .where("w.rank >= _skip AND w.rank < _skip + n")
         )
     else:
         opened = buckets.select(*by, *moments)
 
-    n, s, q = F.max("_total"), F.max("_sum"), F.max("_squares")
     columns = [
-        n.alias("count"),
-        (s / n).alias("mean"),
-        F.when(n > 1, F.sqrt(F.greatest(q - s * s / n, F.lit(0.0)) / (n - 1))).alias("std"),
-        F.max("_min").alias("min"),
-        F.max("_max").alias("max"),
+        "max(_total) AS count",
+        "max(_sum) / max(_total) AS mean",
+        """CASE WHEN max(_total) > 1 THEN sqrt(greatest(
+             max(_squares) - max(_sum) * max(_sum) / max(_total), 0D) / (max(_total) - 1))
+           END AS std""",
+        "max(_min) AS min",
+        "max(_max) AS max",
     ]
     for i, name in enumerate(probs):
-        low = F.max(F.when(F.col("w.slot") == f"{i}lo", F.col("v")))
-        high = F.max(F.when(F.col("w.slot") == f"{i}hi", F.col("v")))
-        fraction = F.max(F.when(F.col("w.slot") == f"{i}lo", F.col("w.fraction")))
-        columns.append((low + (high - low) * fraction).alias(name))
+        low = f"max(CASE WHEN w.slot = '{i}lo' THEN v END)"
+        high = f"max(CASE WHEN w.slot = '{i}hi' THEN v END)"
+        fraction = f"max(CASE WHEN w.slot = '{i}lo' THEN w.fraction END)"
+        columns.append(f"{low} + ({high} - {low}) * {fraction} AS `{name}`")
+    columns = [F.expr(c) for c in columns]
     return opened.groupBy(*by).agg(*columns)
 
 
-def medians(df: DataFrame, value, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return distribution(df, value, by, {name: 0.5}).select(*by, name)
+def medians(
+    df: DataFrame, value, by: Sequence[str] = (), name: str = "median", copies: str | None = None
+) -> DataFrame:
+    return distribution(df, value, by, {name: 0.5}, copies).select(*by, name)
 
 
-def average_ranks(df: DataFrame, value, group: str) -> DataFrame:
+def average_ranks(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
     """Per distinct value over all groups: rows, average rank, and rows per group.
 
     Columns v, n, total, avg_rank, parts (array of group and n). An array has one
     entry per group, so it stays as small as the list of groups.
     """
-    per_group = histogram(df, value, [group])
+    per_group = histogram(df, value, [group], copies)
     per_value = per_group.groupBy("v").agg(
         F.sum("n").alias("n"),
         F.collect_list(F.struct(F.col(group).alias("g"), F.col("n").alias("n"))).alias("parts"),

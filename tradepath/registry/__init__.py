@@ -2,22 +2,42 @@
 
 from importlib import import_module
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from tradepath.adapters import Marketplace
 from tradepath.registry.sql import query as _with_views
 
 QUERIES = {}
 ORACLES = {}
 
-_SECTIONS = ["sources"]
+_SECTIONS = ["sources", "validation", "silver", "joins", "kpis", "measures", "hypotheses",
+             "ordering", "text", "streams", "warehouse", "metrics"]
+
+
+def presentable(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded, decimals as doubles, dates and times as text."""
+    out = []
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = F.round(c.cast("double"), digits)
+        elif isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            c = c.cast("string")
+        out.append(c.alias(f.name))
+    return df.select(*out)
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, digits: int = 6):
     """Add a function of a Marketplace to the registry, with its checking SQL."""
 
     def wrap(build):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, path: build(Marketplace(spark, path))
+        QUERIES[name] = lambda spark, path: presentable(build(Marketplace(spark, path)), digits)
         if sql is not None:
             ORACLES[name] = _with_views(sql)
         return build
@@ -27,5 +47,9 @@ def register(name: str, sql: str | None = None):
 
 def load():
     for section in _SECTIONS:
-        import_module(f"tradepath.registry.{section}")
+        try:
+            import_module(f"tradepath.registry.{section}")
+        except ModuleNotFoundError as missing:
+            if missing.name != f"tradepath.registry.{section}":
+                raise
     return QUERIES, ORACLES
