@@ -10,11 +10,12 @@ from tradepath.operators.quantiles import distribution, medians
 
 
 def fill_with_medians(
-    df: DataFrame, columns: Sequence[str], copies: str | None = None
+    df: DataFrame, columns: Sequence[str], copies: str | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Nulls replaced by the column's median, all medians from one pass."""
+    """Nulls replaced by the column's median, all medians from one pass over `source`."""
     keep = [copies] if copies else []
-    numbers = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = (source or df).select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
     cells = melt(numbers, columns, keep=keep)
     per_column = distribution(cells, "value", ["column"], {"m": 0.5}, copies)
     found = per_column.agg(F.map_from_entries(F.collect_list(F.struct("column", "m")))).scalar()
@@ -24,15 +25,18 @@ def fill_with_medians(
 
 
 def fill_with_group_median(
-    df: DataFrame, columns: Sequence[str], group: str, copies: str | None = None
+    df: DataFrame, columns: Sequence[str], group: str, copies: str | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Nulls replaced by the median of the row's group; a group without values stays null.
 
+    Medians are those of `source`, by default the frame itself.
+
     The medians are one row per group and come from a histogram, so a group that
     holds much of the table costs no more than its distinct values.
     """
     keep = [group, copies] if copies else [group]
-    numbers = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = (source or df).select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
     cells = melt(numbers, columns, keep=keep)
     wide = (
         distribution(cells, "value", [group, "column"], {"m": 0.5}, copies)

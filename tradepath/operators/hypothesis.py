@@ -1,52 +1,58 @@
 """Hypothesis tests as distributed aggregates.
 
 Counting and ranking run on Spark; each test ends in one small row per test, group or
-pair, to which a tail probability is added by a vectorised function on those few rows.
+pair. Tail probabilities are expressions over those few rows.
 """
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradepath.operators.quantiles import average_ranks
 
 
-def normal_tail(z: float) -> float:
-    """P(Z > z) of the standard normal."""
-    return 0.5 * math.erfc(z / math.sqrt(2))
+def normal_tail(z: str) -> Column:
+    """P(Z > z) of the standard normal for a column name.
 
-
-def chi_square_tail(x: float, df: int) -> float:
-    """P(X > x) of chi-square with whole degrees of freedom, by its finite series."""
-    if x <= 0:
-        return 1.0
-    half = x / 2
-    odd = df % 2
-    total = math.erfc(math.sqrt(half)) if odd else 0.0
-    for i in range((df + 1) // 2 if not odd else (df - 1) // 2):
-        power = i + 0.5 if odd else i
-        total += math.exp(-half + power * math.log(half) - math.lgamma(power + 1))
-    return min(total, 1.0)
+    Up to 3 by the power series of the distribution, beyond by its continued fraction.
+    """
+    density = f"(exp(-a * a / 2) / {math.sqrt(2 * math.pi)!r}D)"
+    series = f"""(0.5D - {density} * aggregate(sequence(0, 60), struct(a AS t, 0D AS s),
+        (acc, k) -> struct(acc.t * a * a / (2 * k + 3) AS t, acc.s + acc.t AS s), acc -> acc.s))"""
+    fraction = f"""({density} / (a + aggregate(sequence(200, 1, -1), 0D,
+        (acc, k) -> k / (a + acc))))"""
+    upper = f"CASE WHEN a <= 3 THEN {series} ELSE {fraction} END"
+    # the absolute value is bound once, as the only element of an array
+    return F.expr(f"""transform(array(abs(CAST(`{z}` AS DOUBLE))), a ->
+        CASE WHEN `{z}` >= 0 THEN {upper} ELSE 1D - ({upper}) END)[0]""")
 
 
 def add_normal_p(df: DataFrame, z: str, sides: int, name: str = "p_value") -> DataFrame:
-    """Tail probability of a z column; for a frame with one row per test or pair."""
-
-    @F.pandas_udf("double")
-    def tail(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: min(sides * normal_tail(abs(v) if sides == 2 else v), 1.0))
+    """Upper tail of a z column, or both tails."""
+    if sides == 1:
+        return df.withColumn(name, normal_tail(z))
+    both = df.withColumn("_abs_z", F.abs(F.col(z)))
+    return both.withColumn(name, F.least(2 * normal_tail("_abs_z"), F.lit(1.0))).drop("_abs_z")
 
-    return df.withColumn(name, tail(F.col(z)))
 
-
-def add_chi_square_p(df: DataFrame, statistic: str, dof: str, name: str = "p_value"):
-    @F.pandas_udf("double")
-    def tail(x: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([chi_square_tail(a, int(b)) for a, b in zip(x, k)])
-
-    return df.withColumn(name, tail(F.col(statistic), F.col(dof)))
+def add_chi_square_p(df: DataFrame, statistic: str, dof: str, name: str = "p_value") -> DataFrame:
+    """Upper tail of chi-square with whole degrees of freedom, by its finite series."""
+    root = df.withColumn("_root", F.sqrt(F.col(statistic))).withColumn(
+        "_tail", 2 * normal_tail("_root")
+    )
+    x = f"CAST(`{statistic}` AS DOUBLE)"
+    steps = f"CAST((`{dof}` - 1) DIV 2 AS INT)"
+    terms = """aggregate(CASE WHEN {steps} > 0 THEN sequence(1, {steps}) ELSE array() END,
+        struct({first} AS t, 0D AS s),
+        (acc, j) -> struct(acc.t * {x} / (2 * j + {shift}) AS t, acc.s + acc.t AS s),
+        acc -> acc.s)"""
+    odd = terms.format(steps=steps, first="_root", x=x, shift=1)
+    even = terms.format(steps=steps, first=f"{x} / 2", x=x, shift=2)
+    return root.withColumn(name, F.expr(f"""CASE WHEN {x} <= 0 THEN 1D
+        WHEN `{dof}` % 2 = 1
+          THEN _tail + 2 * exp(-{x} / 2) / {math.sqrt(2 * math.pi)!r}D * {odd}
+        ELSE exp(-{x} / 2) * (1 + {even}) END""")).drop("_root", "_tail")
 
 
 def _rows_where(condition: str, weight: str = "w") -> str:

@@ -27,9 +27,10 @@ def rows() -> Column:
 
 
 def mean(x) -> Column:
-    """Average over joined rows, nulls left out."""
-    v = (F.col(x) if isinstance(x, str) else x).cast("double")
-    return F.try_divide(F.sum(v * F.col("copies")), F.sum(F.when(v.isNotNull(), F.col("copies"))))
+    """Average over joined rows, nulls left out; integers and money add up exactly."""
+    v = F.col(x) if isinstance(x, str) else x
+    present = F.sum(F.when(v.isNotNull(), F.col("copies")))
+    return F.try_divide(F.sum(v * F.col("copies")).cast("double"), present)
 
 
 def share(condition) -> Column:

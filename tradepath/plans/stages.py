@@ -25,6 +25,7 @@ from tradepath.operators.cleaning import (
     fill_with_group_median,
     fill_with_medians,
 )
+from tradepath.sources.workspace import materialise
 
 MILESTONES = [
     "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date",
@@ -86,16 +87,37 @@ def _side(m: Marketplace, name: str, dims: set) -> DataFrame:
     return items
 
 
+def located_customers(m: Marketplace) -> DataFrame:
+    """Customers with coordinates: zip centroid, else the city's median, else the overall one.
+
+    The medians are over joined rows. A row's coordinates depend on its customer alone, so
+    the rows are first summed per city and coordinate, and that small table is written once,
+    as is the result.
+    """
+    coords = ["lat", "lng"]
+    located = m.customers.join(
+        zip_centroids(m), F.col("customer_zip_code_prefix") == F.col("zip"), "left"
+    ).drop("zip")
+    weights = joined(m, ()).groupBy("customer_id").agg(F.sum("copies").alias("copies"))
+    places = materialise(
+        located.join(weights, "customer_id").groupBy("customer_city", *coords)
+        .agg(F.sum("copies").alias("copies")),
+        "places",
+    )
+    by_city = dict(group="customer_city", copies="copies", source=places)
+    overall = fill_with_group_median(places, coords, **by_city)
+    filled = fill_with_medians(
+        fill_with_group_median(located, coords, **by_city), coords, "copies", overall
+    )
+    return materialise(filled, "located-customers")
+
+
 def joined(m: Marketplace, use: Iterable[str] = ALL, dims: Iterable[str] = ()) -> DataFrame:
     """Orders with the rows of the tables in `use`, and `copies` for the others."""
     use, dims = set(use), set(dims)
     out = clean_orders(m)
     if CUSTOMERS in dims or GEO in dims:
-        customers = m.customers
-        if GEO in dims:
-            customers = customers.join(
-                zip_centroids(m), F.col("customer_zip_code_prefix") == F.col("zip"), "left"
-            ).drop("zip")
+        customers = located_customers(m) if GEO in dims else m.customers
         out = out.join(customers, "customer_id", "left")
 
     copies = ["1L"]
@@ -119,11 +141,7 @@ def joined(m: Marketplace, use: Iterable[str] = ALL, dims: Iterable[str] = ()) -
         derived["payment_type"] = F.coalesce("payment_type", F.lit("not_defined"))
     if REVIEWS in use:
         derived["bad_score"] = labels.is_bad_score("review_score")
-    out = out.withColumns(derived).drop(*[f"_n_{name}" for name in ALL])
-    if GEO in dims:
-        out = fill_with_group_median(out, ["lat", "lng"], "customer_city", "copies")
-        out = fill_with_medians(out, ["lat", "lng"], "copies")
-    return out
+    return out.withColumns(derived).drop(*[f"_n_{name}" for name in ALL])
 
 
 def delivered(m: Marketplace, use: Iterable[str] = ALL, dims: Iterable[str] = ()) -> DataFrame:

@@ -12,7 +12,8 @@ from tradepath.registry.sql import case_map, floor_days, secs
 
 
 def r(x, d=6):
-    return f"round(CAST({x} AS DOUBLE), {d})"
+    # by way of decimals, so that halves round up as they do in Spark
+    return f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(28,10)), {d}) AS DOUBLE)"
 
 
 def ts(x):
@@ -140,14 +141,15 @@ _GEO_JOINED = """
       {r('max(lat)')} AS max_lat, {r('avg(lat)', 4)} AS mean_lat, {r('avg(lng)', 4)} AS mean_lng
     FROM filled GROUP BY 1""")
 def _(m):
-    j = stages.joined(m, dims=[stages.CUSTOMERS])
+    j = stages.joined(m, (), [stages.CUSTOMERS])
     j = j.join(stages.zip_centroids(m), j.customer_zip_code_prefix == F.col("zip"), "left")
-    return cleaning.fill_with_group_median(j, ["lat", "lng"], "customer_city").groupBy(
-        "customer_city"
-    ).agg(
-        F.count(F.lit(1)).alias("n"), F.count("lat").alias("n_lat"),
+    filled = cleaning.fill_with_group_median(j, ["lat", "lng"], "customer_city", "copies")
+    return filled.groupBy("customer_city").agg(
+        F.sum("copies").alias("n"),
+        F.expr("sum(CASE WHEN lat IS NOT NULL THEN copies ELSE 0L END) AS n_lat"),
         F.min("lat").alias("min_lat"), F.max("lat").alias("max_lat"),
-        F.round(F.avg("lat"), 4).alias("mean_lat"), F.round(F.avg("lng"), 4).alias("mean_lng"),
+        F.expr("round(sum(lat * copies) / sum(copies), 4) AS mean_lat"),
+        F.expr("round(sum(lng * copies) / sum(copies), 4) AS mean_lng"),
     )
 
 
