@@ -244,3 +244,37 @@ class Marketplace:
             F.col("event_id").alias("offset"),
             F.col("ts").alias("timestamp"),
         )
+
+    # change feeds: attributes of a key as observed at a time
+
+    @cached_property
+    def customer_changes(self) -> DataFrame:
+        """A customer as of each of its orders; the zip prefix moves every second year."""
+        return self.orders.join(self.customers, "customer_id").select(
+            "customer_id", "customer_unique_id", "customer_city", "customer_state",
+            _zip(F.expr("(customer_id + (year(order_purchase_timestamp) - 1995) DIV 2) % 100"))
+            .alias("customer_zip_code_prefix"),
+            F.col("order_purchase_timestamp").alias("changed_at"),
+        )
+
+    @cached_property
+    def product_changes(self) -> DataFrame:
+        """A product as of each shipping limit; its weight is corrected every third year."""
+        return self.items.join(self.products, "product_id").select(
+            "product_id", "product_category_name", "product_name_lenght",
+            "product_description_lenght", "product_photos_qty",
+            F.expr("product_weight_g + 50 * ((year(shipping_limit_date) - 1995) DIV 3)")
+            .cast("int").alias("product_weight_g"),
+            "product_length_cm", "product_height_cm", "product_width_cm",
+            F.col("shipping_limit_date").alias("changed_at"),
+        )
+
+    @cached_property
+    def seller_changes(self) -> DataFrame:
+        """A seller as of each shipping limit; its zip prefix moves every fourth year."""
+        return self.items.join(self.sellers, "seller_id").select(
+            "seller_id", "seller_city", "seller_state",
+            _zip(F.expr("(seller_id + (year(shipping_limit_date) - 1995) DIV 4) % 100"))
+            .alias("seller_zip_code_prefix"),
+            F.col("shipping_limit_date").alias("changed_at"),
+        )
