@@ -2,7 +2,19 @@
 
 from dataclasses import dataclass, field
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
+
+_TYPES = {"string": StringType, "int": IntegerType, "long": LongType, "double": DoubleType}
+
+
+def struct(ddl: str) -> StructType:
+    """A flat schema from "name type, ..." text; needs no running session."""
+    out = StructType()
+    for column in ddl.split(","):
+        name, kind = column.split()
+        out = out.add(name, _TYPES[kind]())
+    return out
+
 
 # The column names and types of the nine source tables.
 _SCHEMAS = {
@@ -44,7 +56,7 @@ class TableContract:
 
     @property
     def schema(self) -> StructType:
-        return StructType.fromDDL(self.ddl)
+        return struct(self.ddl)
 
 
 def _contract(name, required, not_null, key):

@@ -73,6 +73,11 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> Da
     return df.groupBy(*key).agg(best).select(*key, "_best.*").select(*df.columns)
 
 
+def sample_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
+    """n random rows; each task keeps its n smallest draws."""
+    return df.orderBy(F.rand(seed)).limit(n)
+
+
 def cast_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Text to zone-less timestamps; text that does not parse becomes null."""
     return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in columns})

@@ -106,21 +106,15 @@ def chi_square_2x2(
 
 
 def rank_sums(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
-    """Per group: rows, rank sum; on every row the total count and the tie term."""
-    ranks = average_ranks(df, value, group, copies)
-    cube = F.col("n").cast("double")
-    ties = (
-        ranks.agg(F.sum(cube * cube * cube - cube)).scalar()
-    )
-    return (
-        ranks.select("total", "avg_rank", F.explode("parts").alias("p"))
-        .groupBy(F.col("p.g").alias("group"))
-        .agg(
-            F.sum("p.n").alias("n"),
-            F.sum(F.col("p.n") * F.col("avg_rank")).alias("rank_sum"),
-            F.max("total").alias("total"),
-        )
-        .withColumn("ties", ties)
+    """Per group: rows, rank sum, the total over all groups, and its part of the tie term.
+
+    A value held by t rows adds t^3 - t to the tie term, which is t^2 - 1 for each row.
+    """
+    return average_ranks(df, value, group, copies).groupBy(F.col(group).alias("group")).agg(
+        F.expr("sum(n) AS n"),
+        F.expr("sum(n * avg_rank) AS rank_sum"),
+        F.expr("max(total) AS total"),
+        F.expr("sum(CAST(n AS DOUBLE) * (CAST(n_value AS DOUBLE) * n_value - 1)) AS ties"),
     )
 
 
@@ -133,7 +127,7 @@ def mann_whitney(
         F.max(F.when(F.col("group") == first, F.col("rank_sum"))).alias("r1"),
         F.max(F.when(F.col("group") == first, F.col("n"))).cast("double").alias("n1"),
         F.max(F.when(F.col("group") == second, F.col("n"))).cast("double").alias("n2"),
-        F.max("ties").alias("ties"),
+        F.sum("ties").alias("ties"),
     )
     n1, n2 = F.col("n1"), F.col("n2")
     n = n1 + n2
@@ -152,7 +146,7 @@ def kruskal_wallis(df: DataFrame, value, group: str, copies: str | None = None)
         F.sum(F.col("rank_sum") * F.col("rank_sum") / F.col("n")).alias("q"),
         F.count(F.lit(1)).alias("k"),
         F.max("total").cast("double").alias("n"),
-        F.max("ties").alias("ties"),
+        F.sum("ties").alias("ties"),
     )
     n = F.col("n")
     h = (12 / (n * (n + 1)) * F.col("q") - 3 * (n + 1)) / (
@@ -174,7 +168,7 @@ def dunn(df: DataFrame, value, group: str, copies: str | None = None) -> DataFra
             F.struct("group", (F.col("rank_sum") / F.col("n")).alias("mean_rank"), "n")
         )).alias("g"),
         F.max("total").cast("double").alias("total"),
-        F.max("ties").alias("ties"),
+        F.sum("ties").alias("ties"),
     )
     pairs = F.flatten(F.transform(
         "g",

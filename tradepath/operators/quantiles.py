@@ -139,24 +139,19 @@ def medians(
 
 
 def average_ranks(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
-    """Per distinct value over all groups: rows, average rank, and rows per group.
+    """Per (group, value): rows, rows with that value in all groups, and their average rank.
 
-    Columns v, n, total, avg_rank, parts (array of group and n). An array has one
-    entry per group, so it stays as small as the list of groups.
+    Columns are the group, v, n, n_value, total and avg_rank. Ranks run over all groups;
+    only the values of one bucket are ordered together.
     """
-    per_group = histogram(df, value, [group], copies)
-    per_value = per_group.groupBy("v").agg(
-        F.sum("n").alias("n"),
-        F.collect_list(F.struct(F.col(group).alias("g"), F.col("n").alias("n"))).alias("parts"),
-    )
-    buckets = _bucket_totals(per_value.select("v", "n"), []).select("_b", "_before", "_total")
-    return (
-        per_value.withColumn("_b", _bucket(F.col("v")))
-        .join(buckets, "_b")
-        .withColumn("_skip", F.coalesce(F.sum("n").over(_open_bucket([])), F.lit(0)))
-        .select(
-            "v", "n", F.col("_total").alias("total"),
-            (F.col("_before") + F.col("_skip") + (F.col("n") + 1) / 2).alias("avg_rank"),
-            "parts",
-        )
+    hist = histogram(df, value, [group], copies)
+    buckets = _bucket_totals(hist.select("v", "n"), []).select("_b", "_before", "_total")
+    placed = hist.withColumn("_b", _bucket(F.col("v"))).join(buckets, "_b")
+    return placed.selectExpr(
+        group, "v", "n", "_total AS total", "_before",
+        "sum(n) OVER (PARTITION BY _b, v) AS n_value",
+        "sum(n) OVER (PARTITION BY _b ORDER BY v) AS _through",
+    ).selectExpr(
+        group, "v", "n", "n_value", "total",
+        "_before + _through - n_value + (n_value + 1) / 2 AS avg_rank",
     )

@@ -299,7 +299,8 @@ class Warehouse:
 
     def key_tests(self) -> DataFrame:
         """Unique and present keys of each dimension and fact, and foreign keys that resolve."""
-        delivery, payments = self.fact_delivery(), self.fact_payments()
+        customer = ReferenceRule("CustomerKey", self.customers.select("CustomerKey"))
+        day = ReferenceRule("OrderPurchaseDateKey", self.dates.select("DateKey"))
         plans = [
             ("DimDate", self.dates, ["DateKey"], []),
             ("DimGeography", self.geography, ["GeographyKey"], []),
@@ -307,14 +308,17 @@ class Warehouse:
             ("DimProduct", self.products, ["ProductKey"], []),
             ("DimSeller", self.sellers, ["SellerKey"], []),
             ("DimPaymentType", self.payment_types, ["PaymentTypeKey"], []),
-            ("FactPayments", payments, ["PaymentKey"], [
-                ReferenceRule("CustomerKey", self.customers.select("CustomerKey")),
-                ReferenceRule("PaymentTypeKey", self.payment_types.select("PaymentTypeKey")),
+            ("FactSales", self.fact_sales(), ["SalesKey"], [
+                customer, day,
+                ReferenceRule("ProductKey", self.products.select("ProductKey")),
+                ReferenceRule("SellerKey", self.sellers.select("SellerKey")),
             ]),
-            ("FactDelivery", delivery, ["DeliveryKey"], [
-                ReferenceRule("CustomerKey", self.customers.select("CustomerKey")),
-                ReferenceRule("OrderPurchaseDateKey", self.dates.select("DateKey")),
+            ("FactPayments", self.fact_payments(), ["PaymentKey"], [
+                customer, day,
+                ReferenceRule("PaymentTypeKey", self.payment_types.select("PaymentTypeKey")),
             ]),
+            ("FactDelivery", self.fact_delivery(), ["DeliveryKey"], [customer, day]),
+            ("FactReviews", self.fact_reviews(), ["ReviewKey"], [customer]),
         ]
         out = None
         for table, rows, key, references in plans:

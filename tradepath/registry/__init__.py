@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tradepath.adapters import Marketplace
 from tradepath.registry.sql import query as _with_views
+from tradepath.session import tune
 
 QUERIES = {}
 ORACLES = {}
@@ -37,7 +38,9 @@ def register(name: str, sql: str | None = None, digits: int = 6):
     def wrap(build):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, path: presentable(build(Marketplace(spark, path)), digits)
+        QUERIES[name] = lambda spark, path: presentable(
+            build(Marketplace(tune(spark), path)), digits
+        )
         if sql is not None:
             ORACLES[name] = _with_views(sql)
         return build
@@ -47,9 +50,5 @@ def register(name: str, sql: str | None = None, digits: int = 6):
 
 def load():
     for section in _SECTIONS:
-        try:
-            import_module(f"tradepath.registry.{section}")
-        except ModuleNotFoundError as missing:
-            if missing.name != f"tradepath.registry.{section}":
-                raise
+        import_module(f"tradepath.registry.{section}")
     return QUERIES, ORACLES

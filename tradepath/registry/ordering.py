@@ -31,7 +31,7 @@ def _(m):
     GROUP BY payment_value""")
 def _(m):
     return average_ranks(m.payments, "payment_value", "payment_type").select(
-        F.col("v").alias("value"), "n", "avg_rank")
+        F.col("v").alias("value"), F.col("n_value").alias("n"), "avg_rank").distinct()
 
 
 @register("w04_lag_lead", _MONTHLY + """

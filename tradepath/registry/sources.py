@@ -1,9 +1,8 @@
 """Files, Kafka rows and Bronze tables."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tradepath.contracts import CONTRACTS
+from tradepath.contracts import CONTRACTS, struct
 from tradepath.operators.quality import contract_checks, publish_counts, run_checks, split
 from tradepath.registry import register
 from tradepath.registry.silver import ts
@@ -83,7 +82,7 @@ def _(m):
     )
 
 
-EVENT_SCHEMA = StructType.fromDDL("event_id long, user_id long, event_type string, value double")
+EVENT_SCHEMA = struct("event_id long, user_id long, event_type string, value double")
 
 
 @register("s07_json_decode", """
