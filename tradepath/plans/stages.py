@@ -87,6 +87,13 @@ def _side(m: Marketplace, name: str, dims: set) -> DataFrame:
     return items
 
 
+def _with_every_order(side: DataFrame, orders: DataFrame) -> DataFrame:
+    """The rows of a table, and a row of nulls for each order that has none."""
+    covered = side.select("order_id").distinct()
+    bare = orders.select("order_id").join(covered, "order_id", "left_anti")
+    return side.unionByName(bare, allowMissingColumns=True)
+
+
 def located_customers(m: Marketplace) -> DataFrame:
     """Customers with coordinates: zip centroid, else the city's median, else the overall one.
 
@@ -115,7 +122,7 @@ def located_customers(m: Marketplace) -> DataFrame:
 def joined(m: Marketplace, use: Iterable[str] = ALL, dims: Iterable[str] = ()) -> DataFrame:
     """Orders with the rows of the tables in `use`, and `copies` for the others."""
     use, dims = set(use), set(dims)
-    out = clean_orders(m)
+    orders = out = clean_orders(m)
     if CUSTOMERS in dims or GEO in dims:
         customers = located_customers(m) if GEO in dims else m.customers
         out = out.join(customers, "customer_id", "left")
@@ -123,10 +130,12 @@ def joined(m: Marketplace, use: Iterable[str] = ALL, dims: Iterable[str] = ()) -
     copies = ["1L"]
     for name in ALL:
         side = _side(m, name, dims if name in use else set())
-        if name not in use:
-            side = side.groupBy("order_id").agg(F.count(F.lit(1)).alias(f"_n_{name}"))
+        if name in use:
+            out = out.join(_with_every_order(side, orders), "order_id")
+        else:
+            counts = side.groupBy("order_id").agg(F.count(F.lit(1)).alias(f"_n_{name}"))
             copies.append(f"coalesce(_n_{name}, 1L)")
-        out = out.join(side, "order_id", "left")
+            out = out.join(counts, "order_id", "left")
 
     derived = {
         "copies": F.expr(" * ".join(copies)),

@@ -165,8 +165,8 @@ def _(m):
 
 
 @register("a40_freight_by_category", _CAT + f"""
-    SELECT category_name_en, {r('avg(ratio)')} AS mean_freight_ratio,
-      CAST(sum(freight_value) AS DOUBLE) AS freight FROM cat GROUP BY 1""")
+    SELECT category_name_en, {r('avg(ratio)', 8)} AS mean_freight_ratio,
+      CAST(sum(freight_value) AS DOUBLE) AS freight FROM cat GROUP BY 1""", digits=8)
 def _(m):
     return measures.freight_by_category(m)
 

@@ -63,24 +63,26 @@ def _(m):
     return report(q.run_checks(m.orders, [q.NullCheck(_DATES, threshold_percent=5.0)]))
 
 
-@register("v03_full_row_duplicates", """
-    SELECT 'duplicate_validation' AS validation_name, 'failed' AS status,
-      CAST(sum(n) AS BIGINT) AS rows_checked, CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS rows_failed,
-      CAST(1 AS BIGINT) AS error_count,
-      'full_row=' || CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS failures
-    FROM (SELECT count(*) AS n FROM m_geo GROUP BY ALL, geolocation_zip_code_prefix,
-      geolocation_lat, geolocation_lng, geolocation_city, geolocation_state)""".replace(
-        "GROUP BY ALL, ", "GROUP BY "))
+def duplicate_sql(view, columns, label):
+    """The expected row of a duplicate check over some columns."""
+    return f"""
+      SELECT 'duplicate_validation' AS validation_name,
+        CASE WHEN d = 0 THEN 'passed' ELSE 'failed' END AS status, n AS rows_checked,
+        d AS rows_failed, CAST(d > 0 AS BIGINT) AS error_count,
+        CASE WHEN d = 0 THEN '' ELSE '{label}=' || d END AS failures
+      FROM (SELECT CAST(sum(k) AS BIGINT) AS n,
+              CAST(coalesce(sum(k) FILTER (WHERE k > 1), 0) AS BIGINT) AS d
+            FROM (SELECT count(*) AS k FROM {view} GROUP BY {columns}))"""
+
+
+@register("v03_full_row_duplicates", duplicate_sql(
+    "m_geo", """geolocation_zip_code_prefix, geolocation_lat, geolocation_lng, geolocation_city,
+    geolocation_state""", "full_row"))
 def _(m):
     return report(q.run_checks(m.geolocation, [q.DuplicateCheck()]))
 
 
-@register("v04_key_duplicates", """
-    SELECT 'duplicate_validation' AS validation_name, 'failed' AS status,
-      CAST(sum(n) AS BIGINT) AS rows_checked, CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS rows_failed,
-      CAST(1 AS BIGINT) AS error_count,
-      'key=' || CAST(sum(n) FILTER (WHERE n > 1) AS BIGINT) AS failures
-    FROM (SELECT count(*) AS n FROM m_items GROUP BY order_id, order_item_id)""")
+@register("v04_key_duplicates", duplicate_sql("m_items", "order_id, order_item_id", "key"))
 def _(m):
     check = q.DuplicateCheck(["order_id", "order_item_id"], full_row=False)
     return report(q.run_checks(m.items, [check]))
