@@ -403,23 +403,34 @@ def voucher_share(m: Marketplace) -> DataFrame:
 
 
 def scoreboard(m: Marketplace) -> DataFrame:
-    """Ten headline figures, one row each."""
-    shipping = distribution(timed(m, ()), "shipping_time", (), {"median": 0.5}, "copies")
-    figures: Sequence[tuple[str, DataFrame, Column]] = [
-        ("Conversion Rate %", conversion(m), F.col("conversion") * 100),
-        ("Customer Retention %", repeat_ratio(delivered_orders(m)), F.col("repeat_ratio") * 100),
-        ("AOV R$", delivered(m, [PAYMENTS]).agg(mean("payment_value").alias("x")), F.col("x")),
-        ("ARPU R$", revenue_per_customer(m), F.col("arpu")),
-        ("Avg LTV R$", lifetime_values(m).agg(F.avg("ltv").alias("x")), F.col("x")),
-        ("Delivery Accuracy (d)", delivery_accuracy(m), -F.col("mean_delay_days")),
-        ("Review Score", delivered(m, [REVIEWS]).agg(mean("review_score").alias("x")), F.col("x")),
-        ("Bad Reviews %", delivered(m, [REVIEWS]).agg(share(F.col("bad_score")).alias("x")),
-         F.col("x") * 100),
-        ("Shipping Time (d)", shipping, F.col("median") / 86400),
-        ("Voucher Usage %", voucher_share(m), F.col("voucher_percent")),
+    """Ten headline figures, one row each, from six passes.
+
+    Mean lifetime value equals revenue per customer: both spread the delivered payments
+    over the customers with a delivered order.
+    """
+    people = repeat_ratio(delivered_orders(m))
+    customers = people.select("n_customers").scalar()
+    paid = delivered(m, [PAYMENTS]).agg(
+        mean("payment_value").alias("aov"),
+        (total("payment_value").cast("double") / customers).alias("arpu"),
+        (share(F.col("payment_type") == "voucher") * 100).alias("voucher"),
+    )
+    reviewed = delivered(m, [REVIEWS]).agg(
+        mean("review_score").alias("score"), (share(F.col("bad_score")) * 100).alias("bad")
+    )
+    passes: Sequence[tuple[DataFrame, dict[str, str]]] = [
+        (conversion(m), {"Conversion Rate %": "conversion * 100"}),
+        (people, {"Customer Retention %": "repeat_ratio * 100"}),
+        (paid, {"AOV R$": "aov", "ARPU R$": "arpu", "Avg LTV R$": "arpu",
+                "Voucher Usage %": "voucher"}),
+        (delivery_accuracy(m), {"Delivery Accuracy (d)": "-mean_delay_days"}),
+        (reviewed, {"Review Score": "score", "Bad Reviews %": "bad"}),
+        (distribution(timed(m, ()), "shipping_time", (), {"median": 0.5}, "copies"),
+         {"Shipping Time (d)": "median / 86400"}),
     ]
     out = None
-    for name, frame, value in figures:
-        row = frame.select(F.lit(name).alias("metric"), value.cast("double").alias("value"))
-        out = row if out is None else out.unionByName(row)
+    for frame, figures in passes:
+        cells = ", ".join(f"'{name}', {value}" for name, value in figures.items())
+        rows_ = frame.selectExpr(f"stack({len(figures)}, {cells}) AS (metric, value)")
+        out = rows_ if out is None else out.unionByName(rows_)
     return out

@@ -12,8 +12,8 @@ from tradepath.registry.sql import case_map, floor_days, secs
 
 
 def r(x, d=6):
-    # by way of decimals, so that halves round up as they do in Spark
-    return f"CAST(round(CAST(CAST({x} AS DOUBLE) AS DECIMAL(28,10)), {d}) AS DOUBLE)"
+    # by way of the printed number, whose halves round up, as they do in Spark
+    return f"CAST(round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,15)), {d}) AS DOUBLE)"
 
 
 def ts(x):
