@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradepath.operators import hypothesis as h
-from tradepath.operators.quantiles import average_ranks, distribution, histogram
+from tradepath.operators.quantiles import average_ranks, distribution, histogram, moments
 
 PROBS = {"p0": 0.0, "p10": 0.1, "q1": 0.25, "med": 0.5, "q3": 0.75, "p99": 0.99, "p100": 1.0}
 
@@ -72,6 +72,10 @@ def test_copies_equal_repeated_rows(spark):
     for x, y in zip(a, b):
         for c in x.asDict():
             assert x[c] == y[c] or math.isclose(x[c], y[c], rel_tol=1e-12)
+    one, many = moments(packed, "v", "k").first(), moments(repeated, "v").first()
+    values = np.array([r["v"] for r in repeated.collect()])
+    assert one["count"] == many["count"] == len(values)
+    assert math.isclose(one["mean"], values.mean()) and math.isclose(one["std"], values.std(ddof=1))
     assert histogram(packed, "v", ["g"], "k").agg(F.sum("n")).first()[0] == repeated.count()
 
 

@@ -132,6 +132,20 @@ def distribution(
     return opened.groupBy(*by).agg(*columns)
 
 
+def moments(df: DataFrame, value: str, copies: str | None = None) -> DataFrame:
+    """count, mean and std (sample) of a column in one pass, nulls left out."""
+    rows = df.select(
+        F.col(value).cast("double").alias("v"),
+        (F.col(copies) if copies else F.lit(1)).cast("long").alias("n"),
+    ).where("v IS NOT NULL")
+    return rows.selectExpr("sum(n) AS count", "sum(n * v) AS _s", "sum(n * v * v) AS _q").selectExpr(
+        "count",
+        "_s / count AS mean",
+        """CASE WHEN count > 1 THEN sqrt(greatest(_q - _s * _s / count, 0D) / (count - 1)) END
+           AS std""",
+    )
+
+
 def medians(
     df: DataFrame, value, by: Sequence[str] = (), name: str = "median", copies: str | None = None
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from tradepath.adapters import Marketplace
 from tradepath.functions import labels
 from tradepath.functions.temporal import seconds_between
 from tradepath.operators.profile import melt, value_counts
-from tradepath.operators.quantiles import distribution, medians
+from tradepath.operators.quantiles import distribution, medians, moments
 from tradepath.plans import stages
 from tradepath.plans.stages import (
     CUSTOMERS, DURATIONS, GEO, ITEMS, PAYMENTS, PRODUCTS, REVIEWS, delivered, joined, timed,
@@ -304,26 +304,24 @@ def conversion(m: Marketplace) -> DataFrame:
     return timed(m, ()).agg(share(F.col("order_status") == "delivered").alias("conversion"))
 
 
-def _payment_quartiles(rows_: DataFrame) -> Column:
-    return distribution(
-        rows_, "payment_value", (), {"q1": 0.25, "q3": 0.75}, "copies"
-    ).select(F.struct("*")).scalar()
+def _payment_quartiles(rows_: DataFrame) -> DataFrame:
+    """One row: count, mean, std and the outer quartiles of payments."""
+    return distribution(rows_, "payment_value", (), {"q1": 0.25, "q3": 0.75}, "copies")
 
 
 def order_value(m: Marketplace) -> DataFrame:
     """Mean and std of payments, the same strictly between the quartiles, and per order."""
     rows_ = delivered(m, [PAYMENTS])
-    q = _payment_quartiles(rows_)
+    all_rows = _payment_quartiles(rows_)
+    q = all_rows.select(F.struct("q1", "q3")).scalar()
     value = F.col("payment_value").cast("double")
     inner = rows_.where((value > q["q1"]) & (value < q["q3"]))
-    trimmed = distribution(inner, "payment_value", copies="copies").select(
-        F.struct("mean", "std")
-    ).scalar()
+    trimmed = moments(inner, "payment_value", "copies").select(F.struct("mean", "std")).scalar()
     per_order = m.payments.join(
         stages.clean_orders(m).where("order_status = 'delivered'").select("order_id"),
         "order_id", "left_semi",
     ).agg((F.sum("payment_value").cast("double") / F.count_distinct("order_id"))).scalar()
-    return distribution(rows_, "payment_value", copies="copies").select(
+    return all_rows.select(
         F.col("mean").alias("aov"), F.col("std").alias("aov_std"),
         trimmed["mean"].alias("iqr_aov"), trimmed["std"].alias("iqr_std"),
         per_order.alias("aov_per_order"),
@@ -333,7 +331,7 @@ def order_value(m: Marketplace) -> DataFrame:
 def revenue_per_customer(m: Marketplace) -> DataFrame:
     """Payments per customer; the trimmed sum keeps the untrimmed number of customers."""
     rows_ = delivered(m, [PAYMENTS])
-    q = _payment_quartiles(rows_)
+    q = _payment_quartiles(rows_).select(F.struct("q1", "q3")).scalar()
     value = F.col("payment_value").cast("double")
     people = delivered_orders(m).agg(F.count_distinct("customer_unique_id")).scalar()
     inner = F.when((value > q["q1"]) & (value < q["q3"]), F.col("payment_value"))
@@ -366,13 +364,13 @@ def lifetime_top(m: Marketplace, n: int = 5) -> DataFrame:
 
 def review_figures(m: Marketplace) -> DataFrame:
     rows_ = delivered(m, [REVIEWS])
-    moments = distribution(rows_, "review_score", copies="copies").select(
-        F.struct("mean", "std")
-    ).scalar()
+    scores = moments(rows_, "review_score", "copies").select(F.struct("mean", "std")).scalar()
     return rows_.agg(
-        moments["mean"].alias("mean_score"), moments["std"].alias("std_score"),
         F.sum(F.expr("CASE WHEN bad_score THEN copies ELSE 0L END")).alias("bad_reviews"),
         (share(F.col("bad_score")) * 100).alias("bad_percent"),
+    ).select(
+        scores["mean"].alias("mean_score"), scores["std"].alias("std_score"),
+        "bad_reviews", "bad_percent",
     )
 
 
