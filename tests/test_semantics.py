@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tradepath.contracts import CONTRACTS
 from tradepath.functions import labels, temporal
 from tradepath.operators import cleaning, profile, scd, terms
 from tradepath.plans import kpis, silver, stages
@@ -151,6 +152,16 @@ def test_json_keeps_nulls(spark):
     assert (row["key"], row["value"]) == ("7", '{"id":7,"name":null}')
 
 
+def test_publish_counts_what_it_writes(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("s1", "00001", "x", "SP"), (None, "00002", "y", "RJ"), ("s3", None, None, None)],
+        "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string")
+    counts = csv.publish(rows, CONTRACTS["sellers"], lambda r: r.write.parquet(f"{tmp_path}/p"))
+    got = counts.first().asDict()
+    assert got == {"processed": 3, "published": 2, "skipped_invalid": 1, "failed": 0}
+    assert {r["key"] for r in spark.read.parquet(f"{tmp_path}/p").collect()} == {"s1", "s3"}
+
+
 def test_incremental_load(spark):
     source = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (1, 40)], "k long, t long")
     target = spark.createDataFrame([(1, 10), (9, 15)], "k long, t long")

@@ -235,10 +235,12 @@ def _bit(i: int) -> Column:
 
 
 def _failure_map(pairs) -> Column:
-    """Map of rule to broken rows, rules without failures left out, repeats added up once."""
+    """Map of rule to broken rows, rules without failures left out. Of rules with the same
+    label the last one that fails counts."""
     merged: dict[str, Column] = {}
     for label, count in pairs:
-        merged[label] = count if label not in merged else F.greatest(merged[label], count)
+        before = merged.get(label)
+        merged[label] = count if before is None else F.when(count > 0, count).otherwise(before)
     if not merged:
         return F.lit(None).cast(_NO_FAILURES)
     full = F.create_map(*[x for label, c in merged.items() for x in (F.lit(label), c)])

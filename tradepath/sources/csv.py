@@ -1,12 +1,12 @@
 """CSV files with declared schemas, and publishing of validated rows."""
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tradepath.contracts import TableContract
-from tradepath.operators.quality import (
-    QUARANTINE_ON, contract_checks, flag_rows, publish_counts,
-)
+from tradepath.operators.quality import QUARANTINE_ON, contract_checks, flag_rows
 from tradepath.sources.kafka import encode
 
 
@@ -44,10 +44,19 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 def publish(df: DataFrame, contract: TableContract, write, quarantine_on=QUARANTINE_ON):
     """Encode the rows that meet the contract and hand them to `write`; return the counts.
 
-    `write` takes a frame with key and value, for instance a Kafka or file writer.
+    `write` takes a frame with key and value, for instance a Kafka or file writer, and must
+    run one action on it. The counts are observed while it runs, so the data is read once.
     """
-    checks = contract_checks(contract)
-    flagged = flag_rows(df, checks, quarantine_on)
-    valid = flagged.where(F.size("_failed_checks") == 0).drop("_failed_checks")
-    write(encode(valid, contract.key))
-    return publish_counts(df, checks, quarantine_on)
+    seen = Observation(f"publish-{uuid.uuid4().hex}")
+    bad = F.size("_failed_checks") > 0
+    flagged = flag_rows(df, contract_checks(contract), quarantine_on).observe(
+        seen,
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if(~bad).alias("published"),
+        F.count_if(bad).alias("skipped_invalid"),
+    )
+    write(encode(flagged.where(~bad).drop("_failed_checks"), contract.key))
+    counts = {**seen.get, "failed": 0}
+    return df.sparkSession.range(1).select(
+        *[F.lit(n).cast("long").alias(name) for name, n in counts.items()]
+    )
