@@ -193,10 +193,6 @@ def test_dense_keys(spark):
     assert tuple(row) == (1, 5000, 5000)
 
 
-def stamp(text):
-    return f"timestamp_ntz'{text}'"
-
-
 def feed(spark, rows):
     return spark.createDataFrame(rows, "k long, a string, t string").withColumn(
         "t", F.col("t").cast("timestamp_ntz"))
