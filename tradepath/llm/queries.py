@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepath.llm import decontamination, secrets
+from tradepath.llm import decontamination, packing, secrets, toxicity
 from tradepath.llm.common import table
 from tradepath.session import tune
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,6 +20,8 @@ def _query(name: str, sql: str | None = None):
     def wrap(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             tune(spark)
+            # Python workers on this machine find the package wherever the driver was started
+            spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
             return build(lambda t: table(spark, sf_dir, t))
 
         QUERIES[name] = run
@@ -37,3 +41,13 @@ def _(read):
         decontamination.CONTAINED_SQL.replace("{docs}", "documents"))
 def _(read):
     return decontamination.contained_items(read("documents"), read("benchmark"))
+
+
+@_query("op9_best_fit_packing")
+def _(read):
+    return packing.pack_documents(read("documents"))
+
+
+@_query("op10_toxicity")
+def _(read):
+    return toxicity.score(read("documents"), read("labels"))
