@@ -54,3 +54,36 @@ def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFra
     key = fresh("id")
     kept = ids.select(F.col(id_col).alias(key)).distinct()
     return docs.join(kept, docs[id_col].eqNullSafe(kept[key]), "left_semi")
+
+
+def whole_groups(batches, keys: int):
+    """Arrow tables from batches that are sorted by their first `keys` columns, each with complete
+    groups only; the rows of the group that may go on wait for the next batch."""
+    import pyarrow as pa
+
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        seen = pa.Table.from_batches([batch])
+        if rest is not None:
+            seen = pa.concat_tables([rest, seen])
+        starts = group_starts(seen, keys)
+        at = int(starts[-1])
+        if at:
+            yield seen.slice(0, at)
+        rest = seen.slice(at)
+    if rest is not None:
+        yield rest
+
+
+def group_starts(sorted_rows, keys: int):
+    """Where the groups of a sorted Arrow table begin (keys without nulls)."""
+    import numpy as np
+
+    new = np.zeros(sorted_rows.num_rows, bool)
+    new[:1] = True
+    for i in range(keys):
+        column = sorted_rows.column(i).to_numpy()
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepath.llm import decontamination, packing, secrets, toxicity
+from tradepath.llm import decontamination, jaccard, packing, secrets, toxicity
 from tradepath.llm.common import table
 from tradepath.session import tune
 
@@ -51,3 +51,8 @@ def _(read):
 @_query("op10_toxicity")
 def _(read):
     return toxicity.score(read("documents"), read("labels"))
+
+
+@_query("op8_ngram_jaccard_join")
+def _(read):
+    return jaccard.near_duplicates(read("documents"))
