@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradepath.llm.common import cut, group_starts, whole_groups
+from tradepath.llm.common import cut, drop_ids, group_starts, keep_ids, whole_groups
 from tradepath.llm.components import components
 from tradepath.llm.symbols import word_shingles
 
@@ -342,3 +342,16 @@ def near_duplicates(docs: DataFrame, n: int = WORDS_PER_SHINGLE, threshold: floa
         doc_id, F.when(alone, F.col(doc_id)).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(alone, F.col(doc_id)).otherwise(F.col("copy_id")).alias("copy_id"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+    """docs with one row of each group of near copies, the one with the least id; rows without a
+    word stay. Columns stay as they are."""
+    found = cut(near_duplicates(docs, doc_id=doc_id, **options))
+    kept = drop_ids(docs, found.where(F.col(doc_id) != F.col("class_id")), doc_id)
+    again = found.where(F.col(doc_id) == F.col("class_id")).groupBy(doc_id).count().where("count > 1")
+    if not again.head(1):
+        return kept
+    # a row that is listed more than once, or an id that stands for several texts
+    return drop_ids(kept, again, doc_id).unionByName(
+        keep_ids(kept, again, doc_id).dropDuplicates([doc_id]))

@@ -137,7 +137,7 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_
     schema = T.StructType([*found.schema, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
-    def run(key, frame: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop(columns="_group").sort_values(
             ["length", *(c for c in ("ids_crc32", "piece") if c in frame)],
             ascending=False, kind="stable")

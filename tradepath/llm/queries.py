@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepath.llm import decontamination, jaccard, packing, secrets, toxicity
+from tradepath.llm import decontamination, jaccard, packing, secret_scan, toxicity
 from tradepath.llm.common import table
 from tradepath.session import tune
 
@@ -34,7 +34,7 @@ def _query(name: str, sql: str | None = None):
 
 @_query("op3_secret_scan")
 def _(read):
-    return secrets.digest(secrets.find_secrets(read("documents")))
+    return secret_scan.digest(secret_scan.find_secrets(read("documents")))
 
 
 @_query("op5_benchmark_decontamination",

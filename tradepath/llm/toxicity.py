@@ -23,15 +23,16 @@ says so; null ids have no label; an empty table gives an empty result; other col
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tradepath.llm.common import cut
+from tradepath.llm.common import cut, fresh
 from tradepath.llm.symbols import SYMBOL_BITS, symbols
 
 ORDER = 4
@@ -63,8 +64,8 @@ def ngrams(text_bytes: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return packed, own
 
 
-def _texts(column) -> tuple[bytes, np.ndarray]:
-    raw = [(v.as_py() or "").encode("utf-32-le") for v in column]
+def _texts(texts) -> tuple[bytes, np.ndarray]:
+    raw = [(t or "").encode("utf-32-le") for t in texts]
     return b"".join(raw), np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)
 
 
@@ -89,7 +90,7 @@ def _count(batches):
     for batch in batches:
         labels = batch.column(1).to_numpy(zero_copy_only=False)
         for at in range(0, batch.num_rows, 256):
-            data, ends = _texts(batch.column(0).slice(at, 256))
+            data, ends = _texts(batch.column(0).slice(at, 256).to_pylist())
             keys, of = ngrams(data, ends)
             toxic = labels[at:at + 256][of] == 1
             for label in (0, 1):
@@ -176,39 +177,34 @@ def _folded(ratios: DataFrame, bits: int) -> np.ndarray:
     return model
 
 
-def measure(docs: DataFrame, model: np.ndarray, bits: int = BITS, doc_id: str = "doc_id",
-            text: str = "text") -> DataFrame:
-    """Rows doc_id, total (toxic minus ordinary log-likelihood) and length."""
+def measured(docs: DataFrame, model: np.ndarray, column: str, text: str = "text",
+             bits: int = BITS) -> DataFrame:
+    """docs with one more column, struct(total, length): the toxic minus the ordinary
+    log-likelihood, and the number of n-grams. Only texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType),
-                           T.StructField("total", T.DoubleType()),
-                           T.StructField("length", T.LongType())])
 
-    def run(batches):
+    @F.pandas_udf("total double, length long")
+    def compare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams, contexts = shared.value
         for batch in batches:
-            totals, lengths = [], []
-            for at in range(0, batch.num_rows, 256):
-                data, ends = _texts(batch.column(1).slice(at, 256))
+            totals, lengths = [np.zeros(0)], [np.zeros(0, np.int64)]
+            for at in range(0, len(batch), 256):
+                data, ends = _texts(batch.iloc[at:at + 256])
                 keys, of = ngrams(data, ends)
                 known = grams[_bucket(keys, bits)]
                 rest = np.flatnonzero(np.isnan(known))
                 known[rest] = contexts[_bucket(keys[rest] >> SYMBOL_BITS, bits)]
-                known = np.nan_to_num(known, nan=0.0)
-                totals.append(np.bincount(of, known, len(ends)))
+                totals.append(np.bincount(of, np.nan_to_num(known, nan=0.0), len(ends)))
                 lengths.append(np.bincount(of, minlength=len(ends)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(totals or [np.zeros(0)])),
-                 pa.array(np.concatenate(lengths or [np.zeros(0)]).astype(np.int64))],
-                names=schema.names)
+            yield pd.DataFrame({"total": np.concatenate(totals), "length": np.concatenate(lengths)})
 
-    return docs.select(doc_id, text).mapInArrow(run, schema)
+    return docs.withColumn(column, compare(F.col(text)))
 
 
 def features(total, length):
     """The measure by length, and by the root of the length, for longer texts vary less."""
-    length = F.greatest(F.col(length), F.lit(1))
-    return [F.col(total) / length, F.col(total) / F.sqrt(length), F.log(length)]
+    length = F.greatest(length, F.lit(1))
+    return [total / length, total / F.sqrt(length), F.log(length)]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
@@ -228,34 +224,56 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
     return w
 
 
-def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,
-          bits: int = BITS) -> DataFrame:
-    """Rows doc_id, held_out, score, predicted, and the measure by length."""
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+        label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,
+        bits: int = BITS) -> tuple[np.ndarray, list[float] | None]:
+    """The folded model, and the weights that turn a measure into a score."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
     known = known.where(fold("_id", folds) != held_out)
-    calibrating = fold("_id", folds) == (held_out + CALIBRATION_FOLD) % folds
+    apart = (held_out + CALIBRATION_FOLD) % folds
     plain = docs.select(doc_id, text)
-    train = plain.join(known.where(~calibrating), plain[doc_id] == F.col("_id"))
-    ratios = log_ratios(cut(counts(train, text, "_label")))
-    measured = cut(measure(plain, _folded(ratios, bits), bits, doc_id, text))
-    columns = features("total", "length")
+    train = plain.join(known.where(fold("_id", folds) != apart), plain[doc_id] == F.col("_id"))
+    model = _folded(log_ratios(cut(counts(train, text, "_label"))), bits)
+    rest = measured(plain.where(fold(doc_id, folds) == apart), model, "_measure", text, bits)
+    rest = rest.select(doc_id, "_measure.*")
     sample = (
-        measured.join(known.where(calibrating), measured[doc_id] == F.col("_id"))
+        rest.join(known, rest[doc_id] == F.col("_id"))
         .orderBy(F.xxhash64("_id"), "_id").limit(CALIBRATION)
-        .select(*(c.alias(f"x{i}") for i, c in enumerate(columns)), F.col("_label").alias("y"))
+        .select(*(c.alias(f"x{i}") for i, c in enumerate(features(F.col("total"), F.col("length")))),
+                F.col("_label").cast("double").alias("y"))
         .toPandas()
     )
-    out = F.coalesce(fold(doc_id, folds) == held_out, F.lit(False)).alias("held_out")
     if sample["y"].nunique() < 2:
-        result = F.lit(0.0)
-    else:
-        weights = logistic(sample.drop(columns="y").to_numpy(float), sample["y"].to_numpy(float))
-        linear = reduce(lambda a, b: a + b,
-                        (c * float(w) for c, w in zip(columns, weights)), F.lit(float(weights[-1])))
-        result = 1 / (1 + F.exp(-linear))
-    scored = measured.select(doc_id, out, result.alias("score"),
-                             (F.col("total") / F.greatest("length", F.lit(1))).alias("measure"))
+        return model, None
+    x, y = sample.drop(columns="y").to_numpy(float), sample["y"].to_numpy(float)
+    return model, [float(w) for w in logistic(x, y)]
+
+
+def _score(measure: str, weights: list[float] | None):
+    if weights is None:
+        return F.lit(0.0)
+    parts = features(F.col(f"{measure}.total"), F.col(f"{measure}.length"))
+    return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, (
+        c * w for c, w in zip(parts, weights)), F.lit(weights[-1]))))
+
+
+def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
+          folds: int = FOLDS, held_out: int = HELD_OUT, **options) -> DataFrame:
+    """Rows doc_id, held_out, score, predicted, and the measure by length."""
+    model, weights = fit(docs, labels, doc_id, text, folds=folds, held_out=held_out, **options)
+    plain = docs.select(doc_id, text)
+    out = F.coalesce(fold(doc_id, folds) == held_out, F.lit(False)).alias("held_out")
+    scored = measured(plain, model, "_measure", text).select(
+        doc_id, out, _score("_measure", weights).alias("score"),
+        (F.col("_measure.total") / F.greatest("_measure.length", F.lit(1))).alias("measure"))
     return scored.select(doc_id, "held_out", "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "measure")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", **options) -> DataFrame:
+    """docs without the rows that are predicted toxic; their columns stay as they are."""
+    model, weights = fit(docs, labels, text=text, **options)
+    column = fresh("measure")
+    return measured(docs, model, column, text).where(_score(column, weights) < 0.5).select(
+        *(docs[c] for c in docs.columns))
