@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepath.llm import decontamination, jaccard, packing, secret_scan, toxicity
+from tradepath.llm import decontamination, jaccard, packing, repeats, secret_scan, toxicity
 from tradepath.llm.common import table
 from tradepath.session import tune
 
@@ -56,3 +56,8 @@ def _(read):
 @_query("op8_ngram_jaccard_join")
 def _(read):
     return jaccard.near_duplicates(read("documents"))
+
+
+@_query("op1_suffix_array_dedup")
+def _(read):
+    return repeats.remove_repeats(read("documents"))
