@@ -23,6 +23,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def fold(doc_id: str, folds: int) -> Column:
+    """The fold of a row: crc32 of its id as text."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+
+
 def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The frame with a broadcast hint if it has been counted and is small, else as it is."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -7,7 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradepath.llm import decontamination, jaccard, packing, repeats, secret_scan, toxicity
+from tradepath.llm import (
+    decontamination,
+    jaccard,
+    language,
+    packing,
+    quality,
+    repeats,
+    secret_scan,
+    toxicity,
+)
 from tradepath.llm.common import table
 from tradepath.session import tune
 
@@ -61,3 +70,13 @@ def _(read):
 @_query("op1_suffix_array_dedup")
 def _(read):
     return repeats.remove_repeats(read("documents"))
+
+
+@_query("op2_language_id")
+def _(read):
+    return language.identify(read("documents"))
+
+
+@_query("op7_quality_ranking")
+def _(read):
+    return quality.score(read("documents"), read("labels"))

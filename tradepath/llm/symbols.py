@@ -60,28 +60,34 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_shingles(texts, n: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """64-bit hashes of all runs of n words of an Arrow column of texts, the number of the text of
-    each, and the number of texts. Words are runs of letters and digits in lower case; a text
-    with fewer words has one shingle of all of them, a null text none."""
-    raw = [(t.as_py() or "").encode("utf-32-le") for t in texts]
-    ends = np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)
-    syms = word_symbols()[np.frombuffer(b"".join(raw), "<u4")]
-    of = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+def word_hashes(points: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts that lie one behind the other, and the number of the
+    text of each. Words are runs of letters and digits in lower case."""
+    syms = word_symbols()[points]
     inside = syms != 0
     begin = inside.copy()
     begin[1:] &= ~inside[:-1] | (of[1:] != of[:-1])
     starts = np.flatnonzero(begin)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32), len(ends)
+        return np.zeros(0, np.uint64), np.zeros(0, of.dtype)
     # a word's hash: the sum of its stirred (symbol, place) pairs; places count from its start
     number = np.cumsum(begin) - 1
     place = np.arange(len(syms)) - starts[np.maximum(number, 0)]
     stirred = mix(syms * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
     stirred[~inside] = 0
-    total = np.concatenate([[np.uint64(0)], np.cumsum(stirred, dtype=np.uint64)])
-    words = mix(total[np.append(starts[1:], len(syms))] - total[starts])
-    word_of = of[starts]
+    return mix(np.add.reduceat(stirred, starts)), of[starts]
+
+
+def word_shingles(texts, n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """64-bit hashes of all runs of n words of an Arrow column of texts, the number of the text of
+    each, and the number of texts. Words are runs of letters and digits in lower case; a text
+    with fewer words has one shingle of all of them, a null text none."""
+    raw = [(t.as_py() or "").encode("utf-32-le") for t in texts]
+    ends = np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)
+    of = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(ends, prepend=0))
+    words, word_of = word_hashes(np.frombuffer(b"".join(raw), "<u4"), of)
+    if not len(words):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), len(ends)
     count = np.bincount(word_of, minlength=len(ends))
     first = np.concatenate([[0], np.cumsum(count)[:-1]])
     # the place of each word in its text decides whether n words begin there

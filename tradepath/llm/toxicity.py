@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradepath.llm.common import cut, fresh
+from tradepath.llm.common import cut, fold, fresh
 from tradepath.llm.symbols import SYMBOL_BITS, symbols
 
 ORDER = 4
@@ -46,10 +46,6 @@ CALIBRATION = 50_000
 _HELD = 2_000_000
 
 
-def fold(doc_id: str, folds: int):
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
-
-
 def _mask(order: int) -> int:
     return (1 << (SYMBOL_BITS * order)) - 1
 
