@@ -115,11 +115,10 @@ def log_ratios(found: DataFrame) -> DataFrame:
     for order in range(ORDER - 1, 0, -1):
         types[order] = types[order + 1].groupBy(suffix(order).alias("key")).agg(
             F.count("*").alias("n"))
-    total = types[1].agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
+    total, kinds = types[1].agg(F.sum("n"), F.count("*")).first()
     d = F.lit(DISCOUNT)
-    uniform = d * F.col("kinds") / F.col("total") / F.lit(float(1 << SYMBOL_BITS))
-    lower = types[1].join(F.broadcast(total)).select(
-        "key", ((F.col("n") - d) / F.col("total") + uniform).alias("p"))
+    uniform = DISCOUNT * kinds / max(total or 0, 1) / (1 << SYMBOL_BITS)
+    lower = types[1].select("key", ((F.col("n") - d) / F.lit(total) + F.lit(uniform)).alias("p"))
     for order in range(2, ORDER):
         sums = types[order].groupBy(context.alias("context")).agg(
             F.sum("n").alias("total"), F.count("*").alias("kinds"))
@@ -229,7 +228,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     known = known.where(fold("_id", folds) != held_out)
     apart = (held_out + CALIBRATION_FOLD) % folds
     plain = docs.select(doc_id, text)
-    train = plain.join(known.where(fold("_id", folds) != apart), plain[doc_id] == F.col("_id"))
+    # shuffled at every size, so that the join behaves alike; only the labels are held in memory
+    train = plain.join(known.where(fold("_id", folds) != apart).hint("shuffle_hash"),
+                       plain[doc_id] == F.col("_id"))
     model = _folded(log_ratios(cut(counts(train, text, "_label"))), bits)
     rest = measured(plain.where(fold(doc_id, folds) == apart), model, "_measure", text, bits)
     rest = rest.select(doc_id, "_measure.*")
