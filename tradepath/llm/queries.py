@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradepath.llm import (
     decontamination,
+    fingerprints,
     jaccard,
     language,
     packing,
@@ -80,3 +81,8 @@ def _(read):
 @_query("op7_quality_ranking")
 def _(read):
     return quality.score(read("documents"), read("labels"))
+
+
+@_query("op6_fingerprint_digest")
+def _(read):
+    return fingerprints.compare_with_next(read("documents"))
