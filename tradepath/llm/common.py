@@ -42,6 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a working copy, wherever Spark wrote it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fresh(label: str) -> str:
     """A name that no column of the caller's has."""
     return f"_{label}_{uuid.uuid4().hex[:8]}"

@@ -38,8 +38,9 @@ VOCABULARY = "byte_bpe_50k"
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str = VOCABULARY):
-    """A function from a text to its ids as an array of little-endian unsigned 32-bit numbers."""
+def encoder(vocabulary: str = VOCABULARY, ordinary: bool = False):
+    """A function from a text to its ids as an array of little-endian unsigned 32-bit numbers; if
+    ordinary, a special token that a text spells out is text like any other."""
     import base64
 
     import public_tokenizers
@@ -51,7 +52,7 @@ def encoder(vocabulary: str = VOCABULARY):
     fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN,
                              mergeable_ranks=ranks, special_tokens={})
     plain = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    special = [t.content for t in plain.get_added_tokens_decoder().values()]
+    special = [] if ordinary else [t.content for t in plain.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):

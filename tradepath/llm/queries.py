@@ -16,6 +16,7 @@ from tradepath.llm import (
     quality,
     repeats,
     secret_scan,
+    separators,
     toxicity,
 )
 from tradepath.llm.common import table
@@ -86,3 +87,8 @@ def _(read):
 @_query("op6_fingerprint_digest")
 def _(read):
     return fingerprints.compare_with_next(read("documents"))
+
+
+@_query("op4_separator_scan")
+def _(read):
+    return separators.count_tokens(read("documents"))
