@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradepath.sources.workspace import shared_folder
+from tradepath.sources.workspace import fresh_path, remove, shared_folder  # noqa: F401
 
 WORD = r"[\p{L}\p{N}]+"
 #: Rows up to which a side may be broadcast; above it the join is shuffled.
@@ -42,10 +42,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a working copy, wherever Spark wrote it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared folder, for wide or many rows."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh(label: str) -> str:

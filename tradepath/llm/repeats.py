@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradepath.llm.common import cut, group_starts, whole_groups
+from tradepath.llm.common import group_starts, whole_groups, written
 from tradepath.llm.symbols import mix
 
 SPAN = 200
@@ -303,7 +303,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, doc_id
     # 1. anchors that occur again
     one = F.col("kind") == 0
     again = runs.where(one).groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1")
-    left = cut(runs.join(again.select("anchor"), "anchor", "left_semi"))
+    left = written(runs.join(again.select("anchor"), "anchor", "left_semi"), "runs")
     # 2. regions that occur again
     regions = left.where(one).groupBy("anchor", "region").agg(
         F.sum("n").alias("n"),
@@ -331,7 +331,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, doc_id
         doc, h, T.StructField("anchor", T.LongType()), start,
         T.StructField("offset", T.IntegerType()), T.StructField("n", T.IntegerType()),
         T.StructField("bytes", T.BinaryType()), T.StructField("crowded", T.BooleanType())])
-    pieces = cut(some.mapInArrow(_region_bytes(span, byte_schema.names), byte_schema))
+    pieces = written(some.mapInArrow(_region_bytes(span, byte_schema.names), byte_schema), "regions")
     span_schema = T.StructType([doc, h, start, T.StructField("end", T.LongType())])
     near = (
         pieces.where("NOT crowded").select("anchor", "doc", "h", "start", "offset", "n", "bytes")
