@@ -1,5 +1,9 @@
 """Rules whose exact reading changes answers."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -167,6 +171,9 @@ def test_incremental_load(spark):
     target = spark.createDataFrame([(1, 10), (9, 15)], "k long, t long")
     new = bronze.above_watermark(source, target, "t", ["k"])
     assert {r["k"] for r in new.collect()} == {2, 3}
+    tied = spark.createDataFrame([(4, 15), (5, 14), (6, None)], "k long, t long")
+    assert {r["k"] for r in bronze.above_watermark(tied, target, "t", ["k"]).collect()} == {4}
+    assert {r["k"] for r in bronze.below_watermark(tied, target, "t", ["k"]).collect()} == {5, 6}
     assert bronze.above_watermark(source, target.where("false"), "t", ["k"]).count() == 4
 
 
@@ -217,7 +224,8 @@ def test_history_keeps_changes_only(spark):
 def test_history_merge_and_lookup(spark):
     dim = scd.history(feed(spark, [(1, "x", "2020-01-01"), (2, "q", "2020-01-01")]), ["k"], ["a"], "t")
     updates = feed(spark, [(1, "y", "2020-06-01"), (2, "q", "2020-06-01"), (3, "n", "2020-06-01")])
-    merged = scd.merge(dim, updates, ["k"], ["a"], "t")
+    seen = feed(spark, [(1, "x", "2020-01-01"), (2, "q", "2020-01-01")]).union(updates)
+    merged = scd.merge(dim, seen, updates, ["k"], ["a"], "t")
     rows = {(r["k"], r["a"]): (r[scd.END] is None, r[scd.CURRENT]) for r in merged.collect()}
     assert rows == {(1, "x"): (False, False), (1, "y"): (True, True), (2, "q"): (True, True),
                     (3, "n"): (True, True)}
@@ -226,12 +234,67 @@ def test_history_merge_and_lookup(spark):
     assert sorted((r["k"], r["version"] or "") for r in found.collect()) == [(1, "x"), (1, "y"), (4, "")]
 
 
+def test_merge_does_not_depend_on_the_order_of_arrival(spark):
+    rows = [(1, "a", "2020-01-01"), (1, "b", "2020-03-01"), (1, "a", "2020-05-01"),
+            (1, "z", "2020-02-01"), (1, "z", "2020-06-01"), (2, "q", "2020-01-01"),
+            (2, "r", "2020-01-02"), (2, "q", "2020-01-03"), (3, "n", "2021-01-01")]
+    want = sorted(map(str, scd.history(feed(spark, rows), ["k"], ["a"], "t").collect()))
+    for order in ([0, 1, 2, 3, 4, 5, 6, 7, 8], [8, 4, 7, 2, 5, 0, 6, 1, 3], [3, 1, 0, 6, 2, 7, 4, 8, 5]):
+        came = [rows[i] for i in order]
+        dim = scd.history(feed(spark, came[:3]), ["k"], ["a"], "t")
+        for upto in (6, 9):
+            dim = scd.merge(dim, feed(spark, came[:upto]), feed(spark, came[upto - 3:upto]),
+                            ["k"], ["a"], "t")
+        assert sorted(map(str, dim.collect())) == want
+
+
+def test_keys_tell_nulls_apart(spark):
+    df = spark.createDataFrame([("z", None, "x"), ("z", "x", None)], "a string, b string, c string")
+    for make in (scd.hash_key, scd.wide_key):
+        assert df.select(make("a", "b", "c").alias("k")).distinct().count() == 2
+
+
 def test_words(spark):
     df = spark.createDataFrame([("L'été d'Ana's 42 is a's ''quoted'' x",), (None,)], "t string")
     got = {r["word"]: r["n"] for r in terms.word_counts(df, "t").collect()}
     assert got == {"l'été": 1, "d'ana": 1, "quoted''": 1}
 
 
+def test_a_cluster_must_name_its_folder():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(Session())
+
+
+def test_nothing_is_left_behind(tmp_path):
+    """A session's working copies go with it, whether it named a folder or not."""
+    code = """
+import sys
+from pyspark.sql import SparkSession
+from tradepath.sources import workspace
+builder = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+if sys.argv[1]:
+    builder = builder.config("spark.checkpoint.dir", sys.argv[1])
+spark = builder.getOrCreate()
+assert workspace.materialise(spark.range(5), "x").count() == 5
+print("FOLDER", workspace.shared_folder(spark))
+spark.stop()
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for folder in (str(tmp_path / "shared"), ""):
+        out = subprocess.run([sys.executable, "-c", code, folder], cwd=root, capture_output=True,
+                             text=True, timeout=120, check=True).stdout
+        place = out.split("FOLDER ")[1].strip()
+        assert not [f for _, _, files in os.walk(place) for f in files]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert workspace.fresh_path(spark, "x").startswith(folder)

@@ -5,8 +5,8 @@ suits small domains such as scores and days. For money, seconds or ratios the
 number of distinct values grows with the data, so the work is split by value:
 
 1. count rows per (group, value), combined before the shuffle;
-2. place each value in a bucket that grows with the value, and sum the buckets;
-   a group has at most 200,000 buckets whatever the row count;
+2. place each value in a bucket of its group's range, and sum the buckets; a group has
+   at most 41,000 buckets whatever the row count;
 3. a running sum over buckets gives each bucket the number of rows before it;
 4. only buckets that hold a wanted rank are opened and counted value by value.
 
@@ -18,16 +18,34 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# A bucket at value v is about v / 2,000 wide down to 1e-6; up to 1e15 a group has at most
-# 100,000 buckets of each sign.
+# Buckets follow the range of their group: the distance from its least value, as a share of the
+# range, on a logarithmic scale. A group has at most about 2,000 * ln(1e9) = 41,000 buckets, fine
+# ones near its least value; values in a narrow range far from zero spread as others do.
 RESOLUTION = 2_000
-SMALLEST = 1e-6
+SMALLEST = 1e-9
+GROUP = ["_total", "_min", "_max", "_mean"]
 
 
-def _bucket(value):
-    # never null: a null filter pushed into one use of the histogram would stop its reuse
-    place = F.signum(value) * F.log1p(F.abs(value) / SMALLEST) * RESOLUTION
-    return F.coalesce(F.floor(place), F.lit(0).cast("long"))
+def _bucket():
+    """The bucket of v, from the range of its group in _min and _max. Never null: a null filter
+    pushed into one use of the histogram would stop its reuse."""
+    share = (F.col("v") - F.col("_min")) / F.nullif(F.col("_max") - F.col("_min"), F.lit(0.0))
+    place = F.floor(F.log1p(share / SMALLEST) * RESOLUTION)
+    return F.coalesce(place, F.lit(0).cast("long"))
+
+
+def _located(hist: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The histogram with its group's _total, _min, _max and _mean, and the bucket _b."""
+    stats = hist.groupBy(*by).agg(
+        F.sum("n").alias("_total"), F.min("v").alias("_min"), F.max("v").alias("_max"),
+        (F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_mean"),
+    )
+    if by:
+        out = hist.join(stats, list(by))
+    else:  # one row: a value in the plan, not a join
+        one = stats.select(F.struct(*GROUP)).scalar()
+        out = hist.withColumns({c: one[c] for c in GROUP})
+    return out.withColumn("_b", _bucket())
 
 
 def histogram(
@@ -44,25 +62,20 @@ def histogram(
     return out.groupBy(*by, "v").agg(F.sum("_w").alias("n"))
 
 
-def _bucket_totals(hist: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Per bucket: rows, rows before it in its group, and the group's moments."""
-    totals = hist.groupBy(*by, _bucket(F.col("v")).alias("_b")).agg(
+def _bucket_totals(located: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Per bucket: rows, rows before it in its group, and the group's figures. Squares are those of
+    the distances from the mean, so large values lose nothing."""
+    totals = located.groupBy(*by, "_b").agg(
         F.expr("sum(n) AS _rows"),
-        F.expr("sum(n * v) AS _sum"),
-        F.expr("sum(n * v * v) AS _squares"),
-        F.expr("min(v) AS _min"),
-        F.expr("max(v) AS _max"),
+        F.expr("sum(n * (v - _mean) * (v - _mean)) AS _squares"),
+        *[F.max(c).alias(c) for c in GROUP],
     )
     group = f"PARTITION BY {', '.join(by)}" if by else ""
     earlier = f"{group} ORDER BY _b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     return totals.selectExpr(
-        *by, "_b", "_rows",
+        *by, "_b", "_rows", *GROUP,
         f"coalesce(sum(_rows) OVER ({earlier}), 0L) AS _before",
-        f"sum(_rows) OVER ({group}) AS _total",
-        f"sum(_sum) OVER ({group}) AS _sum",
         f"sum(_squares) OVER ({group}) AS _squares",
-        f"min(_min) OVER ({group}) AS _min",
-        f"max(_max) OVER ({group}) AS _max",
     )
 
 
@@ -85,8 +98,8 @@ def distribution(
     """
     probs = dict(probs or {})
     by = list(by)
-    hist = histogram(df, value, by, copies)
-    buckets = _bucket_totals(hist, by)
+    located = _located(histogram(df, value, by, copies), by)
+    buckets = _bucket_totals(located, by)
 
     wanted = []
     for i, p in enumerate(probs.values()):
@@ -103,10 +116,10 @@ def distribution(
         buckets = buckets.where("_before = 0").withColumn("_wanted", F.lit(None))
 
     keys = [*by, "_b"]
-    moments = ["_total", "_sum", "_squares", "_min", "_max"]
+    moments = ["_squares", *GROUP]
     if wanted:
         opened = (
-            hist.withColumn("_b", _bucket(F.col("v")))
+            located.select(*keys, "v", "n")
             .join(buckets.select(*keys, "_wanted", *moments), keys)
             .withColumn("_skip", F.coalesce(F.sum("n").over(_open_bucket(by)), F.lit(0)))
             .select(*by, "v", "n", "_skip", *moments, F.explode("_wanted").alias("w"))
@@ -117,10 +130,8 @@ def distribution(
 
     columns = [
         "max(_total) AS count",
-        "max(_sum) / max(_total) AS mean",
-        """CASE WHEN max(_total) > 1 THEN sqrt(greatest(
-             max(_squares) - max(_sum) * max(_sum) / max(_total), 0D) / (max(_total) - 1))
-           END AS std""",
+        "max(_mean) AS mean",
+        "CASE WHEN max(_total) > 1 THEN sqrt(max(_squares) / (max(_total) - 1)) END AS std",
         "max(_min) AS min",
         "max(_max) AS max",
     ]
@@ -134,16 +145,14 @@ def distribution(
 
 
 def moments(df: DataFrame, value: str, copies: str | None = None) -> DataFrame:
-    """count, mean and std (sample) of a column in one pass, nulls left out."""
-    rows = df.select(
-        F.col(value).cast("double").alias("v"),
-        (F.col(copies) if copies else F.lit(1)).cast("long").alias("n"),
-    ).where("v IS NOT NULL")
-    return rows.selectExpr("sum(n) AS count", "sum(n * v) AS _s", "sum(n * v * v) AS _q").selectExpr(
-        "count",
-        "_s / count AS mean",
-        """CASE WHEN count > 1 THEN sqrt(greatest(_q - _s * _s / count, 0D) / (count - 1)) END
-           AS std""",
+    """count, mean and std (sample) of a column, nulls left out; squares are of the distances from
+    the mean, over the histogram."""
+    located = _located(histogram(df, value, (), copies), ())
+    return located.agg(
+        F.coalesce(F.max("_total"), F.lit(0)).alias("count"),
+        F.max("_mean").alias("mean"),
+        F.expr("""CASE WHEN max(_total) > 1 THEN
+            sqrt(sum(n * (v - _mean) * (v - _mean)) / (max(_total) - 1)) END AS std"""),
     )
 
 
@@ -160,8 +169,9 @@ def average_ranks(df: DataFrame, value, group: str, copies: str | None = None) -
     only the values of one bucket are ordered together.
     """
     hist = histogram(df, value, [group], copies)
-    buckets = _bucket_totals(hist.select("v", "n"), []).select("_b", "_before", "_total")
-    placed = hist.withColumn("_b", _bucket(F.col("v"))).join(buckets, "_b")
+    located = _located(hist, [])
+    buckets = _bucket_totals(located, []).select("_b", "_before")
+    placed = located.join(buckets, "_b")
     return placed.selectExpr(
         group, "v", "n", "_total AS total", "_before",
         "sum(n) OVER (PARTITION BY _b, v) AS n_value",

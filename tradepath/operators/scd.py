@@ -10,17 +10,37 @@ BEGINNING = "1900-01-01"
 UNKNOWN_KEY = -1
 
 
+def _marked(columns: Sequence[str]):
+    """Each column behind a mark for null, so that a null in one place is not one in another."""
+    return [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+
+
 def hash_key(*columns: str):
-    """Surrogate key of a business key: stable across loads, and no shuffle to assign."""
-    return F.xxhash64(*[F.col(c) for c in columns])
+    """Surrogate key of a business key: stable across loads, and no shuffle to assign. 64 bits,
+    for dimensions; the key tests check that it is unique."""
+    return F.xxhash64(*_marked(columns))
+
+
+def wide_key(*columns: str):
+    """A key of 256 bits for facts, whose rows are too many for 64."""
+    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+
+# Rows of a dense_keys bucket, about, unless the caller names the number of buckets.
+BUCKET_ROWS = 1_000_000
 
 
-def dense_keys(df: DataFrame, key: Sequence[str], name: str, buckets: int = 1024) -> DataFrame:
+def dense_keys(
+    df: DataFrame, key: Sequence[str], name: str, buckets: int | None = None
+) -> DataFrame:
     """Numbers 1..n over unique keys without sorting all rows in one task.
 
     Keys are hashed into buckets; the bucket counts give each bucket its offset, and rows
-    are numbered inside their bucket.
+    are numbered inside their bucket. The number of buckets follows the number of rows, so a
+    bucket stays small whatever the size.
     """
+    if buckets is None:
+        buckets = max(8, -(-df.count() // BUCKET_ROWS))
     placed = df.withColumn("_b", F.pmod(F.xxhash64(*key), F.lit(buckets)))
     offsets = placed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).selectExpr(
         "_b",
@@ -29,7 +49,7 @@ def dense_keys(df: DataFrame, key: Sequence[str], name: str, buckets: int = 1024
     )
     inside = F.row_number().over(Window.partitionBy("_b").orderBy(*key))
     return (
-        placed.join(F.broadcast(offsets), "_b")  # at most `buckets` rows
+        placed.join(offsets, "_b")
         .withColumn(name, F.col("_offset") + inside)
         .drop("_b", "_offset")
     )
@@ -73,37 +93,20 @@ def history(
 
 
 def merge(
-    dim: DataFrame, updates: DataFrame, key: Sequence[str], attributes: Sequence[str], at: str
+    dim: DataFrame, feed: DataFrame, updates: DataFrame, key: Sequence[str],
+    attributes: Sequence[str], at: str,
 ) -> DataFrame:
-    """A dimension after new observations, one per key: changed keys get their current row
-    closed and a new one opened, new keys a first row, all others stay as they are."""
-    key, columns = list(key), list(dim.columns)
-    old = dim.where(CURRENT).select(*key, F.struct(*columns).alias("_old"))
-    new = updates.select(*key, F.struct(*attributes).alias("_new"), F.col(at).alias("_at"))
-    both = old.join(new, key, "full")
-    same = F.struct(*[F.col(f"_old.{a}").alias(a) for a in attributes]).eqNullSafe(F.col("_new"))
-    keep = F.col("_new").isNull() | (F.col("_old").isNotNull() & same)
-    late = F.col("_at") <= F.col(f"_old.{START}")
-    closed = F.struct(*[
-        F.col("_at").alias(c) if c == END else F.lit(False).alias(c) if c == CURRENT
-        else F.col(f"_old.{c}").alias(c)
-        for c in columns
-    ])
-    opened = F.struct(*[
-        F.col(c) if c in key
-        else F.col(f"_new.{c}").alias(c) if c in attributes
-        else F.col("_at").alias(c) if c == START
-        else F.lit(True).alias(c) if c == CURRENT
-        else F.lit(None).cast(dim.schema[c].dataType).alias(c)
-        for c in columns
-    ])
-    rows = (
-        F.when(keep | F.coalesce(late, F.lit(False)), F.array("_old"))
-        .when(F.col("_old").isNull(), F.array(opened))
-        .otherwise(F.array(closed, opened))
-    )
-    current = both.select(F.explode(rows).alias("_row")).select("_row.*")
-    return dim.where(~F.col(CURRENT)).unionByName(current)
+    """A dimension after new observations, any number per key and in any order of arrival.
+
+    `feed` holds all observations so far, the updates among them (the append-only Bronze table).
+    The versions of the keys that the updates touch are built anew from it, so late and repeated
+    observations end up where they belong; all other keys stay as they are. The result is
+    `history` over the whole feed, at the cost of the touched keys.
+    """
+    key = list(key)
+    touched = updates.select(*key).distinct()
+    rebuilt = history(feed.join(touched, key, "left_semi"), key, attributes, at)
+    return dim.join(touched, key, "left_anti").unionByName(rebuilt, allowMissingColumns=True)
 
 
 def as_of(

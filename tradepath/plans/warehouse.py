@@ -12,10 +12,9 @@ from tradepath.functions.temporal import date_key, floor_days_between
 from tradepath.operators.quality import DuplicateCheck, NullCheck, ReferenceCheck, ReferenceRule
 from tradepath.operators.quality import run_checks
 from tradepath.operators.scd import (
-    BEGINNING, CURRENT, END, START, UNKNOWN_KEY, as_of, dense_keys, hash_key, history,
+    BEGINNING, CURRENT, END, START, UNKNOWN_KEY, as_of, dense_keys, hash_key, history, wide_key,
 )
 from tradepath.plans import silver
-from tradepath.sources.workspace import materialise
 
 SOURCE_SYSTEM = "marketplace"
 CUSTOMER_ATTRIBUTES = [
@@ -38,28 +37,89 @@ def _audit():
     ]
 
 
-def _known(key: str):
-    return F.coalesce(F.col(key), F.lit(UNKNOWN_KEY).cast("long")).alias(key)
+def _stamps():
+    return [F.current_timestamp().alias("CreatedAt"),
+            F.lit(None).cast("timestamp").alias("UpdatedAt")]
+
+
+def _known(key):
+    """A key column, with the unknown member's key where there is none."""
+    c = F.col(key) if isinstance(key, str) else key
+    out = F.coalesce(c, F.lit(UNKNOWN_KEY))
+    return out.alias(key) if isinstance(key, str) else out
+
+
+def _with_unknown(dim: DataFrame, key: str) -> DataFrame:
+    """A dimension and the row that facts without a member point to."""
+    fixed = {
+        key: F.lit(UNKNOWN_KEY), START: F.lit(BEGINNING), CURRENT: F.lit(True),
+        "SourceSystem": F.lit(SOURCE_SYSTEM), "CreatedAt": F.current_timestamp(),
+    }
+    return dim.unionByName(dim.sparkSession.range(1).select(*[
+        fixed.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in dim.schema
+    ]))
+
+
+# Every date that a fact has a key for: (table, column).
+ORDER_DATES = [
+    "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+    "order_delivered_customer_date", "order_estimated_delivery_date",
+]
 
 
 class Warehouse:
-    """Dimensions are written once to the shared folder and read by every fact."""
+    """Dimensions and facts as lazy frames; nothing runs while they are built.
+
+    With a `folder` the dimensions are read from there, after `write_dimensions` has put them
+    there, once per load; without one each fact derives those that it needs. `orders` stands in
+    for the marketplace's orders in the facts.
+    """
 
-    def __init__(self, m: Marketplace):
+    def __init__(self, m: Marketplace, folder: str | None = None, orders: DataFrame | None = None):
         self.m = m
+        self.folder = folder
+        self.orders = m.orders if orders is None else orders
+
+    DIMENSIONS = ("dates", "geography", "customers", "products", "sellers", "payment_types")
+
+    def write_dimensions(self, folder: str) -> "Warehouse":
+        """Write every dimension to the folder, and return a warehouse that reads them there. Each
+        is derived from those already written."""
+        out = Warehouse(self.m, folder, self.orders)
+        for name in self.DIMENSIONS:
+            derived = getattr(Warehouse, f"_{name}")(out)
+            derived.write.mode("overwrite").parquet(f"{folder}/{name}")
+            out.__dict__[name] = self.m.spark.read.schema(derived.schema).parquet(f"{folder}/{name}")
+        return out
+
+    def _dimension(self, name: str, derive) -> DataFrame:
+        if self.folder is None:
+            return derive()
+        return self.m.spark.read.parquet(f"{self.folder}/{name}")
 
     # dimensions
 
-    @cached_property
-    def dates(self) -> DataFrame:
-        """One row per day from the first purchase to the last estimate."""
-        span = self.m.orders.agg(
-            F.min("order_purchase_timestamp").cast("date").alias("a"),
-            F.max("order_estimated_delivery_date").cast("date").alias("b"),
-        )
+    dates = cached_property(lambda self: self._dimension("dates", self._dates))
+    geography = cached_property(lambda self: self._dimension("geography", self._geography))
+    customers = cached_property(lambda self: self._dimension("customers", self._customers))
+    products = cached_property(lambda self: self._dimension("products", self._products))
+    sellers = cached_property(lambda self: self._dimension("sellers", self._sellers))
+    payment_types = cached_property(
+        lambda self: self._dimension("payment_types", self._payment_types))
+
+    def _dates(self) -> DataFrame:
+        """One row per day from the first to the last date of any fact."""
+        days = self.m.orders.agg(
+            F.least(*[F.min(c) for c in ORDER_DATES]).cast("date").alias("a"),
+            F.greatest(*[F.max(c) for c in ORDER_DATES]).cast("date").alias("b"),
+        ).unionByName(self.m.reviews.agg(
+            F.min("review_creation_date").cast("date").alias("a"),
+            F.max("review_creation_date").cast("date").alias("b"),
+        ))
+        span = days.agg(F.min("a").alias("a"), F.max("b").alias("b"))
         d = F.col("d")
         weekday = F.weekday(d) + 1
-        return span.select(F.explode(F.sequence("a", "b")).alias("d")).select(
+        return _with_unknown(span.select(F.explode(F.sequence("a", "b")).alias("d")).select(
             date_key(d).alias("DateKey"),
             d.alias("FullDate"),
             weekday.alias("DayNumberOfWeek"),
@@ -73,10 +133,10 @@ class Warehouse:
             F.year(d).alias("CalendarYear"),
             F.date_format(d, "yyyy-MM").alias("YearMonth"),
             (weekday >= 6).alias("IsWeekend"),
-        )
+            F.current_timestamp().alias("CreatedAt"),
+        ), "DateKey")
 
-    @cached_property
-    def geography(self) -> DataFrame:
+    def _geography(self) -> DataFrame:
         """Zip prefixes: first load with coordinates to one decimal, corrected later."""
         exact = silver.geolocation(self.m)
         rough = exact.withColumns({
@@ -90,7 +150,7 @@ class Warehouse:
             feed, ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"],
             ["geolocation_lat", "geolocation_lng"], "at",
         )
-        return materialise(versions.select(
+        return _with_unknown(versions.select(
             hash_key("geolocation_zip_code_prefix", "geolocation_city", "geolocation_state", START)
             .alias("GeographyKey"),
             F.col("geolocation_zip_code_prefix").alias("ZipCodePrefix"),
@@ -102,19 +162,18 @@ class Warehouse:
             F.col("geolocation_lat").cast("decimal(9,6)").alias("Latitude"),
             F.col("geolocation_lng").cast("decimal(9,6)").alias("Longitude"),
             START, END, CURRENT, *_audit(),
-        ), "dim-geography")
+        ), "GeographyKey")
 
     def _placed(self, versions: DataFrame, zip_column: str, name: str) -> DataFrame:
         return as_of(versions, self.geography, {zip_column: "ZipCodePrefix"}, START,
                      {"GeographyKey": name})
 
-    @cached_property
-    def customers(self) -> DataFrame:
+    def _customers(self) -> DataFrame:
         versions = history(
             self.m.customer_changes, ["customer_id"], CUSTOMER_ATTRIBUTES, "changed_at"
         )
         placed = self._placed(versions, "customer_zip_code_prefix", "CustomerGeographyKey")
-        return materialise(placed.select(
+        return _with_unknown(placed.select(
             hash_key("customer_id", START).alias("CustomerKey"),
             F.col("customer_id").alias("CustomerId"),
             F.col("customer_unique_id").alias("CustomerUniqueId"),
@@ -123,10 +182,9 @@ class Warehouse:
             F.col("customer_state").alias("CustomerState"),
             F.col("customer_zip_code_prefix").alias("CustomerZipCodePrefix"),
             START, END, CURRENT, *_audit(),
-        ), "dim-customer")
+        ), "CustomerKey")
 
-    @cached_property
-    def products(self) -> DataFrame:
+    def _products(self) -> DataFrame:
         versions = history(
             self.m.product_changes, ["product_id"], PRODUCT_ATTRIBUTES, "changed_at"
         )
@@ -140,7 +198,7 @@ class Warehouse:
         def amount(c):
             return F.col(c).cast("decimal(18,4)")
 
-        return materialise(named.select(
+        return _with_unknown(named.select(
             hash_key("product_id", START).alias("ProductKey"),
             F.col("product_id").alias("ProductId"),
             F.col("product_category_name").alias("ProductCategoryName"),
@@ -153,13 +211,12 @@ class Warehouse:
             amount("product_height_cm").alias("ProductHeightCm"),
             amount("product_width_cm").alias("ProductWidthCm"),
             START, END, CURRENT, *_audit(),
-        ), "dim-product")
+        ), "ProductKey")
 
-    @cached_property
-    def sellers(self) -> DataFrame:
+    def _sellers(self) -> DataFrame:
         versions = history(self.m.seller_changes, ["seller_id"], SELLER_ATTRIBUTES, "changed_at")
         placed = self._placed(versions, "seller_zip_code_prefix", "SellerGeographyKey")
-        return materialise(placed.select(
+        return _with_unknown(placed.select(
             hash_key("seller_id", START).alias("SellerKey"),
             F.col("seller_id").alias("SellerId"),
             "SellerGeographyKey",
@@ -167,10 +224,9 @@ class Warehouse:
             F.col("seller_state").alias("SellerState"),
             F.col("seller_zip_code_prefix").alias("SellerZipCodePrefix"),
             START, END, CURRENT, *_audit(),
-        ), "dim-seller")
+        ), "SellerKey")
 
-    @cached_property
-    def payment_types(self) -> DataFrame:
+    def _payment_types(self) -> DataFrame:
         """One row per code that occurs; labels are overwritten, not versioned."""
         details = {k: f"'{n}'" for k, (n, _, _) in ref.PAYMENT_TYPE_DETAILS.items()}
         groups = {k: f"'{g}'" for k, (_, g, _) in ref.PAYMENT_TYPE_DETAILS.items()}
@@ -182,31 +238,31 @@ class Warehouse:
             return F.expr(f"CASE PaymentTypeCode {arms} END")
 
         codes = self.m.payments.select(F.col("payment_type").alias("PaymentTypeCode")).distinct()
-        return dense_keys(codes, ["PaymentTypeCode"], "PaymentTypeKey", buckets=1).select(
+        return _with_unknown(dense_keys(codes, ["PaymentTypeCode"], "PaymentTypeKey", 1).select(
             F.col("PaymentTypeKey").cast("int").alias("PaymentTypeKey"),
             "PaymentTypeCode",
             lookup(details).alias("PaymentTypeName"),
             lookup(groups).alias("PaymentCategory"),
             lookup(digital).alias("IsDigitalPayment"),
-        )
+        ), "PaymentTypeKey")
 
     # facts
 
     def _orders(self) -> DataFrame:
         """Orders with the customer version valid at purchase."""
         return as_of(
-            self.m.orders, self.customers, {"customer_id": "CustomerId"},
+            self.orders, self.customers, {"customer_id": "CustomerId"},
             "order_purchase_timestamp",
             {"CustomerKey": "CustomerKey", "CustomerZipCodePrefix": "_zip"},
         )
 
     def fact_sales(self) -> DataFrame:
-        """One row per order item."""
+        """One row per order item; items of an unknown order point to the unknown members."""
         orders = self._orders().select(
             "order_id", "CustomerKey", "order_status", "order_purchase_timestamp",
             "order_approved_at",
         )
-        rows = self.m.items.join(orders, "order_id")
+        rows = self.m.items.join(orders, "order_id", "left")
         rows = as_of(rows, self.products, {"product_id": "ProductId"},
                      "order_purchase_timestamp", {"ProductKey": "ProductKey"})
         rows = as_of(rows, self.sellers, {"seller_id": "SellerId"},
@@ -214,38 +270,38 @@ class Warehouse:
         price, freight = F.col("price").cast("decimal(18,2)"), F.col("freight_value")
         quantity = F.lit(1)
         return rows.select(
-            hash_key("order_id", "order_item_id").alias("SalesKey"),
+            wide_key("order_id", "order_item_id").alias("SalesKey"),
             F.col("order_id").alias("OrderId"),
             F.col("order_item_id").alias("OrderItemId"),
             _known("CustomerKey"), _known("ProductKey"), _known("SellerKey"),
-            date_key("order_purchase_timestamp").alias("OrderPurchaseDateKey"),
+            _known(date_key("order_purchase_timestamp")).alias("OrderPurchaseDateKey"),
             date_key("order_approved_at").alias("OrderApprovedDateKey"),
-            F.col("order_status").alias("OrderStatus"),
+            F.coalesce("order_status", F.lit("unknown")).alias("OrderStatus"),
             quantity.alias("Quantity"),
             price.alias("ItemPriceAmount"),
             freight.cast("decimal(18,2)").alias("FreightAmount"),
             (price * quantity).cast("decimal(18,2)").alias("GrossSalesAmount"),
             (price * quantity + freight).cast("decimal(18,2)").alias("TotalItemAmount"),
-            F.current_timestamp().alias("CreatedAt"),
+            *_stamps(),
         )
 
     def fact_payments(self) -> DataFrame:
-        """One row per payment of an order."""
+        """One row per payment; payments of an unknown order point to the unknown customer."""
         orders = self._orders().select("order_id", "CustomerKey", "order_purchase_timestamp")
         kinds = self.payment_types.select("PaymentTypeKey", "PaymentTypeCode")
         return (
-            self.m.payments.join(orders, "order_id")
+            self.m.payments.join(orders, "order_id", "left")
             .join(kinds, F.col("payment_type") == F.col("PaymentTypeCode"), "left")
             .select(
-                hash_key("order_id", "payment_sequential").alias("PaymentKey"),
+                wide_key("order_id", "payment_sequential").alias("PaymentKey"),
                 F.col("order_id").alias("OrderId"),
                 F.col("payment_sequential").alias("PaymentSequence"),
                 _known("CustomerKey"),
-                F.coalesce("PaymentTypeKey", F.lit(UNKNOWN_KEY)).alias("PaymentTypeKey"),
-                date_key("order_purchase_timestamp").alias("OrderPurchaseDateKey"),
+                _known("PaymentTypeKey"),
+                _known(date_key("order_purchase_timestamp")).alias("OrderPurchaseDateKey"),
                 F.col("payment_installments").alias("PaymentInstallments"),
                 F.col("payment_value").cast("decimal(18,2)").alias("PaymentValueAmount"),
-                F.current_timestamp().alias("CreatedAt"),
+                *_stamps(),
             )
         )
 
@@ -259,11 +315,11 @@ class Warehouse:
 
         delivered = F.col("order_delivered_customer_date").isNotNull()
         return rows.select(
-            hash_key("order_id").alias("DeliveryKey"),
+            wide_key("order_id").alias("DeliveryKey"),
             F.col("order_id").alias("OrderId"),
             _known("CustomerKey"),
             "CustomerGeographyKey",
-            date_key("order_purchase_timestamp").alias("OrderPurchaseDateKey"),
+            _known(date_key("order_purchase_timestamp")).alias("OrderPurchaseDateKey"),
             date_key("order_approved_at").alias("OrderApprovedDateKey"),
             date_key("order_delivered_carrier_date").alias("CarrierDeliveredDateKey"),
             date_key("order_delivered_customer_date").alias("CustomerDeliveredDateKey"),
@@ -279,14 +335,14 @@ class Warehouse:
             delivered.alias("IsDelivered"),
             (F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date"))
             .alias("IsLateDelivery"),
-            F.current_timestamp().alias("CreatedAt"),
+            *_stamps(),
         )
 
     def fact_reviews(self) -> DataFrame:
         """Latest review per order with sentiment, lag and the late flag."""
         customers = self._orders().select("order_id", "CustomerKey")
         return silver.order_reviews(self.m).join(customers, "order_id", "left").select(
-            hash_key("review_id").alias("ReviewKey"),
+            wide_key("review_id").alias("ReviewKey"),
             F.col("review_id").alias("ReviewId"),
             F.col("order_id").alias("OrderId"),
             _known("CustomerKey"),
@@ -300,16 +356,23 @@ class Warehouse:
     def key_tests(self) -> DataFrame:
         """Unique and present keys of each dimension and fact, and foreign keys that resolve."""
         customer = ReferenceRule("CustomerKey", self.customers.select("CustomerKey"))
-        day = ReferenceRule("OrderPurchaseDateKey", self.dates.select("DateKey"))
+        places, days = self.geography.select("GeographyKey"), self.dates.select("DateKey")
+        day = ReferenceRule("OrderPurchaseDateKey", days)
+        # dates that an order may not have reached, and places that may not be known
+        def later(*columns):
+            return [ReferenceRule(c, days, allow_nulls=True) for c in columns]
+
         plans = [
             ("DimDate", self.dates, ["DateKey"], []),
             ("DimGeography", self.geography, ["GeographyKey"], []),
-            ("DimCustomer", self.customers, ["CustomerKey"], []),
+            ("DimCustomer", self.customers, ["CustomerKey"], [
+                ReferenceRule("CustomerGeographyKey", places, allow_nulls=True)]),
             ("DimProduct", self.products, ["ProductKey"], []),
-            ("DimSeller", self.sellers, ["SellerKey"], []),
+            ("DimSeller", self.sellers, ["SellerKey"], [
+                ReferenceRule("SellerGeographyKey", places, allow_nulls=True)]),
             ("DimPaymentType", self.payment_types, ["PaymentTypeKey"], []),
             ("FactSales", self.fact_sales(), ["SalesKey"], [
-                customer, day,
+                customer, day, *later("OrderApprovedDateKey"),
                 ReferenceRule("ProductKey", self.products.select("ProductKey")),
                 ReferenceRule("SellerKey", self.sellers.select("SellerKey")),
             ]),
@@ -317,8 +380,14 @@ class Warehouse:
                 customer, day,
                 ReferenceRule("PaymentTypeKey", self.payment_types.select("PaymentTypeKey")),
             ]),
-            ("FactDelivery", self.fact_delivery(), ["DeliveryKey"], [customer, day]),
-            ("FactReviews", self.fact_reviews(), ["ReviewKey"], [customer]),
+            ("FactDelivery", self.fact_delivery(), ["DeliveryKey"], [
+                customer, day,
+                ReferenceRule("CustomerGeographyKey", places, allow_nulls=True),
+                *later("OrderApprovedDateKey", "CarrierDeliveredDateKey",
+                       "CustomerDeliveredDateKey", "EstimatedDeliveryDateKey"),
+            ]),
+            ("FactReviews", self.fact_reviews(), ["ReviewKey"], [
+                customer, ReferenceRule("ReviewDateKey", days)]),
         ]
         out = None
         for table, rows, key, references in plans:

@@ -47,9 +47,14 @@ def _(m):
     return csv.row_count(_orders_csv(m))
 
 
-@register("s03_csv_preview")
+@register("s03_csv_preview", "SELECT 5 AS n, 5 AS n_different, 5 AS n_known")
 def _(m):
-    return csv.preview(_orders_csv(m), 5)
+    """Five different orders of the file."""
+    rows = csv.preview(_orders_csv(m), 5).select("order_id")
+    known = m.orders.select(F.col("order_id").cast(rows.schema["order_id"].dataType).alias("id"))
+    return rows.join(known, F.col("order_id") == F.col("id"), "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("n_different"),
+        F.count("id").alias("n_known"))
 
 
 def _with_gaps(m):
@@ -93,13 +98,15 @@ def _(m):
         "kafka_key", "kafka_offset", "event_id", "user_id", "event_type", "value")
 
 
-@register("s08_ingest_stamp")
+@register("s08_ingest_stamp", """
+    SELECT topic AS kafka_topic, count(*) AS n_rows, 1 AS n_stamps, TRUE AS stamped FROM m_kafka
+    GROUP BY 1""")
 def _(m):
     rows = kafka.decode(kafka.project(m.kafka_rows), EVENT_SCHEMA)
     return rows.groupBy("kafka_topic").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("bronze_ingested_at").alias("n_stamps"),
-        F.min("bronze_ingested_at").alias("stamp"),
+        (F.count("bronze_ingested_at") == F.count(F.lit(1))).alias("stamped"),
     )
 
 
@@ -116,30 +123,42 @@ def _(m):
 @register("s11_bronze_partitioned_write", """
     SELECT CAST(year(order_purchase_timestamp) AS INTEGER) AS order_purchase_year,
       CAST(month(order_purchase_timestamp) AS INTEGER) AS order_purchase_month, count(*) AS n
-    FROM m_orders WHERE year(order_purchase_timestamp) = 1997 GROUP BY 1, 2""")
+    FROM m_orders GROUP BY 1, 2""")
 def _(m):
     path = fresh_path(m.spark, "bronze-orders")
     bronze.write_partitioned(m.orders, "orders", path)
-    return m.spark.read.parquet(path).where("order_purchase_year = 1997").groupBy(
+    return m.spark.read.parquet(path).groupBy(
         "order_purchase_year", "order_purchase_month").agg(F.count(F.lit(1)).alias("n"))
 
 
 _CUT = "2000-01-01"
+_DAILY = """(SELECT order_id, date_trunc('day', order_purchase_timestamp) AS t FROM m_orders)"""
+_LOADED = f"""(SELECT * FROM {_DAILY} WHERE t < TIMESTAMP '{_CUT}'
+      OR order_id % 10 = 0 AND t < TIMESTAMP '2000-06-01')"""
+
+
+def _daily_load(m):
+    """Orders by day, and those of them loaded so far: the last loaded day has others as well."""
+    source = m.orders.select("order_id", F.date_trunc("day", "order_purchase_timestamp").cast(
+        "timestamp_ntz").alias("t"))
+    return source, source.where((F.col("t") < F.lit(_CUT)) | (
+        (F.col("order_id") % 10 == 0) & (F.col("t") < F.lit("2000-06-01"))))
 
 
 @register("s12_incremental_load", f"""
-    WITH target AS (SELECT * FROM m_orders WHERE order_purchase_timestamp < TIMESTAMP '{_CUT}'
-      OR order_id % 10 = 0 AND order_purchase_timestamp < TIMESTAMP '2000-06-01')
-    SELECT order_id, {ts('order_purchase_timestamp')} AS order_purchase_timestamp FROM m_orders
-    WHERE order_purchase_timestamp > (SELECT max(order_purchase_timestamp) FROM target)
-      AND order_id NOT IN (SELECT order_id FROM target)""")
+    SELECT order_id, {ts('t')} AS t FROM {_DAILY}
+    WHERE t >= (SELECT max(t) FROM {_LOADED})
+      AND order_id NOT IN (SELECT order_id FROM {_LOADED})""")
+def _(m):
+    return bronze.above_watermark(*_daily_load(m), "t", ["order_id"])
+
+
+@register("s12_late_rows", f"""
+    SELECT order_id, {ts('t')} AS t FROM {_DAILY}
+    WHERE t < (SELECT max(t) FROM {_LOADED})
+      AND order_id NOT IN (SELECT order_id FROM {_LOADED})""")
 def _(m):
-    ts_ = F.col("order_purchase_timestamp")
-    loaded = m.orders.where((ts_ < F.lit(_CUT)) | ((F.col("order_id") % 10 == 0)
-                                                  & (ts_ < F.lit("2000-06-01"))))
-    return bronze.above_watermark(
-        m.orders, loaded, "order_purchase_timestamp", ["order_id"]
-    ).select("order_id", "order_purchase_timestamp")
+    return bronze.below_watermark(*_daily_load(m), "t", ["order_id"])
 
 
 @register("s13_upsert", """
@@ -161,15 +180,15 @@ def contract_tables(m):
     }
 
 
-_VIEW = {"orders": "m_orders", "customers": "m_customers", "order_items": "m_items",
-         "order_payments": "m_payments", "products": "m_products", "order_reviews": "m_reviews",
-         "sellers": "m_sellers", "geolocation": "m_geo", "category_translation": "m_translation"}
+TABLE_VIEWS = {"orders": "m_orders", "customers": "m_customers", "order_items": "m_items",
+               "order_payments": "m_payments", "products": "m_products", "order_reviews": "m_reviews",
+               "sellers": "m_sellers", "geolocation": "m_geo", "category_translation": "m_translation"}
 
 
 @register("s14_table_contracts", " UNION ALL ".join(f"""
     SELECT '{t}' AS table_name, '{check}' AS validation_name, 'passed' AS status,
       count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_failed FROM {v}"""
-    for t, v in _VIEW.items() for check in ("schema_validation", "null_validation")))
+    for t, v in TABLE_VIEWS.items() for check in ("schema_validation", "null_validation")))
 def _(m):
     out = None
     for name, rows in contract_tables(m).items():

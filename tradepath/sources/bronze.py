@@ -35,12 +35,21 @@ def write_partitioned(
 
 
 def above_watermark(source: DataFrame, target: DataFrame, watermark: str, key: Sequence[str]):
-    """Source rows later than anything in the target whose key the target lacks."""
+    """Source rows at or after the target's latest time whose key the target lacks. Rows of that
+    very time are looked at again, for a load may have ended between two of them."""
     mark = target.agg(F.max(watermark)).scalar()
-    newer = source.where(mark.isNull() | (F.col(watermark) > mark))
+    newer = source.where(mark.isNull() | (F.col(watermark) >= mark))
     return newer.join(target.select(*key), list(key), "left_anti")
 
 
+def below_watermark(source: DataFrame, target: DataFrame, watermark: str, key: Sequence[str]):
+    """Late rows: earlier than the mark, or without a time, with a key that the target lacks.
+    `above_watermark` leaves them out; they are here to be loaded or reported."""
+    mark = target.agg(F.max(watermark)).scalar()
+    older = source.where(mark.isNotNull() & ~F.coalesce(F.col(watermark) >= mark, F.lit(False)))
+    return older.join(target.select(*key), list(key), "left_anti")
+
+
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str], order: Sequence[str]):
     """Target and updates with the latest row per key; an update wins a tie."""
     both = target.withColumn("_update", F.lit(0)).unionByName(

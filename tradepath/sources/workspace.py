@@ -1,6 +1,5 @@
 """A shared folder for checkpoints and for tables that cut lineage."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,19 +7,46 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+def _filesystem(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names; a temporary one only where none is set, as in tests."""
+    """The folder the cluster names in `spark.checkpoint.dir`. A session on one machine that names
+    none gets one in Java's folder for temporary files; a cluster must name its own."""
     folder = spark.conf.get(SETTING, None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="tradepath-")
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {SETTING} to a folder that all executors of {master} share")
+        java = spark._jvm.java.lang.System.getProperty("java.io.tmpdir")
+        folder = f"{java.rstrip('/')}/tradepath-{spark.sparkContext.applicationId}"
+        _remove_at_exit(spark, folder)
         spark.conf.set(SETTING, folder)
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    filesystem, place = _filesystem(spark, folder)
+    if not filesystem.exists(place):
+        filesystem.mkdirs(place)
+        filesystem.deleteOnExit(place)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/tradepath/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses. Paths of a session lie in a folder of
+    its own, which goes when the session's application ends."""
+    own = f"{shared_folder(spark)}/tradepath/{spark.sparkContext.applicationId}"
+    _remove_at_exit(spark, own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a working copy, wherever Spark wrote it."""
+    filesystem, place = _filesystem(spark, path)
+    filesystem.delete(place, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
