@@ -178,3 +178,25 @@ def test_tail_probabilities(spark):
     df = spark.createDataFrame(table, "x double, k long")
     for r in h.add_chi_square_p(df, "x", "k").collect():
         assert abs(r["p_value"] - 0.05) < 1e-6
+
+
+def test_std_of_large_values(spark):
+    """Instants, identifiers and coordinates: little spread far from zero."""
+    rows = [(g, base + i, 1 + i % 2) for g, base in (("a", 1e9), ("b", 1.7e15), ("c", -23.5))
+            for i in range(3)]
+    df = spark.createDataFrame(rows, "g string, v double, k long")
+    want = {r["g"]: r["s"] for r in df.groupBy("g").agg(F.stddev_samp("v").alias("s")).collect()}
+    got = {r["g"]: r["std"] for r in distribution(df, "v", ["g"], {"m": 0.5}).collect()}
+    assert got == pytest.approx(want) and got["a"] == pytest.approx(1.0)
+    many = df.where("g = 'a'").selectExpr("v", "explode(sequence(1L, k)) AS one")
+    expected = many.agg(F.stddev_samp("v")).first()[0]
+    assert moments(df.where("g = 'a'"), "v", "k").first()["std"] == pytest.approx(expected)
+
+
+def test_narrow_ranges_split(spark):
+    """Values near 1e9 do not share a few buckets."""
+    from tradepath.operators.quantiles import _located, histogram
+
+    df = spark.range(5000).selectExpr("1e9 + id AS v")
+    buckets = _located(histogram(df, "v"), ()).select("_b").distinct().count()
+    assert buckets > 1000

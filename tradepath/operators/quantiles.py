@@ -36,16 +36,16 @@ def _bucket():
 
 def _located(hist: DataFrame, by: Sequence[str]) -> DataFrame:
     """The histogram with its group's _total, _min, _max and _mean, and the bucket _b."""
-    stats = hist.groupBy(*by).agg(
+    # without groups the one row of figures is broadcast, on a key that is the same in all rows
+    all_rows = F.col("v").isNull().alias("_all")
+    keys = list(by) or ["_all"]
+    hist = hist if by else hist.select("*", all_rows)
+    stats = hist.groupBy(*keys).agg(
         F.sum("n").alias("_total"), F.min("v").alias("_min"), F.max("v").alias("_max"),
         (F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_mean"),
     )
-    if by:
-        out = hist.join(stats, list(by))
-    else:  # one row: a value in the plan, not a join
-        one = stats.select(F.struct(*GROUP)).scalar()
-        out = hist.withColumns({c: one[c] for c in GROUP})
-    return out.withColumn("_b", _bucket())
+    located = hist.join(stats if by else F.broadcast(stats), keys)
+    return located.withColumn("_b", _bucket()).drop("_all")
 
 
 def histogram(
