@@ -155,6 +155,20 @@ class Marketplace:
             .drop("doc_id")
         )
 
+    def comments(self, *by) -> DataFrame:
+        """Each comment text once (per group in `by`) with the number of reviews that carry it.
+        Texts that come in fewer splits than there are cores are spread over the cores."""
+        docs = self.raw("documents").select(
+            "doc_id", F.col("text").alias("review_comment_message"))
+        total = self.raw("documents").agg(F.count(F.lit(1)).alias("n")).scalar()
+        cores = self.spark.sparkContext.defaultParallelism
+        if docs.rdd.getNumPartitions() < cores:
+            docs = docs.repartition(cores)
+        counts = self.reviews.where("order_id % 5 >= 3").groupBy(
+            (F.col("order_id") % total).alias("doc_id"), *by
+        ).agg(F.count(F.lit(1)).alias("copies"))
+        return docs.join(counts, "doc_id")
+
     @cached_property
     def _nations(self) -> DataFrame:
         return self.raw("nation").select(

@@ -376,9 +376,15 @@ def _reference_result(df: DataFrame, check: ReferenceCheck) -> DataFrame:
     return one.select(result.alias("r")).select("r.*")
 
 
+_RESULT_SCHEMA = (
+    "validation_name string, status string, severity string, rows_checked long, "
+    "rows_failed long, error_count long, message string, failures map<string,bigint>"
+)
+
+
 def _crashed(df: DataFrame, check, error: Exception) -> DataFrame:
     """A check that cannot be evaluated fails every row, as critical."""
-    text = str(error).splitlines()[0][:200] if str(error) else type(error).__name__
+    text = str(error) or type(error).__name__
     total = F.col("_total")
     return df.agg(F.count(F.lit(1)).alias("_total")).select(
         F.lit(check.name).alias("validation_name"),
@@ -392,33 +398,62 @@ def _crashed(df: DataFrame, check, error: Exception) -> DataFrame:
     )
 
 
-def run_checks(df: DataFrame, checks: Sequence[Any]) -> DataFrame:
-    """One result row per check. Row-local checks share one pass over the data."""
-    local, frames = [], []
-    for check in checks:
-        try:
-            if isinstance(check, DuplicateCheck):
-                frames.append(_duplicate_result(df, check))
-            elif isinstance(check, ReferenceCheck):
-                frames.append(_reference_result(df, check))
-            else:
-                if not isinstance(check, SchemaCheck):
-                    df.select(*_masks([c for _, c in check.rules(df)]))  # does it resolve?
-                local.append(check)
-        except Exception as error:  # noqa: BLE001
-            frames.append(_crashed(df, check, error))
+def _result_of(df: DataFrame, check) -> DataFrame:
+    if isinstance(check, DuplicateCheck):
+        return _duplicate_result(df, check)
+    if isinstance(check, ReferenceCheck):
+        return _reference_result(df, check)
+    return _row_local_results(df, [check])
+
+
+def _collected(df: DataFrame, check, build) -> list:
+    """Result rows of `build()`; if it fails, also at run time, those of a crashed check."""
+    try:
+        return build().select(*RESULT_COLUMNS).collect()
+    except Exception as error:  # noqa: BLE001
+        return _crashed(df, check, error).select(*RESULT_COLUMNS).collect()
+
+
+def timed_checks(df: DataFrame, checks: Sequence[Any]) -> list[tuple]:
+    """(result row, seconds) per check, in order. Row-local checks share one pass, and its time. If
+    that pass fails they run one by one, so that only the check that fails is lost."""
+    results: dict[int, tuple] = {}
+
+    def run(numbers, build):
+        started = time.perf_counter()
+        rows = build()
+        seconds = round(time.perf_counter() - started, 6)
+        results.update({n: (row, seconds) for n, row in zip(numbers, rows)})
+
+    local = [n for n, c in enumerate(checks) if not isinstance(c, (DuplicateCheck, ReferenceCheck))]
     if local:
-        frames.insert(0, _row_local_results(df, local))
-    if not frames:
-        return df.sparkSession.createDataFrame(
-            [],
-            "validation_name string, status string, severity string, rows_checked long, "
-            "rows_failed long, error_count long, message string, failures map<string,bigint>",
-        )
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out.select(*RESULT_COLUMNS)
+        together = [checks[n] for n in local]
+        try:
+            run(local, lambda: _in_order(_row_local_results(df, together), together))
+        except Exception:  # noqa: BLE001
+            for n in local:
+                run([n], lambda c=checks[n]: _collected(df, c, lambda: _result_of(df, c)))
+    for n, check in enumerate(checks):
+        if n not in results:
+            run([n], lambda c=check: _collected(df, c, lambda: _result_of(df, c)))
+    return [results[n] for n in range(len(checks))]
+
+
+def _in_order(results: DataFrame, checks: Sequence[Any]) -> list:
+    """The result rows in the order of their checks; checks of one name keep theirs."""
+    rows = results.select(*RESULT_COLUMNS).collect()
+    out = []
+    for check in checks:
+        at = next(i for i, r in enumerate(rows) if r["validation_name"] == check.name)
+        out.append(rows.pop(at))
+    return out
+
+
+def run_checks(df: DataFrame, checks: Sequence[Any]) -> DataFrame:
+    """One result row per check. The checks run at once, for a check that fails while it runs must
+    not take the others with it; what reaches the driver is one row per check."""
+    rows = [tuple(row) for row, _ in timed_checks(df, checks)]
+    return df.sparkSession.createDataFrame(rows, _RESULT_SCHEMA)
 
 
 def quality_score(results: DataFrame) -> DataFrame:
@@ -437,19 +472,28 @@ def quality_score(results: DataFrame) -> DataFrame:
 
 
 def write_report(df: DataFrame, checks: Sequence[Any], path: str, run_id: str) -> DataFrame:
-    """Run the checks, append the results with the run time to a table, and read them back."""
-    started = time.perf_counter()
-    results = run_checks(df, checks)
-    results.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(f"{path}/results")
-    seconds = round(time.perf_counter() - started, 6)
-    timing = df.sparkSession.range(1).select(
-        F.lit(run_id).alias("run_id"), F.lit(seconds).alias("execution_time_seconds")
-    )
-    timing.write.mode("append").parquet(f"{path}/runs")
+    """Run the checks, append their results with the time of each and its group (passed, failed or
+    warnings) to a table, and read this run back."""
+    rows = [(*row, seconds, run_id) for row, seconds in timed_checks(df, checks)]
+    results = df.sparkSession.createDataFrame(
+        rows, _RESULT_SCHEMA + ", execution_time_seconds double, run_id string")
+    group = F.when(F.col("status") == "warning", "warnings").otherwise(F.col("status"))
+    results.withColumn("status_group", group).write.mode("append").parquet(f"{path}/results")
     written = df.sparkSession.read.parquet(f"{path}/results")
     return written.where(F.col("run_id") == run_id)
 
 
+def _fails_at_run_time(df: DataFrame, check) -> bool:
+    """Whether a user's rules cannot be evaluated on some row; the other checks always can."""
+    if not isinstance(check, RuleCheck):
+        return False
+    try:
+        df.agg(*[F.count_if(c) for _, c in check.rules(df)] or [F.lit(0)]).collect()
+    except Exception:  # noqa: BLE001
+        return True
+    return False
+
+
 def flag_rows(df: DataFrame, checks: Sequence[Any], only: Sequence[str] | None = None):
     """df plus `_failed_checks`, the names of the checks each row fails.
 
@@ -461,7 +505,9 @@ def flag_rows(df: DataFrame, checks: Sequence[Any], only: Sequence[str] | None =
     for n, check in enumerate(checks):
         if only is not None and check.name not in only:
             continue
-        if isinstance(check, SchemaCheck):
+        if _fails_at_run_time(df, check):
+            flag = F.lit(True)  # as in the report: all rows fail it
+        elif isinstance(check, SchemaCheck):
             flag = F.lit(bool(check.findings(df)[0]))
         elif isinstance(check, DuplicateCheck):
             key = [c for c in (check.key or df.columns) if c in df.columns]

@@ -13,17 +13,21 @@ WORD = r"[\p{L}\p{N}_][\p{L}\p{N}_']+"
 SEPARATOR = r"[^\p{L}\p{N}_']+"
 
 
-def word_counts(df: DataFrame, text: str, keep: Sequence[str] = (), stop_words=None) -> DataFrame:
+def word_counts(
+    df: DataFrame, text: str, keep: Sequence[str] = (), stop_words=None, copies: str | None = None
+) -> DataFrame:
     """Occurrences per word; a possessive ending is dropped, as are stop words and numbers.
+    `copies` names a column with the number of texts that a row stands for.
 
     Pieces between separators are counted as they stand, in each task before the shuffle.
     Cleaning then touches each distinct piece once instead of every occurrence.
     """
     stop = list(ref.STOP_WORDS if stop_words is None else stop_words)
+    weight = (F.col(copies) if copies else F.lit(1)).cast("long").alias("_w")
     pieces = df.where(F.col(text).isNotNull()).select(
-        *keep, F.explode(F.split(F.lower(F.col(text)), SEPARATOR)).alias("_piece")
+        *keep, weight, F.explode(F.split(F.lower(F.col(text)), SEPARATOR)).alias("_piece")
     )
-    counts = pieces.groupBy(*keep, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    counts = pieces.groupBy(*keep, "_piece").agg(F.sum("_w").alias("_n"))
     valid = "length(_bare) > 1 AND NOT word RLIKE '^[0-9]+$'"
     if stop:
         valid += f" AND word NOT IN ({', '.join(repr(w) for w in stop)})"
@@ -35,9 +39,11 @@ def word_counts(df: DataFrame, text: str, keep: Sequence[str] = (), stop_words=N
     return cleaned.groupBy(*keep, "word").agg(F.sum("_kept").alias("n"))
 
 
-def top_words(df: DataFrame, text: str, n: int = 100, stop_words=None) -> DataFrame:
+def top_words(
+    df: DataFrame, text: str, n: int = 100, stop_words=None, copies: str | None = None
+) -> DataFrame:
     """The n most frequent words."""
-    counts = word_counts(df, text, (), stop_words)
+    counts = word_counts(df, text, (), stop_words, copies)
     return counts.orderBy(F.desc("n"), "word").limit(n)
 
 
@@ -57,10 +63,11 @@ def keyword_share(df: DataFrame, text: str, keywords: Sequence[str]) -> DataFram
 
 
 def contrast(
-    df: DataFrame, text: str, side: str, first: str, second: str, n: int = 50, minimum: int = 5
+    df: DataFrame, text: str, side: str, first: str, second: str, n: int = 50, minimum: int = 1,
+    copies: str | None = None,
 ) -> DataFrame:
     """Words that tell two groups of texts apart, by the log ratio of their smoothed shares."""
-    rows = word_counts(df.where(F.col(side).isin(first, second)), text, [side])
+    rows = word_counts(df.where(F.col(side).isin(first, second)), text, [side], copies=copies)
     counts = rows.groupBy("word").agg(
         F.sum(F.when(F.col(side) == first, F.col("n")).otherwise(F.lit(0))).alias("n_first"),
         F.sum(F.when(F.col(side) == second, F.col("n")).otherwise(F.lit(0))).alias("n_second"),

@@ -53,18 +53,25 @@ def _(m):
     return profile.row_copies(m.geolocation).drop("n_with_copy")
 
 
+ITEM_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+                "price", "freight_value"]
+
+
 @register("p04_cardinality", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct FROM m_items"
-    for c in ["order_id", "order_item_id", "product_id", "seller_id", "price"]))
+    for c in ITEM_COLUMNS))
 def _(m):
-    return profile.cardinality(
-        m.items, ["order_id", "order_item_id", "product_id", "seller_id", "price"]
-    )
+    return profile.cardinality(m.items, ITEM_COLUMNS)
 
 
-@register("p04_cardinality_approximate")
+@register("p04_cardinality_approximate", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", TRUE AS close" for c in ITEM_COLUMNS))
 def _(m):
-    return profile.cardinality(m.items, ["order_id", "product_id", "seller_id"], True)
+    """The approximate counts lie within a tenth of the exact ones."""
+    about = profile.cardinality(m.items, ITEM_COLUMNS, True).withColumnRenamed("n_distinct", "about")
+    exact = profile.cardinality(m.items, ITEM_COLUMNS)
+    return about.join(exact, "column").select("column", (
+        F.abs(F.col("about") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")).alias("close"))
 
 
 def _describe_sql(column):
@@ -492,9 +499,16 @@ def _(m):
     )
 
 
-@register("p43_random_sample")
+@register("p43_random_sample", "SELECT 100 AS n, 100 AS n_different, 100 AS n_known")
 def _(m):
-    return cleaning.sample_rows(m.orders.select("order_id", "order_status"), 100, seed=7)
+    """A hundred different orders, with the status that they have."""
+    orders = m.orders.select("order_id", "order_status")
+    sample = cleaning.sample_rows(orders, 100, seed=7)
+    known = orders.withColumnsRenamed({"order_id": "id", "order_status": "status"})
+    return sample.join(known, (F.col("order_id") == F.col("id")) & (
+        F.col("order_status") == F.col("status")), "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("order_id").alias("n_different"),
+        F.count("id").alias("n_known"))
 
 
 @register("p44_drop_nulls", """

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tradepath.contracts import CONTRACTS
 from tradepath.operators.quality import NullCheck, SchemaCheck
 from tradepath.registry import register
-from tradepath.registry.sources import EVENT_SCHEMA
+from tradepath.registry.sources import EVENT_SCHEMA, TABLE_VIEWS, contract_tables
 from tradepath.sources import kafka
 from tradepath.sources.workspace import fresh_path
 from tradepath.streaming import bronze, progress, quarantine
@@ -61,33 +61,31 @@ def _(m):
         F.lit(seen["name"]).alias("name"), "input_rows", F.lit(seen["active"]).alias("active"))
 
 
-def _order_messages(m):
-    """Orders and customers as JSON messages with the text columns of their contracts."""
-    def messages(df, table):
-        names = CONTRACTS[table].schema.names
-        text = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-        rows = kafka.encode(text, CONTRACTS[table].key)
-        return rows.select(
-            F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
-            F.lit(table).alias("topic"), F.lit(0).alias("partition"),
-            F.col("key").cast("long").alias("offset"),
-            F.lit("2024-01-01").cast("timestamp_ntz").alias("timestamp"))
+def _messages(df, table):
+    """Rows as JSON messages with the columns of their contract as text."""
+    contract = CONTRACTS[table]
+    names = [c for c in contract.schema.names if c in df.columns]
+    rows = kafka.encode(df.select(*[F.col(c).cast("string").alias(c) for c in names]), contract.key)
+    return rows.select(
+        F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+        F.lit(table).alias("topic"), F.lit(0).alias("partition"),
+        F.xxhash64("value").alias("offset"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("timestamp"))
 
-    return {"orders": messages(m.orders, "orders"), "customers": messages(m.customers, "customers")}
 
-
-@register("x05_table_streams", """
-    SELECT 'orders' AS table_name, order_status AS label, count(*) AS n FROM m_orders GROUP BY 2
-    UNION ALL SELECT 'customers', customer_state, count(*) FROM m_customers GROUP BY 2""")
+@register("x05_table_streams", " UNION ALL ".join(f"""
+    SELECT '{t}' AS table_name, count(*) AS n, count(DISTINCT {CONTRACTS[t].key}) AS n_keys FROM {v}"""
+    for t, v in TABLE_VIEWS.items()))
 def _(m):
+    """A stream for each of the nine contracts."""
     base = fresh_path(m.spark, "table-streams")
     out = None
-    for table, label in [("orders", "order_status"), ("customers", "customer_state")]:
+    for table, rows in contract_tables(m).items():
         config = bronze.table_stream(table, base)
-        bronze.run(_feed(m, _order_messages(m)[table], f"{table}-feed"), config, once=True)
-        part = m.spark.read.parquet(config.output_path).groupBy(
-            F.lit(table).alias("table_name"), F.col(label).alias("label")
-        ).agg(F.count(F.lit(1)).alias("n"))
+        bronze.run(_feed(m, _messages(rows, table), f"{table}-feed"), config, once=True)
+        part = m.spark.read.parquet(config.output_path).agg(
+            F.lit(table).alias("table_name"), F.count(F.lit(1)).alias("n"),
+            F.count_distinct(CONTRACTS[table].key).alias("n_keys"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -24,7 +24,7 @@ def _words(source, keep=""):
     SELECT word, count(*) AS n FROM ({_words('m_reviews_text')})
     GROUP BY 1 ORDER BY n DESC, word LIMIT 100""")
 def _(m):
-    return terms.top_words(m.reviews_with_text, "review_comment_message")
+    return terms.top_words(m.comments(), "review_comment_message", copies="copies")
 
 
 _LOW = "m_reviews_text WHERE review_score = 1 AND review_comment_message IS NOT NULL"
@@ -87,7 +87,8 @@ def _(m):
     t AS (SELECT sum(n_first) AS a, sum(n_second) AS b FROM c)
     SELECT word, n_first, n_second, {r('ln(((n_first + 1) / (a + 1)) / ((n_second + 1) / (b + 1)))')}
       AS log_ratio
-    FROM c, t WHERE n_first + n_second >= 5 ORDER BY log_ratio DESC, word LIMIT 50""")
+    FROM c, t ORDER BY log_ratio DESC, word LIMIT 50""")
 def _(m):
-    rows = m.reviews_with_text.withColumn("sentiment", labels.sentiment("review_score"))
-    return terms.contrast(rows, "review_comment_message", "sentiment", "negative", "positive")
+    rows = m.comments(labels.sentiment("review_score").alias("sentiment"))
+    return terms.contrast(rows, "review_comment_message", "sentiment", "negative", "positive",
+                          copies="copies")

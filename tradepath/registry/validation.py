@@ -212,10 +212,26 @@ def _(m):
     return q.quality_score(q.run_checks(m.items, engine_checks()))
 
 
-@register("v12_report")
+@register("v12_report", f"""
+    SELECT *, status AS status_group, 'first' AS run_id, TRUE AS timed FROM ({_ENGINE})""")
 def _(m):
     path = fresh_path(m.spark, "quality")
-    return q.write_report(m.items, engine_checks(), path, "first").drop("failures")
+    return q.write_report(m.items, engine_checks(), path, "first").select(
+        "validation_name", "status", "rows_checked", "rows_failed", "error_count", "severity",
+        "status_group", "run_id", (F.col("execution_time_seconds") > 0).alias("timed"))
+
+
+@register("v10_failing_rule", """
+    WITH n AS (SELECT count(*) AS n FROM m_items)
+    SELECT 'null_validation' AS validation_name, 'passed' AS status, n AS rows_checked,
+      CAST(0 AS BIGINT) AS rows_failed, 'error' AS severity FROM n
+    UNION ALL SELECT 'division', 'failed', n, n, 'critical' FROM n""")
+def _(m):
+    """A rule that divides by zero on some rows; the other check reports as it always does."""
+    rule = q.Rule("ratio", ["price"], lambda: F.lit(1) / (F.col("order_id") % 2) > 0)
+    checks = [q.NullCheck(["order_id"]), q.RuleCheck([rule], name="division")]
+    return q.run_checks(m.items, checks).select(
+        "validation_name", "status", "rows_checked", "rows_failed", "severity")
 
 
 @register("v13_row_flags", """
