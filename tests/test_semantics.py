@@ -299,3 +299,16 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert workspace.fresh_path(spark, "x").startswith(folder)
     assert workspace.fresh_path(spark, "x") != workspace.fresh_path(spark, "x")
+
+
+def test_repeated_orders_join_as_pandas_does(spark, market):
+    """An order listed twice without items gives two joined rows, one with two items gives four."""
+    from types import SimpleNamespace
+
+    orders = market.orders.where("order_status = 'delivered'").limit(1)
+    twice = orders.union(orders)
+    item = market.items.limit(1).drop("order_id").crossJoin(orders.select("order_id"))
+    empty = {t: getattr(market, t).where("false") for t in ("payments", "reviews")}
+    for items, n in ((item.where("false"), 2), (item.union(item), 4)):
+        m = SimpleNamespace(orders=twice, items=items, **empty)
+        assert stages.joined(m, [stages.ITEMS]).count() == n

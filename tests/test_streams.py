@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tradepath.contracts import struct
-from tradepath.operators.quality import NullCheck, SchemaCheck
+from tradepath.operators.quality import DuplicateCheck, NullCheck, SchemaCheck
 from tradepath.streaming import bronze, progress, quarantine
 
 SCHEMA = struct("id long, name string")
@@ -61,21 +61,13 @@ def test_failure_stops_the_stream_and_names_the_topic(spark, tmp_path):
 def test_progress_is_kept(spark, tmp_path):
     feed = f"{tmp_path}/feed"
     add(spark, feed, ['{"id":1}', '{"id":2}'])
-    log = progress.ProgressLog()
-    spark.streams.addListener(log)
-    try:
-        query = bronze.run(source(spark, feed), config(tmp_path), once=True)
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10000)
-        import time
-        for _ in range(50):
-            if any(r[6] for r in log.rows):
-                break
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(log)
-    table = log.flush(spark, f"{tmp_path}/progress")
+    log = progress.ProgressTable(spark, f"{tmp_path}/progress")
+    query = bronze.run(source(spark, feed), config(tmp_path), once=True, log=log, every=0.2)
+    table = log.read()
     assert table.agg(F.sum("input_rows")).first()[0] == 2
     assert table.where("ended = 'stopped'").count() == 1
+    log.record(query)  # nothing twice
+    assert log.read().agg(F.sum("input_rows")).first()[0] == 2
     seen = progress.latest(query)
     assert (seen["name"], seen["active"]) == ("bronze_t", False)
 
@@ -87,13 +79,22 @@ def test_quarantine_in_a_stream(spark, tmp_path):
     def go():
         rows = bronze.bronze_rows(source(spark, feed), SCHEMA)
         quarantine.start(
-            rows, [SchemaCheck(["id"]), NullCheck(["id"])], f"{tmp_path}/valid", f"{tmp_path}/bad",
-            f"{tmp_path}/check", once=True,
+            rows, [SchemaCheck(["id"]), NullCheck(["id"])], f"{tmp_path}/rows", f"{tmp_path}/check",
+            once=True,
         ).awaitTermination()
 
     go()
     add(spark, feed, ['{"id":2}'], start=2)
     go()
-    valid, bad = (spark.read.parquet(f"{tmp_path}/{p}") for p in ("valid", "bad"))
+    valid, bad = quarantine.read(spark, f"{tmp_path}/rows")
     assert sorted(r["id"] for r in valid.collect()) == [1, 2]
     assert [r["_failed_checks"] for r in bad.collect()] == [["null_validation"]]
+
+
+def test_checks_of_a_whole_table_are_refused_in_a_stream(spark, tmp_path):
+    feed = f"{tmp_path}/feed"
+    add(spark, feed, ['{"id":1}'])
+    rows = bronze.bronze_rows(source(spark, feed), SCHEMA)
+    for check in (NullCheck(["id"], threshold_percent=5), DuplicateCheck(["id"], name="null_validation")):
+        with pytest.raises(ValueError, match="whole table"):
+            quarantine.start(rows, [check], f"{tmp_path}/rows", f"{tmp_path}/check", once=True)

@@ -82,21 +82,27 @@ def rfm(m: Marketplace, as_of: str) -> DataFrame:
 
 
 def churn_features(m: Marketplace, as_of: str, window_days: int) -> DataFrame:
-    """RFM, delivery, payment and review features per person, and whether no second order
-    followed the first within the window."""
+    """Delivery, payment and review features of each person's first order, and whether no second
+    one followed within the window.
+
+    Features look at the first order alone, the label at what came after it, so none knows of
+    the other. A person whose window is not over at `as_of` has no label yet and is left out.
+    """
     facts = order_facts(m).where("customer_unique_id IS NOT NULL")
-    first = m.orders.join(
+    orders = m.orders.join(
         m.customers.select("customer_id", "customer_unique_id"), "customer_id"
-    ).groupBy("customer_unique_id").agg(
-        F.min("order_purchase_timestamp").alias("first_order")
-    )
-    again = F.expr(f"""order_purchase_timestamp > first_order AND order_purchase_timestamp
-                       <= first_order + make_dt_interval({window_days})""")
-    recency = floor_days_between(
-        F.lit(as_of).cast("timestamp_ntz"), F.max("order_purchase_timestamp")
-    )
-    return facts.join(first, "customer_unique_id").groupBy("customer_unique_id").agg(
-        recency.alias("recency_days"),
+    ).select("customer_unique_id", F.col("order_purchase_timestamp").alias("at"))
+    first = orders.groupBy("customer_unique_id").agg(F.min("at").alias("first_order"))
+    window = F.expr(f"first_order + make_dt_interval({window_days})")
+    now = F.lit(as_of).cast("timestamp_ntz")
+    again = (F.col("at") > F.col("first_order")) & (F.col("at") <= window)
+    labelled = orders.join(first.where(window <= now), "customer_unique_id").groupBy(
+        "customer_unique_id", "first_order"
+    ).agg((~F.coalesce(F.bool_or(again), F.lit(False))).alias("churned"))
+    return facts.join(labelled, "customer_unique_id").where(
+        "order_purchase_timestamp = first_order"
+    ).groupBy("customer_unique_id", "churned").agg(
+        floor_days_between(now, F.max("order_purchase_timestamp")).alias("recency_days"),
         F.count(F.lit(1)).alias("frequency"),
         F.coalesce(F.sum("total_payment_value"), F.lit(0)).alias("monetary"),
         F.avg("total_delivery_days").alias("avg_delivery_days"),
@@ -105,7 +111,6 @@ def churn_features(m: Marketplace, as_of: str, window_days: int) -> DataFrame:
         F.avg("review_score").alias("avg_review_score"),
         F.max("max_installments").alias("max_installments"),
         F.coalesce(F.bool_or("has_voucher"), F.lit(False)).alias("has_voucher"),
-        (~F.coalesce(F.bool_or(again), F.lit(False))).alias("churned"),
     )
 
 

@@ -88,9 +88,10 @@ def _side(m: Marketplace, name: str, dims: set) -> DataFrame:
 
 
 def _with_every_order(side: DataFrame, orders: DataFrame) -> DataFrame:
-    """The rows of a table, and a row of nulls for each order that has none."""
+    """The rows of a table, and a row of nulls for each order that has none; one for an order that
+    is listed more than once, as each of its listings meets it."""
     covered = side.select("order_id").distinct()
-    bare = orders.select("order_id").join(covered, "order_id", "left_anti")
+    bare = orders.select("order_id").distinct().join(covered, "order_id", "left_anti")
     return side.unionByName(bare, allowMissingColumns=True)
 
 

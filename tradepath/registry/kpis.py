@@ -324,8 +324,8 @@ _BOARD = {
     "AOV R$": "(SELECT avg(CAST(payment_value AS DOUBLE)) FROM m_delivered)",
     "ARPU R$": """(SELECT CAST(sum(payment_value) AS DOUBLE) / count(DISTINCT customer_unique_id)
         FROM m_delivered)""",
-    "Avg LTV R$": """(SELECT CAST(sum(payment_value) AS DOUBLE) / count(DISTINCT customer_unique_id)
-        FROM m_delivered)""",
+    "Avg LTV R$": """(SELECT avg(v) FROM (SELECT CAST(coalesce(sum(payment_value), 0) AS DOUBLE) AS v
+        FROM m_delivered WHERE customer_unique_id IS NOT NULL GROUP BY customer_unique_id))""",
     "Delivery Accuracy (d)": "(SELECT -avg(delivery_delay) FROM m_delivered)",
     "Review Score": "(SELECT avg(review_score) FROM m_delivered)",
     "Bad Reviews %": "(SELECT 100 * avg(CAST(bad_score AS INT)) FROM m_delivered)",

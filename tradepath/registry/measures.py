@@ -70,17 +70,20 @@ def _(m):
 
 @register("a33_churn_features", _FACTS + f""",
     f AS (SELECT o.customer_id AS customer_unique_id, min(order_purchase_timestamp) AS first_order
-      FROM m_orders o GROUP BY 1)
-    SELECT customer_unique_id, {_RECENCY}, count(*) AS frequency,
+      FROM m_orders o GROUP BY 1),
+    l AS (SELECT f.customer_unique_id, first_order, NOT bool_or(o.order_purchase_timestamp > first_order
+        AND o.order_purchase_timestamp <= first_order + INTERVAL 180 DAY) AS churned
+      FROM f JOIN m_orders o ON o.customer_id = f.customer_unique_id
+      WHERE first_order + INTERVAL 180 DAY <= TIMESTAMP '{AS_OF}' GROUP BY 1, 2)
+    SELECT customer_unique_id, churned, {_RECENCY}, count(*) AS frequency,
       CAST(coalesce(sum(total_payment_value), 0) AS DOUBLE) AS monetary,
       {r('avg(total_delivery_days)')} AS avg_delivery_days,
       {r('avg(approval_time_hrs)')} AS avg_approval_hrs,
       {r('avg(CAST(is_late AS INT))')} AS late_rate, {r('avg(review_score)')} AS avg_review_score,
       max(max_installments) AS max_installments,
-      coalesce(bool_or(has_voucher), FALSE) AS has_voucher,
-      NOT coalesce(bool_or(order_purchase_timestamp > first_order AND order_purchase_timestamp
-        <= first_order + INTERVAL 180 DAY), FALSE) AS churned
-    FROM facts JOIN f USING (customer_unique_id) GROUP BY 1""")
+      coalesce(bool_or(has_voucher), FALSE) AS has_voucher
+    FROM facts JOIN l USING (customer_unique_id) WHERE order_purchase_timestamp = first_order
+    GROUP BY 1, 2""")
 def _(m):
     return measures.churn_features(m, AS_OF, 180)
 

@@ -24,8 +24,9 @@ def _feed(m, rows, label):
 def _run_events(m):
     base = fresh_path(m.spark, "events-stream")
     config = bronze.StreamConfig("events", EVENT_SCHEMA, f"{base}/bronze", f"{base}/checkpoint")
-    query = bronze.run(_feed(m, m.kafka_rows, "events-feed"), config, once=True)
-    return query, m.spark.read.parquet(config.output_path)
+    log = progress.ProgressTable(m.spark, f"{base}/progress")
+    query = bronze.run(_feed(m, m.kafka_rows, "events-feed"), config, once=True, log=log)
+    return query, m.spark.read.parquet(config.output_path), log
 
 
 @register("x01_stream_to_bronze", """
@@ -34,7 +35,7 @@ def _run_events(m):
       p_user_id AS user_id, p_event_type AS event_type, round(p_value, 6) AS value,
       TRUE AS stamped FROM m_kafka""")
 def _(m):
-    _query, table = _run_events(m)
+    _query, table, _log = _run_events(m)
     return table.select(
         "kafka_key", "kafka_topic", "kafka_partition", "kafka_offset",
         F.date_format("kafka_timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("kafka_timestamp"),
@@ -46,19 +47,20 @@ def _(m):
     SELECT topic AS kafka_topic, part AS kafka_partition, count(*) AS n, min(off) AS first_offset,
       max(off) AS last_offset FROM m_kafka GROUP BY 1, 2""")
 def _(m):
-    _query, table = _run_events(m)
+    _query, table, _log = _run_events(m)
     return table.groupBy("kafka_topic", "kafka_partition").agg(
         F.count(F.lit(1)).alias("n"), F.min("kafka_offset").alias("first_offset"),
         F.max("kafka_offset").alias("last_offset"))
 
 
 @register("x03_stream_progress", """
-    SELECT 'bronze_events' AS name, count(*) AS input_rows, FALSE AS active FROM events""")
+    SELECT 'bronze_events' AS name, count(*) AS input_rows, FALSE AS active, 'stopped' AS ended
+    FROM events""")
 def _(m):
-    query, table = _run_events(m)
+    query, _table, log = _run_events(m)
     seen = progress.latest(query)
-    return table.agg(F.count(F.lit(1)).alias("input_rows")).select(
-        F.lit(seen["name"]).alias("name"), "input_rows", F.lit(seen["active"]).alias("active"))
+    return log.read().agg(F.sum("input_rows").alias("input_rows"), F.max("ended").alias("ended")).select(
+        F.lit(seen["name"]).alias("name"), "input_rows", F.lit(seen["active"]).alias("active"), "ended")
 
 
 def _messages(df, table):
@@ -94,9 +96,8 @@ def _checked_stream(m):
     base = fresh_path(m.spark, "checked-stream")
     rows = bronze.bronze_rows(_feed(m, m.kafka_rows, "checked-feed"), EVENT_SCHEMA)
     checks = [SchemaCheck(["event_id", "user_id"]), NullCheck(["event_id", "user_id"])]
-    quarantine.start(rows, checks, f"{base}/valid", f"{base}/quarantine", f"{base}/checkpoint",
-                     once=True).awaitTermination()
-    return m.spark.read.parquet(f"{base}/valid"), m.spark.read.parquet(f"{base}/quarantine")
+    quarantine.start(rows, checks, f"{base}/rows", f"{base}/checkpoint", once=True).awaitTermination()
+    return quarantine.read(m.spark, f"{base}/rows")
 
 
 @register("x06_stream_quarantine", """

@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from tradepath.contracts import CONTRACTS
 from tradepath.sources.kafka import decode, kafka_options, project, read_kafka
+from tradepath.streaming.progress import ProgressTable
 
 TRIGGER = "10 seconds"
 
@@ -49,29 +50,44 @@ def start(rows: DataFrame, config: StreamConfig, once: bool = False) -> Streamin
     )
 
 
-def run(rows: DataFrame, config: StreamConfig, once: bool = False) -> StreamingQuery:
-    """Start the stream and wait for it; on any error it is stopped and the topic named."""
-    query = None
+def run(
+    rows: DataFrame, config: StreamConfig, once: bool = False, log: ProgressTable | None = None,
+    every: float = 10.0,
+) -> StreamingQuery:
+    """Start the stream and wait for it; on any error it is stopped and the topic named. With a
+    log, its progress is written while it runs, `every` so many seconds, and when it ends."""
+    query, how = None, "failed"
     try:
         query = start(rows, config, once)
-        query.awaitTermination()
+        if log is None:
+            query.awaitTermination()
+        else:
+            while not query.awaitTermination(every):
+                log.record(query)
+        how = "stopped"
         return query
     except KeyboardInterrupt:
         raise
     except Exception as error:
         raise RuntimeError(f"Bronze stream for topic '{config.topic}' failed") from error
     finally:
-        if query is not None and query.isActive:
-            query.stop()
+        if query is not None:
+            if query.isActive:
+                query.stop()
+            if log is not None:
+                log.record(query, how)
 
 
 def stream_to_bronze(
-    spark: SparkSession, config: StreamConfig, bootstrap: str, user: str = "", secret: str = ""
+    spark: SparkSession, config: StreamConfig, bootstrap: str, user: str = "", secret: str = "",
+    progress_path: str = "",
 ) -> StreamingQuery:
-    """From a Kafka topic to Bronze files."""
+    """From a Kafka topic to Bronze files, with a table of its progress if a path is given."""
     if not bootstrap:
         raise ValueError("missing stream settings: bootstrap")
-    return run(read_kafka(spark, kafka_options(bootstrap, config.topic, user, secret)), config)
+    log = ProgressTable(spark, progress_path) if progress_path else None
+    rows = read_kafka(spark, kafka_options(bootstrap, config.topic, user, secret))
+    return run(rows, config, log=log)
 
 
 def table_stream(table: str, base: str, topic: str = "", fmt: str = "parquet") -> StreamConfig:

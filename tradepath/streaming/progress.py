@@ -1,7 +1,7 @@
 """Throughput and status of running streams as a table."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
 SCHEMA = """query_id string, name string, batch_id long, input_rows long,
     input_rows_per_second double, processed_rows_per_second double, ended string"""
@@ -21,31 +21,24 @@ def latest(query: StreamingQuery) -> dict:
     }
 
 
-class ProgressLog(StreamingQueryListener):
-    """Keeps one small row per micro-batch until it is written."""
+class ProgressTable:
+    """Appends a row for each micro-batch of a query to a table, whenever it is asked to. It holds
+    nothing but the number of the last batch written; Spark keeps the last batches until then."""
 
-    def __init__(self):
-        self.rows = []
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.written = spark, path, -1
 
-    def onQueryStarted(self, event):
-        pass
+    def record(self, query: StreamingQuery, ended: str = "") -> None:
+        rows = [
+            (str(query.id), query.name, p["batchId"], p["numInputRows"],
+             float(p["inputRowsPerSecond"]), float(p["processedRowsPerSecond"]), "")
+            for p in query.recentProgress if p["batchId"] > self.written
+        ]
+        self.written = max([self.written, *(r[2] for r in rows)])
+        if ended:
+            rows.append((str(query.id), query.name, None, 0, 0.0, 0.0, ended))
+        if rows:
+            self.spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(self.path)
 
-    def onQueryProgress(self, event):
-        p = event.progress
-        self.rows.append((
-            str(p.id), p.name, p.batchId, p.numInputRows,
-            float(p.inputRowsPerSecond), float(p.processedRowsPerSecond), "",
-        ))
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryTerminated(self, event):
-        how = "failed" if event.exception else "stopped"
-        self.rows.append((str(event.id), None, None, 0, 0.0, 0.0, how))
-
-    def flush(self, spark: SparkSession, path: str) -> DataFrame:
-        """Append the rows seen so far to a table and return the whole table."""
-        rows, self.rows = self.rows, []
-        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(path)
-        return spark.read.schema(SCHEMA).parquet(path)
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(SCHEMA).parquet(self.path)

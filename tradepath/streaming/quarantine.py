@@ -1,37 +1,44 @@
-"""Checks inside a stream: valid rows to one path, rows that fail to another."""
+"""Checks inside a stream: valid rows and rows that fail, side by side in one table."""
 
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tradepath.operators.quality import QUARANTINE_ON, flag_rows
+from tradepath.operators.quality import QUARANTINE_ON, DuplicateCheck, NullCheck, flag_rows
+
+
+VALID, HELD_BACK = "valid", "quarantine"
 
 
 def start(
     rows: DataFrame,
     checks: Sequence[Any],
-    valid_path: str,
-    quarantine_path: str,
+    path: str,
     checkpoint_path: str,
     quarantine_on: Sequence[str] = QUARANTINE_ON,
     once: bool = False,
     trigger: str = "10 seconds",
 ) -> StreamingQuery:
-    """Split each micro-batch by the checks. Each batch writes its own folder and replaces
-    it when it is run again, so a retry after a failure leaves no second copy."""
+    """Split each micro-batch by the checks, in one write partitioned by side and batch. A batch
+    replaces its own partitions when it is run again, so a retry after a failure leaves no
+    second copy. Checks that judge a whole table (duplicates, a share of nulls) cannot judge a
+    stream batch by batch and are refused."""
+    for check in checks:
+        whole = isinstance(check, DuplicateCheck) or (
+            isinstance(check, NullCheck) and check.threshold_percent > 0)
+        if whole and check.name in quarantine_on:
+            raise ValueError(f"{check.name} judges a whole table, not a micro-batch of a stream")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         flagged = flag_rows(batch, checks, quarantine_on)
         bad = F.size("_failed_checks") > 0
-        flagged.where(~bad).drop("_failed_checks").write.mode("overwrite").parquet(
-            f"{valid_path}/batch_id={batch_id}"
-        )
-        flagged.where(bad).write.mode("overwrite").parquet(
-            f"{quarantine_path}/batch_id={batch_id}"
-        )
+        flagged.withColumns({
+            "side": F.when(bad, HELD_BACK).otherwise(VALID), "batch_id": F.lit(batch_id),
+        }).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "side", "batch_id").parquet(path)
 
     how = {"availableNow": True} if once else {"processingTime": trigger}
     return (
@@ -40,3 +47,10 @@ def start(
         .trigger(**how)
         .start()
     )
+
+
+def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rows held back with the names of the checks they fail)."""
+    table = spark.read.parquet(path)
+    valid = table.where(F.col("side") == VALID).drop("side", "batch_id", "_failed_checks")
+    return valid, table.where(F.col("side") == HELD_BACK).drop("side", "batch_id")
