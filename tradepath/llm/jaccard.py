@@ -174,6 +174,28 @@ def sketches(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
+LINKS_SQL = r"""
+WITH RECURSIVE
+w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+      FROM w WHERE len(w) > 0),
+sets AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, chr(10) ORDER BY s)) AS k FROM s GROUP BY 1),
+sizes AS (SELECT k, min(doc_id) AS copy_id, count(*) AS copies, min(n) AS n FROM sets GROUP BY 1),
+t AS (SELECT k, s FROM s JOIN sizes ON copy_id = doc_id),
+pairs AS (SELECT a.k AS a, b.k AS b FROM t a JOIN t b ON a.s = b.s AND a.k <> b.k
+      JOIN sizes x ON x.k = a.k JOIN sizes y ON y.k = b.k
+      GROUP BY a.k, b.k, x.n, y.n HAVING count(*) >= 0.8 * (x.n + y.n - count(*)) - 1e-9),
+links AS (SELECT a AS k, sum(copies) AS n FROM pairs JOIN sizes ON k = b GROUP BY 1),
+reach AS (SELECT k, k AS r FROM sizes UNION SELECT reach.k, b FROM reach JOIN pairs ON a = r),
+least AS (SELECT reach.k, min(copy_id) AS class_id FROM reach JOIN sizes ON sizes.k = r GROUP BY 1)
+SELECT w.doc_id, coalesce(class_id, w.doc_id) AS class_id,
+  CAST(coalesce(links.n, 0) + coalesce(copies, 1) - 1 AS BIGINT) AS n_links,
+  coalesce(copy_id, w.doc_id) AS copy_id
+FROM w LEFT JOIN sets USING (doc_id) LEFT JOIN sizes ON sizes.k = sets.k
+LEFT JOIN links ON links.k = sets.k LEFT JOIN least ON least.k = sets.k"""
+
+
 def _dealt(members: DataFrame, key: str, others: list[str]) -> DataFrame:
     """Members of each key in pairs of blocks: rows key, i, j, side, node, others. A row meets all
     rows of its key in exactly one pair of blocks, on side 0 or 1 (2 within a block)."""

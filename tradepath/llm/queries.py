@@ -64,7 +64,7 @@ def _(read):
     return toxicity.score(read("documents"), read("labels"))
 
 
-@_query("op8_ngram_jaccard_join")
+@_query("op8_ngram_jaccard_join", jaccard.LINKS_SQL)
 def _(read):
     return jaccard.near_duplicates(read("documents"))
 

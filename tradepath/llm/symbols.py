@@ -34,10 +34,12 @@ def symbols(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     each text ends, in code points."""
     syms = folded()[np.frombuffer(data, "<u4")]
     of = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    # a separator in front of each text; the one in front of the next ends it
-    starts = ends - np.diff(ends, prepend=0)
-    syms = np.insert(syms, starts, 0)
-    of = np.insert(of, starts, np.arange(len(ends)))
+    # a separator before and one behind each text
+    edges = np.concatenate([ends - np.diff(ends, prepend=0), ends])
+    texts = np.tile(np.arange(len(ends)), 2)
+    order = np.argsort(texts, kind="stable")
+    syms = np.insert(syms, edges[order], 0)
+    of = np.insert(of, edges[order], texts[order])
     keep = np.ones(len(syms), bool)
     keep[1:] = (syms[1:] != 0) | (syms[:-1] != 0) | (of[1:] != of[:-1])
     return syms[keep], of[keep]

@@ -51,13 +51,13 @@ def _mask(order: int) -> int:
 
 
 def ngrams(text_bytes: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams of the texts, and which text each belongs to."""
+    """Packed n-grams of the texts, none across two of them, and which text each belongs to."""
     syms, of = symbols(text_bytes, ends)
     packed = np.zeros(max(0, len(syms) - ORDER + 1), np.int64)
     for i in range(ORDER):
         packed = (packed << SYMBOL_BITS) | syms[i:len(syms) - ORDER + 1 + i]
-    own = of[ORDER - 1:]
-    return packed, own
+    whole = of[:len(packed)] == of[ORDER - 1:]
+    return packed[whole], of[ORDER - 1:][whole]
 
 
 def _texts(texts) -> tuple[bytes, np.ndarray]:
