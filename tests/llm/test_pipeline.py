@@ -16,7 +16,7 @@ from tradepath.llm import secret_scan, toxicity
 @pytest.fixture(scope="module")
 def folder(spark, tmp_path_factory):
     docs, labels = toxic_corpus(200)
-    item = prose(50, 40)
+    item = prose(5050, 40)
     docs += [(300, docs[1][1] + " more"), (301, docs[1][1]), (302, prose(51, 90) + " " + item),
              (303, "password=abcdef123456789 " + prose(52, 70))]
     docs += [(r[0] if r[0] is None else r[0] + 1000, *r[1:]) for r in EDGES]
