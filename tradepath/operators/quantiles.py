@@ -144,15 +144,21 @@ def distribution(
     return opened.groupBy(*by).agg(*columns)
 
 
-def moments(df: DataFrame, value: str, copies: str | None = None) -> DataFrame:
-    """count, mean and std (sample) of a column, nulls left out; squares are of the distances from
-    the mean, over the histogram."""
-    located = _located(histogram(df, value, (), copies), ())
-    return located.agg(
-        F.coalesce(F.max("_total"), F.lit(0)).alias("count"),
-        F.max("_mean").alias("mean"),
-        F.expr("""CASE WHEN max(_total) > 1 THEN
-            sqrt(sum(n * (v - _mean) * (v - _mean)) / (max(_total) - 1)) END AS std"""),
+def moments(df: DataFrame, value: str, copies: str | None = None, around=None) -> DataFrame:
+    """count, mean and std (sample) of a column in one pass, nulls left out. Sums are of the
+    distances from `around`, a value among the column's (the least one unless the caller has one
+    at hand), so large values lose nothing."""
+    v = F.col(value).cast("double")
+    pivot = df.agg(F.min(v)).scalar() if around is None else around
+    rows = df.select(
+        (v - pivot).alias("d"), (F.col(copies) if copies else F.lit(1)).cast("long").alias("n"),
+    ).where("d IS NOT NULL")
+    sums = rows.selectExpr("sum(n) AS count", "sum(n * d) AS _s", "sum(n * d * d) AS _q")
+    return sums.select(
+        "count",
+        (pivot + F.col("_s") / F.col("count")).alias("mean"),
+        F.expr("""CASE WHEN count > 1 THEN sqrt(greatest(_q - _s * _s / count, 0D) / (count - 1))
+           END""").alias("std"),
     )
 
 

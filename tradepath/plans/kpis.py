@@ -313,18 +313,18 @@ def order_value(m: Marketplace) -> DataFrame:
     """Mean and std of payments, the same strictly between the quartiles, and per order."""
     rows_ = delivered(m, [PAYMENTS])
     all_rows = _payment_quartiles(rows_)
+    q = all_rows.select(F.struct("q1", "q3")).scalar()
     value = F.col("payment_value").cast("double")
-    inner = rows_.where((value > all_rows.select("q1").scalar())
-                        & (value < all_rows.select("q3").scalar()))
-    trimmed = moments(inner, "payment_value", "copies")
+    inner = rows_.where((value > q["q1"]) & (value < q["q3"]))
+    trimmed = moments(inner, "payment_value", "copies", q["q1"]).select(
+        F.struct("mean", "std")).scalar()
     per_order = m.payments.join(
         stages.clean_orders(m).where("order_status = 'delivered'").select("order_id"),
         "order_id", "left_semi",
     ).agg((F.sum("payment_value").cast("double") / F.count_distinct("order_id"))).scalar()
     return all_rows.select(
         F.col("mean").alias("aov"), F.col("std").alias("aov_std"),
-        trimmed.select("mean").scalar().alias("iqr_aov"),
-        trimmed.select("std").scalar().alias("iqr_std"),
+        trimmed["mean"].alias("iqr_aov"), trimmed["std"].alias("iqr_std"),
         per_order.alias("aov_per_order"),
     )
 
@@ -365,7 +365,7 @@ def lifetime_top(m: Marketplace, n: int = 5) -> DataFrame:
 
 def review_figures(m: Marketplace) -> DataFrame:
     rows_ = delivered(m, [REVIEWS])
-    scores = moments(rows_, "review_score", "copies").select(F.struct("mean", "std")).scalar()
+    scores = moments(rows_, "review_score", "copies", F.lit(3)).select(F.struct("mean", "std")).scalar()
     return rows_.agg(
         F.sum(F.expr("CASE WHEN bad_score THEN copies ELSE 0L END")).alias("bad_reviews"),
         (share(F.col("bad_score")) * 100).alias("bad_percent"),
