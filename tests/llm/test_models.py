@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tests.llm.helpers import EDGES, LABELS, documents, prose
+from tests.llm.helpers import EDGES, LABELS, LONG, documents, prose
 from tradepath.llm import language, quality, symbols, toxicity
 
 
@@ -128,6 +128,31 @@ def test_kneser_ney_against_plain(spark):
     assert row["total"] == pytest.approx(want, abs=1e-4)
 
 
+@pytest.mark.parametrize("bits", [16, 5, 0])
+def test_ratios_go_by_exact_keys(spark, bits):
+    """Also if nearly all n-grams are left to the join; known, unknown and repeated texts."""
+    docs, labels = toxic_corpus(60)
+    train = spark.createDataFrame([(t, lab[2]) for (_, t), lab in zip(docs, labels)],
+                                  "text string, label int")
+    ratios = toxicity.log_ratios(toxicity.counts(train, "text", "label")).collect()
+    grams, contexts = ({r["key"]: r["ratio"] for r in ratios if r["kind"] == k} for k in (0, 1))
+    assert len(grams) > 1000
+    rows = [(r[0], r[1]) for r in EDGES if r[1] is not LONG]
+    rows += docs[:8] + docs[:2] + [(500 + i, prose(i, 40)[::-1]) for i in range(20)]
+    model = toxicity._folded(toxicity.log_ratios(toxicity.counts(train, "text", "label")), bits)
+    out = toxicity.measured(documents(spark, rows), model, "m", bits=bits)
+    assert out.columns == documents(spark, []).columns + ["m"]
+    want = []
+    for key, text in rows:
+        keys = toxicity.ngrams(*toxicity._texts([text]))[0].tolist()
+        want.append((key, text, len(keys), sum(
+            grams[g] if g in grams else contexts.get(g >> symbols.SYMBOL_BITS, 0.0) for g in keys)))
+    got = [(r["doc_id"], r["text"], r["m"]["length"], r["m"]["total"]) for r in out.collect()]
+    assert len(got) == len(want)
+    for g, w in zip(sorted(got, key=str), sorted(want, key=str)):
+        assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], abs=1e-4)
+
+
 def test_toxicity_edges(spark):
     docs, labels = toxic_corpus(200)
     edges = [(r[0] if r[0] is None else r[0] + 1000, *r[1:]) for r in EDGES]

@@ -8,8 +8,10 @@ so an expression that neither class knows weighs nothing. A document's measure i
 ordinary log-likelihood, by length.
 
 Counting, continuation counts and probabilities are joins and groupings of n-gram tables that grow
-with the input. Scoring needs only the log ratio of known n-grams and contexts; these are folded
-into 2 ** BITS buckets each, so the broadcast model has a fixed bound at any size.
+with the input. Scoring needs only the log ratio of known n-grams and contexts, by their exact keys.
+If these are 2 ** BITS at most, they are broadcast; of a larger model the most frequent ones are,
+and the n-grams of a text that are not among them are joined with the rest by key. The result is
+the same either way.
 
 The counts come from the training rows of all folds but one; on that one (CALIBRATION rows by hash
 order at most, a documented bound) a logistic curve is fitted that turns the measure and the
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -65,9 +68,20 @@ def _texts(texts) -> tuple[bytes, np.ndarray]:
     return b"".join(raw), np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)
 
 
-def _bucket(keys: np.ndarray, bits: int) -> np.ndarray:
-    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+class Model(NamedTuple):
+    """Sorted keys and their log ratios, of n-grams and of contexts; and a table of those that are
+    less frequent (columns as of log_ratios), if not all are in the arrays."""
+
+    grams: tuple[np.ndarray, np.ndarray]
+    contexts: tuple[np.ndarray, np.ndarray]
+    rest: DataFrame | None
+
+
+def _looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """The ratio of each key; nan for one that is not in the table."""
+    known, ratios = table
+    at = np.searchsorted(known, keys)
+    return np.where(known[at] == keys, ratios[at], np.nan)
 
 
 def _count(batches):
@@ -157,26 +171,74 @@ def log_ratios(found: DataFrame) -> DataFrame:
     return grams.unionByName(contexts)
 
 
-def _folded(ratios: DataFrame, bits: int) -> np.ndarray:
-    """An array of 2 rows of buckets; nan where nothing falls."""
-    rows = ratios.mapInArrow(lambda batches: (
-        pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(_bucket(b.column(1).to_numpy(), bits)), b.column(2), b.column(3)],
-            names=["kind", "bucket", "ratio", "weight"]) for b in batches),
-        "kind int, bucket long, ratio double, weight long")
-    rows = rows.groupBy("kind", "bucket").agg(
-        (F.sum(F.col("ratio") * F.col("weight")) / F.sum("weight")).cast("float").alias("ratio"))
-    model = np.full((2, 1 << bits), np.nan, np.float32)
-    found = rows.toArrow()
-    model[found["kind"].to_numpy(), found["bucket"].to_numpy()] = found["ratio"].to_numpy()
-    return model
-
-
-def measured(docs: DataFrame, model: np.ndarray, column: str, text: str = "text",
+def _folded(ratios: DataFrame, bits: int) -> Model:
+    """The model with at most 2 ** bits keys in its arrays, the most frequent ones."""
+    ratios = cut(ratios)
+    size = F.floor(F.log2("weight")).cast("int")
+    classes = {r["size"]: r["count"] for r in ratios.groupBy(size.alias("size")).count().collect()}
+    least, held = 63, 0
+    while least and held + classes.get(least - 1, 0) <= 1 << bits:
+        least -= 1
+        held += classes.get(least, 0)
+    often = F.col("weight") >= F.lit(1 << least)
+    found = ratios.where(often).select("kind", "key", "ratio").toArrow()
+    kind, key, ratio = (found[c].to_numpy() for c in ("kind", "key", "ratio"))
+    tables = []
+    for k in (0, 1):
+        order = np.flatnonzero(kind == k)
+        order = order[np.argsort(key[order])]
+        # the last key is no n-gram's, so a search always ends at a key
+        tables.append((np.append(key[order], np.iinfo(np.int64).max),
+                       np.append(ratio[order], np.nan)))
+    return Model(*tables, ratios.where(~often) if least else None)
+
+
+def _rare(docs: DataFrame, shared, text: str, rest: DataFrame) -> DataFrame:
+    """Rows of _name (of a text) and _rare: the sum over the n-grams of the text that are not in
+    the arrays. An n-gram that is not in the rest either has the ratio of its context."""
+    def run(batches):
+        grams, contexts = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                data, ends = _texts(part.column(1).to_pylist())
+                keys, of = ngrams(data, ends)
+                left = np.isnan(_looked_up(grams, keys))
+                # an n-gram has 48 bits, the number of a text 8
+                one, n = np.unique((of[left] << (SYMBOL_BITS * ORDER)) | keys[left],
+                                   return_counts=True)
+                of, keys = one >> (SYMBOL_BITS * ORDER), one & _mask(ORDER)
+                freed = _looked_up(contexts, keys >> SYMBOL_BITS)
+                kinds = np.bincount(of, minlength=part.num_rows)[of]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(of)), pa.array(keys), pa.array(n),
+                     pa.array(kinds), pa.array(freed, mask=np.isnan(freed))],
+                    names=["_name", "_key", "_n", "_kinds", "_freed"])
+
+    rows = docs.select(F.md5(F.col(text).cast("binary")), text).mapInArrow(
+        run, "_name string, _key long, _n long, _kinds long, _freed double")
+    grams = rest.where("kind = 0").select(F.col("key").alias("_g"), F.col("ratio").alias("_known"))
+    contexts = rest.where("kind = 1").select(F.col("key").alias("_c"), F.col("ratio").alias("_late"))
+    rows = rows.join(grams, F.col("_key") == F.col("_g"), "left")
+    # an n-gram that needs no context here has a negative key that no context has
+    needed = F.when(F.coalesce("_known", "_freed").isNull(), F.shiftright("_key", SYMBOL_BITS))
+    rows = rows.withColumn("_context", F.coalesce(needed, -1 - F.col("_key"))).join(
+        contexts, F.col("_context") == F.col("_c"), "left")
+    # rows of the same text come together: each n-gram once for each of them
+    ratio = F.coalesce("_known", "_freed", "_late", F.lit(0.0))
+    return rows.groupBy("_name").agg((F.sum(F.col("_n") * ratio) * F.max("_kinds") / F.count("*"))
+                                     .alias("_rare"))
+
+
+def measured(docs: DataFrame, model: Model | DataFrame, column: str, text: str = "text",
              bits: int = BITS) -> DataFrame:
     """docs with one more column, struct(total, length): the toxic minus the ordinary
-    log-likelihood, and the number of n-grams. Only texts go to Python."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    log-likelihood, and the number of n-grams. Only texts go to Python. bits: if the model is
+    still a table of log ratios."""
+    if isinstance(model, DataFrame):
+        model = _folded(model, bits)
+    shared = docs.sparkSession.sparkContext.broadcast((model.grams, model.contexts))
+    whole = model.rest is None
 
     @F.pandas_udf("total double, length long")
     def compare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -186,14 +248,24 @@ def measured(docs: DataFrame, model: np.ndarray, column: str, text: str = "text"
             for at in range(0, len(batch), 256):
                 data, ends = _texts(batch.iloc[at:at + 256])
                 keys, of = ngrams(data, ends)
-                known = grams[_bucket(keys, bits)]
-                rest = np.flatnonzero(np.isnan(known))
-                known[rest] = contexts[_bucket(keys[rest] >> SYMBOL_BITS, bits)]
+                known = _looked_up(grams, keys)
+                if whole:
+                    rest = np.flatnonzero(np.isnan(known))
+                    known[rest] = _looked_up(contexts, keys[rest] >> SYMBOL_BITS)
                 totals.append(np.bincount(of, np.nan_to_num(known, nan=0.0), len(ends)))
                 lengths.append(np.bincount(of, minlength=len(ends)))
             yield pd.DataFrame({"total": np.concatenate(totals), "length": np.concatenate(lengths)})
 
-    return docs.withColumn(column, compare(F.col(text)))
+    out = docs.withColumn(column, compare(F.col(text)))
+    if whole:
+        return out
+    name, of, rare = fresh("name"), fresh("of"), fresh("rare")
+    sums = _rare(docs, shared, text, model.rest).withColumnsRenamed({"_name": of, "_rare": rare})
+    total = F.col(f"{column}.total") + F.coalesce(rare, F.lit(0.0))
+    out = out.withColumn(name, F.md5(F.col(text).cast("binary"))).join(
+        sums, F.col(name) == F.col(of), "left")
+    return out.withColumn(column, F.struct(total.alias("total"), F.col(f"{column}.length"))).drop(
+        name, of, rare)
 
 
 def features(total, length):
@@ -221,8 +293,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,
-        bits: int = BITS) -> tuple[np.ndarray, list[float] | None]:
-    """The folded model, and the weights that turn a measure into a score."""
+        bits: int = BITS) -> tuple[Model, list[float] | None]:
+    """The model, and the weights that turn a measure into a score."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
     known = known.where(fold("_id", folds) != held_out)
