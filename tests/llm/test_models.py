@@ -153,6 +153,30 @@ def test_ratios_go_by_exact_keys(spark, bits):
         assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], abs=1e-4)
 
 
+def test_counts_cover_the_rows_that_the_sample_leaves(spark, monkeypatch):
+    """A toxic word that only rows of the calibration fold have, beyond the sample, is learnt."""
+    docs, labels = toxic_corpus(400)
+    fold_1 = [i for i, _ in docs if crc(i, 5) == 1]
+    toxic = dict((k, t) for k, _, t in labels)
+    docs = [(i, text + " qwoxkyj qwoxkyj" if i in fold_1 and toxic[i] else text) for i, text in docs]
+    read = []
+    count = toxicity.counts
+
+    def counts(train, text, label):
+        read.extend((r[0], r[1]) for r in train.select("doc_id", text).collect())
+        return count(train, text, label)
+
+    monkeypatch.setattr(toxicity, "counts", counts)
+    frame = documents(spark, docs + [(9000, "qwoxkyj qwoxkyj qwoxkyj")] + docs[:3])
+    rows = toxicity.score(frame, labelled(spark, labels), calibration=20).collect()
+    assert next(r["measure"] for r in rows if r["doc_id"] == 9000) > 0.5
+    # all labelled rows but the held-out ones and those of the sample
+    allowed = [d for d in docs + docs[:3] if crc(d[0], 5) != 0]
+    left = [d for d in allowed if d not in read]
+    assert len(left) >= 20 and len(set(left)) == 20 and {k for k, _ in left} <= set(fold_1)
+    assert sorted(read) == sorted(d for d in allowed if d not in left)
+
+
 def test_toxicity_edges(spark):
     docs, labels = toxic_corpus(200)
     edges = [(r[0] if r[0] is None else r[0] + 1000, *r[1:]) for r in EDGES]

@@ -13,9 +13,9 @@ If these are 2 ** BITS at most, they are broadcast; of a larger model the most f
 and the n-grams of a text that are not among them are joined with the rest by key. The result is
 the same either way.
 
-The counts come from the training rows of all folds but one; on that one (CALIBRATION rows by hash
-order at most, a documented bound) a logistic curve is fitted that turns the measure and the
-length into a score. Held-out rows are in neither.
+A logistic curve that turns the measure and the length into a score is fitted on rows of one fold,
+CALIBRATION of them at most by hash order (a documented bound). The counts come from all other
+training rows, those of that fold that are not in the sample included. Held-out rows are in neither.
 
 Defined results: a null text is an empty one; a text without letters gets the score of measure 0 at
 length 0; without toxic or without ordinary training rows all scores are 0; a row that is listed
@@ -293,24 +293,31 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT,
-        bits: int = BITS) -> tuple[Model, list[float] | None]:
+        bits: int = BITS, calibration: int = CALIBRATION) -> tuple[Model, list[float] | None]:
     """The model, and the weights that turn a measure into a score."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("_id")).agg(F.max(label).alias("_label"))
     known = known.where(fold("_id", folds) != held_out)
     apart = (held_out + CALIBRATION_FOLD) % folds
-    plain = docs.select(doc_id, text)
+    plain = docs.select(doc_id, text, F.xxhash64(text).alias("_h"))
+    # rows of the sample by id and text, each once; bounded, so they may be broadcast
+    some = plain.where(fold(doc_id, folds) == apart).select(
+        F.col(doc_id).alias("_sid"), F.col("_h").alias("_sh"))
+    chosen = F.broadcast(cut(
+        some.join(known.where(fold("_id", folds) == apart), F.col("_sid") == F.col("_id"))
+        .groupBy("_sid", "_sh").agg(F.max("_label").alias("_y"))
+        .orderBy(F.xxhash64("_sid"), "_sid", "_sh").limit(calibration)))
+    in_sample = (plain[doc_id] == F.col("_sid")) & (plain["_h"] == F.col("_sh"))
     # shuffled at every size, so that the join behaves alike; only the labels are held in memory
-    train = plain.join(known.where(fold("_id", folds) != apart).hint("shuffle_hash"),
-                       plain[doc_id] == F.col("_id"))
+    train = plain.join(chosen, in_sample, "left_anti").join(
+        known.hint("shuffle_hash"), F.col(doc_id) == F.col("_id"))
     model = _folded(log_ratios(cut(counts(train, text, "_label"))), bits)
-    rest = measured(plain.where(fold(doc_id, folds) == apart), model, "_measure", text, bits)
-    rest = rest.select(doc_id, "_measure.*")
+    rest = plain.where(fold(doc_id, folds) == apart).join(chosen, in_sample)
+    rest = measured(rest.dropDuplicates(["_sid", "_sh"]), model, "_measure", text, bits)
     sample = (
-        rest.join(known, rest[doc_id] == F.col("_id"))
-        .orderBy(F.xxhash64("_id"), "_id").limit(CALIBRATION)
-        .select(*(c.alias(f"x{i}") for i, c in enumerate(features(F.col("total"), F.col("length")))),
-                F.col("_label").cast("double").alias("y"))
+        rest.select("_measure.*", "_y").select(
+            *(c.alias(f"x{i}") for i, c in enumerate(features(F.col("total"), F.col("length")))),
+            F.col("_y").cast("double").alias("y"))
         .toPandas()
     )
     if sample["y"].nunique() < 2:
