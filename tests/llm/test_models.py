@@ -223,6 +223,36 @@ def test_quality_held_out(spark):
     assert len({r["score"] for r in rows if r["doc_id"] in (1001, 1002)}) == 1
 
 
+def test_threshold_and_spread_cover_all_training_rows(spark, monkeypatch):
+    docs = [(i, junk(i) if i % 5 == 0 else prose(i, 40 + i % 90)) for i in range(400)]
+    labels = [(i, int(i % 5 != 0 or i % 3 == 0), 0) for i, _ in docs]
+    seen = []
+    expansion = quality.Expansion.__init__
+
+    def watched(self, *given):
+        expansion(self, *given)
+        seen.append(self)
+
+    monkeypatch.setattr(quality.Expansion, "__init__", watched)
+    rows = quality.score(documents(spark, docs), labelled(spark, labels), per_class=20).collect()
+    train = [i for i, _ in docs if crc(i, 3) != 1]
+    x = quality.text_features([docs[i][1] for i in train])
+    assert seen[0].centre == pytest.approx(x.mean(0), rel=1e-9, abs=1e-12)
+    assert seen[0].scale == pytest.approx(x.std(0) + 1e-9, rel=1e-9, abs=1e-12)
+    # the training row of the rank that the labels name has the strength 0
+    strength = {r["doc_id"]: r["strength"] for r in rows}
+    low = sum(labels[i][1] == 0 for i in train)
+    assert sorted(strength[i] for i in train)[low - 1] == 0
+    assert sum(r["predicted"] == 0 for r in rows if r["doc_id"] in train) == low - 1
+
+
+def test_threshold_by_rank(spark):
+    values = [1e-9, 0.1, 0.1, 0.1, 0.30000000000000004, 0.3, -5.0, 7.25]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    for rank, v in enumerate(sorted(values), 1):
+        assert quality.threshold(rows, "v", rank, len(values)) == v
+
+
 def test_quality_without_training_rows(spark):
     rows = quality.score(documents(spark, EDGES), labelled(spark, [(4, 1, 0)])).collect()
     assert len(rows) == len(EDGES) and {r["score"] for r in rows} == {0.5}

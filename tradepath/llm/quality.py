@@ -9,7 +9,8 @@ the share of documents labelled 0 names; the score given out is 1/2 there.
 
 The features of all rows are computed once, each row by itself, and go to the shared folder; only
 these small rows meet the labels. Weights are learnt on PER_CLASS rows of each label at most, taken
-by hash order, and PARTNERS partners for each (documented bounds); the threshold on the same rows.
+by hash order, and PARTNERS partners for each (documented bounds). The centre and spread of the
+features and the threshold are those of all training rows.
 
 Defined results: a null text is an empty one and has all features 0, so all empty texts share a
 score; without training rows of both labels all scores are 1/2; a row that is listed twice gets a
@@ -27,6 +28,7 @@ from pyspark.sql import types as T
 
 from tradepath.llm.common import cut, fold
 from tradepath.llm.symbols import letters, mix, word_hashes
+from tradepath.operators.quantiles import distribution
 
 FOLDS = 3
 HELD_OUT = 1
@@ -120,8 +122,8 @@ def features(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 class Expansion:
     """Features by their training spread, cut at four deviations, and their squares."""
 
-    def __init__(self, rows: np.ndarray):
-        self.centre, self.scale = rows.mean(0), rows.std(0) + 1e-9
+    def __init__(self, centre: np.ndarray, spread: np.ndarray):
+        self.centre, self.scale = centre, spread + 1e-9
 
     def __call__(self, rows: np.ndarray) -> np.ndarray:
         z = np.clip((rows - self.centre) / self.scale, -4, 4)
@@ -145,6 +147,14 @@ def preference_weights(better: np.ndarray, worse: np.ndarray, partners: int = PA
     return w
 
 
+def threshold(rows: DataFrame, column: str, rank: int, total: int) -> float:
+    """The value of that rank (from 1) among all rows, exactly."""
+    # half a rank lower lies between two values, or at one that is repeated: no rounding matters
+    share = max(0.0, (rank - 1.5) / max(1, total - 1))
+    below = distribution(rows, column, probs={"q": share}).first()["q"]
+    return rows.where(F.col(column) >= below).agg(F.min(column)).first()[0]
+
+
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality", folds: int = FOLDS, held_out: int = HELD_OUT,
           per_class: int = PER_CLASS) -> DataFrame:
@@ -152,7 +162,8 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     found = cut(features(docs, doc_id, text))
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("_id")).agg(F.min(label).alias("_label"))
-    train = found.join(known.where(fold("_id", folds) != held_out), found[doc_id] == F.col("_id"))
+    train = cut(found.join(known.where(fold("_id", folds) != held_out), found[doc_id] == F.col("_id"))
+                .select("_id", "_label", "features"))
     counts = {r["_label"]: r["count"] for r in train.groupBy("_label").count().collect()}
     out = F.coalesce(fold(doc_id, folds) == held_out, F.lit(False)).alias("held_out")
     if min(counts.get(0, 0), counts.get(1, 0)) == 0:
@@ -164,22 +175,16 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         rows = train.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id")
         return np.array([r[0] for r in rows.limit(per_class).select("features").collect()])
 
-    worse, better = sample(0), sample(1)
-    expand = Expansion(np.concatenate([worse, better]))
-    weights = preference_weights(expand(better), expand(worse))
-    scores = np.concatenate([expand(worse) @ weights, expand(better) @ weights])
-    # each label weighs as often as it occurs, whatever was sampled
-    weight = np.repeat([counts[0] / len(worse), counts[1] / len(better)],
-                       [len(worse), len(better)])
-    order = np.argsort(scores)
-    upto = np.cumsum(weight[order]) / weight.sum()
-    cut_at = float(scores[order][np.searchsorted(upto, counts[0] / sum(counts.values()))])
-
     m = len(FEATURES)
+    moments = train.agg(*(f(F.col("features")[i]) for f in (F.avg, F.stddev_pop) for i in range(m)))
+    expand = Expansion(*np.array(moments.first(), float).reshape(2, m))
+    weights = preference_weights(expand(sample(1)), expand(sample(0)))
     z = [F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (
         F.col("features")[i] - float(expand.centre[i])) / float(expand.scale[i]))) for i in range(m)]
-    strength = sum((z[i] * float(weights[i]) + z[i] * z[i] * float(weights[m + i])
-                    for i in range(m)), F.lit(-cut_at))
+    measure = sum((z[i] * float(weights[i]) + z[i] * z[i] * float(weights[m + i])
+                   for i in range(m)), F.lit(0.0))
+    strength = measure - threshold(train.select(measure.alias("measure")), "measure", counts[0],
+                                   sum(counts.values()))
     return (
         found.select(doc_id, out, strength.alias("strength"))
         .withColumn("score", 1 / (1 + F.exp(-F.col("strength"))))
