@@ -3,8 +3,8 @@ contain test items go, live-looking secrets are masked, and what is left is pack
 
 Each stage gets a table with the columns of documents, extra ones included, and all but the last
 return such a table; run() writes each as Parquet in the shared folder and reads it again. A
-document is known by its id in all stages: rows that repeat an id go together, and of exact
-repeats one row stays in the second stage. Null ids, null texts and empty tables pass through the
+row is judged by its own text in all stages, also if it shares its id with others or has none; of
+exact repeats one row stays in the second stage. Null ids, null texts and empty tables pass through the
 stages as their operators define.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepath.llm import decontamination, jaccard, packing, secret_scan, toxicity
-from tradepath.llm.common import drop_ids, table
+from tradepath.llm.common import table
 from tradepath.session import tune
 from tradepath.sources.workspace import materialise
 
@@ -34,12 +34,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one_row(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _ready(spark)
-    return drop_ids(docs, decontamination.contained_items(docs, table(spark, sf_dir, "benchmark")))
+    return decontamination.drop_contained(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,6 +76,25 @@ def test_stages(spark, folder, tokenizer):  # noqa: F811
     assert check(stages["best_fit_packing"](spark, masked, folder).collect(), want, 1024) > 0
 
 
+def test_rows_are_judged_by_their_own_text(spark, tmp_path):
+    """Ids that stand for several texts, and many rows without an id."""
+    item, a, b, c = prose(5050, 40), prose(11, 200), prose(12, 90), prose(13, 150)
+    docs = [(6, a), (6, a), (6, b), (8, a), (None, a), (None, c), (None, c + " more"), (None, None),
+            (None, None), (9, prose(14, 60)), (9, c), (9, prose(15, 70) + " " + item),
+            (None, prose(16, 80) + " " + item), (3, b + " end"), (7, "!"), (7, "!"), (7, "?")]
+    spark.createDataFrame([(1, item, 5)], ITEMS).write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    frame = documents(spark, docs)
+    one = stages["ngram_jaccard_join"](spark, frame, str(tmp_path))
+    want = [(6, a), (None, None), (None, None), (9, prose(14, 60)), (9, c), docs[11], docs[12],
+            (3, b + " end"), (7, "!"), (7, "?")]
+    assert rows_of(one.select("doc_id", "text")) == sorted(want, key=str)
+    apart = stages["benchmark_decontamination"](spark, one, str(tmp_path))
+    assert rows_of(apart.select("doc_id", "text")) == sorted(
+        (r for r in want if r not in (docs[11], docs[12])), key=str)
+    assert one.columns == apart.columns == frame.columns
+
+
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns[0] == "doc_id" and out.where("doc_id IN (300, 301, 302)").count() == 0

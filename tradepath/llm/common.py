@@ -61,6 +61,22 @@ def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFra
     return docs.join(gone, docs[id_col].eqNullSafe(gone[key]), "left_anti")
 
 
+def row_key(doc_id: str, text: str) -> Column:
+    """What a row is known by: its id and its text. Null ids come last and are kept apart by text."""
+    return F.struct(F.col(doc_id).isNull().alias("no"), F.col(doc_id).alias("id"),
+                    F.xxhash64(text).alias("h"))
+
+
+def in_rows(docs: DataFrame, rows: DataFrame, key: str, doc_id: str, text: str, how: str
+            ) -> DataFrame:
+    """docs left_semi or left_anti joined with the rows that the row keys in `key` name; docs'
+    columns stay."""
+    of, h = fresh("id"), fresh("hash")
+    rows = rows.select(F.col(f"{key}.id").alias(of), F.col(f"{key}.h").alias(h)).distinct()
+    return docs.join(
+        rows, docs[doc_id].eqNullSafe(rows[of]) & (F.xxhash64(docs[text]) == rows[h]), how)
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs with only the rows whose id is in ids (nulls equal nulls); docs' columns stay."""
     key = fresh("id")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradepath.llm.common import keep_ids, small_side, words
+from tradepath.llm.common import fresh, in_rows, keep_ids, row_key, small_side, words
 
 WORDS_PER_SHINGLE = 5
 THRESHOLD = 0.8
@@ -84,6 +84,16 @@ def contained_items(docs: DataFrame, items: DataFrame, n: int = WORDS_PER_SHINGL
     )
 
 
+def drop_contained(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                   **options) -> DataFrame:
+    """docs without the rows that contain an item, each row judged by its own text, also where rows
+    share an id or have none. Columns stay as they are."""
+    key = fresh("key")
+    named = docs.select(row_key(doc_id, text).alias(key), text)
+    found = contained_items(named, items, doc_id=key, text=text, **options)
+    return in_rows(docs, found, key, doc_id, text, "left_anti")
+
+
 CONTAINED_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM {docs}),
 s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3),

@@ -37,7 +37,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradepath.llm.common import cut, drop_ids, group_starts, keep_ids, whole_groups
+from tradepath.llm.common import (
+    cut,
+    drop_ids,
+    fresh,
+    group_starts,
+    in_rows,
+    keep_ids,
+    row_key,
+    whole_groups,
+)
 from tradepath.llm.components import components
 from tradepath.llm.symbols import word_shingles
 
@@ -366,9 +375,32 @@ def near_duplicates(docs: DataFrame, n: int = WORDS_PER_SHINGLE, threshold: floa
         F.when(alone, F.col(doc_id)).otherwise(F.col("copy_id")).alias("copy_id"))
 
 
+def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                 **options) -> DataFrame:
+    """docs with one row of each group of near copies, each row judged by its own text, also where
+    rows share an id or have none: the row with the least id (nulls last) and, among those, the
+    least hash of its text. Rows without a word stay, but of exact repeats with an id one does.
+    Columns stay as they are."""
+    key = fresh("key")
+    named = docs.select(row_key(doc_id, text).alias(key), text)
+    found = cut(near_duplicates(named, doc_id=key, text=text, **options))
+    gone = found.where(F.col(key) != F.col("class_id"))
+    kept = in_rows(docs, gone, key, doc_id, text, "left_anti")
+    # of repeats one row stays; they have links to each other unless they have no word
+    again = found.where((F.col(key) == F.col("class_id")) & (
+        (F.col("n_links") > 0) | ~F.col(f"{key}.no"))).groupBy(key).count().where("count > 1")
+    if not again.head(1):
+        return kept
+    h = fresh("hash")
+    one = in_rows(kept, again, key, doc_id, text, "left_semi").withColumn(h, F.xxhash64(text))
+    return in_rows(kept, again, key, doc_id, text, "left_anti").unionByName(
+        one.dropDuplicates([doc_id, h]).drop(h))
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """docs with one row of each group of near copies, the one with the least id; rows without a
-    word stay. Columns stay as they are."""
+    """docs with one row of each group of near copies, the one with the least id, and one row of
+    each id; rows without a word stay. Columns stay as they are. For ids that stand for one text
+    each; keep_one_row has no such condition."""
     found = cut(near_duplicates(docs, doc_id=doc_id, **options))
     kept = drop_ids(docs, found.where(F.col(doc_id) != F.col("class_id")), doc_id)
     again = found.where(F.col(doc_id) == F.col("class_id")).groupBy(doc_id).count().where("count > 1")
