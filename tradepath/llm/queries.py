@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradepath.llm import (
+    ball_codes,
     decontamination,
     fingerprints,
     jaccard,
@@ -15,6 +16,8 @@ from tradepath.llm import (
     packing,
     quality,
     repeats,
+    ring,
+    runs,
     secret_scan,
     separators,
     toxicity,
@@ -92,3 +95,18 @@ def _(read):
 @_query("op4_separator_scan")
 def _(read):
     return separators.count_tokens(read("documents"))
+
+
+@_query("op11_bounded_ring")
+def _(read):
+    return ring.digest(ring.assign(read("documents")))
+
+
+@_query("op12_periodic_runs")
+def _(read):
+    return runs.digest(runs.rewritten(read("documents")))
+
+
+@_query("op13_ball_codes", ball_codes.CODES_SQL)
+def _(read):
+    return ball_codes.encode(read("embeddings"))
