@@ -34,12 +34,17 @@ def _bucket():
     return F.coalesce(place, F.lit(0).cast("long"))
 
 
+def _same(column: str = "v"):
+    """A key that is 0 in all rows, which the optimiser does not know: an equality that it could fold
+    away would leave a nested loop."""
+    return F.pmod(F.xxhash64(column), F.lit(1)).alias("_all")
+
+
 def _located(hist: DataFrame, by: Sequence[str]) -> DataFrame:
     """The histogram with its group's _total, _min, _max and _mean, and the bucket _b."""
-    # without groups the one row of figures is broadcast, on a key that is the same in all rows
-    all_rows = F.col("v").isNull().alias("_all")
+    # without groups the one row of figures is broadcast
     keys = list(by) or ["_all"]
-    hist = hist if by else hist.select("*", all_rows)
+    hist = hist if by else hist.select("*", _same())
     stats = hist.groupBy(*keys).agg(
         F.sum("n").alias("_total"), F.min("v").alias("_min"), F.max("v").alias("_max"),
         (F.sum(F.col("n") * F.col("v")) / F.sum("n")).alias("_mean"),
@@ -96,9 +101,11 @@ def distribution(
 
     `probs` maps an output column to its probability.
     """
-    probs = dict(probs or {})
-    by = list(by)
-    located = _located(histogram(df, value, by, copies), by)
+    return _distribution(histogram(df, value, by, copies), list(by), dict(probs or {}))
+
+
+def _distribution(hist: DataFrame, by: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    located = _located(hist, by)
     buckets = _bucket_totals(located, by)
 
     wanted = []
@@ -144,6 +151,31 @@ def distribution(
     return opened.groupBy(*by).agg(*columns)
 
 
+def between_quantiles(
+    df: DataFrame, value, low: float = 0.25, high: float = 0.75, copies: str | None = None
+) -> DataFrame:
+    """One row: count, mean, std and both quantiles of a column, and inner_count, inner_mean and
+    inner_std of the values strictly between them. All come from one histogram; its rows meet
+    the one row of quantiles."""
+    hist = histogram(df, value, (), copies)
+    whole = _distribution(hist, [], {"low": low, "high": high})
+    rows = hist.select("*", _same()).join(F.broadcast(whole.select("*", _same("mean"))), "_all")
+    inner = (F.col("v") > F.col("low")) & (F.col("v") < F.col("high"))
+    figures = ["count", "mean", "std", "low", "high"]
+    sums = rows.select(
+        *figures, F.when(inner, F.col("n")).alias("k"),
+        F.when(inner, F.col("v") - F.col("low")).alias("d"),
+    ).groupBy(*figures).agg(
+        F.coalesce(F.sum("k"), F.lit(0)).alias("inner_count"),
+        F.expr("sum(k * d) AS _s"), F.expr("sum(k * d * d) AS _q"))
+    return sums.select(
+        *figures, "inner_count",
+        F.expr("low + _s / nullif(inner_count, 0)").alias("inner_mean"),
+        F.expr("""CASE WHEN inner_count > 1
+          THEN sqrt(greatest(_q - _s * _s / inner_count, 0D) / (inner_count - 1)) END""")
+        .alias("inner_std"))
+
+
 def moments(df: DataFrame, value: str, copies: str | None = None, around=None) -> DataFrame:
     """count, mean and std (sample) of a column in one pass, nulls left out. Sums are of the
     distances from `around`, a value among the column's (the least one unless the caller has one

@@ -13,7 +13,7 @@ from tradepath.adapters import Marketplace
 from tradepath.functions import labels
 from tradepath.functions.temporal import seconds_between
 from tradepath.operators.profile import melt, value_counts
-from tradepath.operators.quantiles import distribution, medians, moments
+from tradepath.operators.quantiles import between_quantiles, distribution, medians, moments
 from tradepath.plans import stages
 from tradepath.plans.stages import (
     CUSTOMERS, DURATIONS, GEO, ITEMS, PAYMENTS, PRODUCTS, REVIEWS, delivered, joined, timed,
@@ -311,22 +311,17 @@ def _payment_quartiles(rows_: DataFrame) -> DataFrame:
 
 def order_value(m: Marketplace) -> DataFrame:
     """Mean and std of payments, the same strictly between the quartiles, and per order."""
-    rows_ = delivered(m, [PAYMENTS])
-    all_rows = _payment_quartiles(rows_)
-    q = all_rows.select(F.struct("q1", "q3")).scalar()
-    value = F.col("payment_value").cast("double")
-    inner = rows_.where((value > q["q1"]) & (value < q["q3"]))
-    trimmed = moments(inner, "payment_value", "copies", q["q1"]).select(
-        F.struct("mean", "std")).scalar()
-    per_order = m.payments.join(
-        stages.clean_orders(m).where("order_status = 'delivered'").select("order_id"),
-        "order_id", "left_semi",
-    ).agg((F.sum("payment_value").cast("double") / F.count_distinct("order_id"))).scalar()
-    return all_rows.select(
+    rows_ = between_quantiles(delivered(m, [PAYMENTS]), "payment_value", copies="copies").select(
         F.col("mean").alias("aov"), F.col("std").alias("aov_std"),
-        trimmed["mean"].alias("iqr_aov"), trimmed["std"].alias("iqr_std"),
-        per_order.alias("aov_per_order"),
-    )
+        F.col("inner_mean").alias("iqr_aov"), F.col("inner_std").alias("iqr_std"))
+    orders = stages.clean_orders(m).where("order_status = 'delivered'").select("order_id")
+    paid = m.payments.join(orders, "order_id", "left_semi").groupBy("order_id").agg(
+        F.sum("payment_value").alias("paid"))
+    per_order = paid.agg(
+        (F.sum("paid").cast("double") / F.count(F.lit(1))).alias("aov_per_order"))
+    # one row of each, side by side
+    both = rows_.unionByName(per_order, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def revenue_per_customer(m: Marketplace) -> DataFrame:

@@ -25,6 +25,7 @@ from tradepath.operators.cleaning import (
     fill_with_group_median,
     fill_with_medians,
 )
+from tradepath.operators.skew import hot_keys, left_join
 from tradepath.sources.workspace import materialise
 
 MILESTONES = [
@@ -71,14 +72,14 @@ def zip_centroids(m: Marketplace) -> DataFrame:
     )
 
 
-def _side(m: Marketplace, name: str, dims: set) -> DataFrame:
+def _side(m: Marketplace, name: str, dims: Iterable[str] = (), more: Iterable[str] = ()) -> DataFrame:
     if name == PAYMENTS:
         return m.payments.select(
-            "order_id", "payment_type", "payment_value", "payment_installments"
+            "order_id", "payment_type", "payment_value", "payment_installments", *more
         )
     if name == REVIEWS:
-        return m.reviews.select("order_id", "review_score", "review_creation_date")
-    items = m.items.select("order_id", "product_id", "seller_id", "price")
+        return m.reviews.select("order_id", "review_score", "review_creation_date", *more)
+    items = m.items.select("order_id", "product_id", "seller_id", "price", *more)
     if PRODUCTS in dims:
         english = english_products(m).select("product_id", "product_category_english")
         items = items.join(english, "product_id", "left")
@@ -87,12 +88,16 @@ def _side(m: Marketplace, name: str, dims: set) -> DataFrame:
     return items
 
 
-def _with_every_order(side: DataFrame, orders: DataFrame) -> DataFrame:
-    """The rows of a table, and a row of nulls for each order that has none; one for an order that
-    is listed more than once, as each of its listings meets it."""
-    covered = side.select("order_id").distinct()
-    bare = orders.select("order_id").distinct().join(covered, "order_id", "left_anti")
-    return side.unionByName(bare, allowMissingColumns=True)
+#: A column of each table that tells apart the rows of an order.
+ROW = {ITEMS: "order_item_id", PAYMENTS: "payment_sequential", REVIEWS: "review_id"}
+
+
+def _hot_orders(m: Marketplace, name: str) -> list[tuple]:
+    """Orders that hold much of a table; looked for once per marketplace."""
+    known = m.__dict__.setdefault("hot_orders", {})
+    if name not in known:
+        known[name] = hot_keys(_side(m, name), "order_id")
+    return known[name]
 
 
 def located_customers(m: Marketplace) -> DataFrame:
@@ -123,17 +128,20 @@ def located_customers(m: Marketplace) -> DataFrame:
 def joined(m: Marketplace, use: Iterable[str] = ALL, dims: Iterable[str] = ()) -> DataFrame:
     """Orders with the rows of the tables in `use`, and `copies` for the others."""
     use, dims = set(use), set(dims)
-    orders = out = clean_orders(m)
+    out = clean_orders(m)
     if CUSTOMERS in dims or GEO in dims:
         customers = located_customers(m) if GEO in dims else m.customers
         out = out.join(customers, "customer_id", "left")
 
     copies = ["1L"]
     for name in ALL:
-        side = _side(m, name, dims if name in use else set())
         if name in use:
-            out = out.join(_with_every_order(side, orders), "order_id")
+            hot = _hot_orders(m, name)
+            more = [ROW[name]] if hot else []
+            side = _side(m, name, dims, more)
+            out = left_join(out, side, "order_id", hot).drop(*more)
         else:
+            side = _side(m, name)
             counts = side.groupBy("order_id").agg(F.count(F.lit(1)).alias(f"_n_{name}"))
             copies.append(f"coalesce(_n_{name}, 1L)")
             out = out.join(counts, "order_id", "left")
