@@ -1,19 +1,27 @@
 """Declarative data checks, a report with one row per check, and a valid/quarantine split.
 
-The report never looks at a row twice for row-local checks: each row becomes the set of
-rules it breaks (a bit mask), rows are counted per mask with map-side combine, and every
-figure follows from that small table. Duplicate and reference checks count keys first and
-compare the counts, so a key that holds much of the table costs one row per task.
+A report is one action. Each row becomes the set of rules it breaks (a bit mask) and the values it
+refers to; rows are counted per mask and values with map-side combine, the counts meet the known
+values, and every figure follows from that small table. Duplicate checks count keys first, so
+a key that holds much of the table costs one row per task.
+
+A user's rule that cannot be evaluated on some row (a division by zero, a value that does not
+convert) is caught on that row, in the same pass: the report calls its check critical and failed by
+all rows, a split holds back the rows that broke it. Only if a pass fails for another reason,
+such as a broken function of the user's, are the checks run one by one, so that the one that fails
+is lost alone.
 """
 
 import json
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS = 60
 
@@ -265,41 +273,112 @@ def _result(check, total, failed, errors, details, failures) -> Column:
     )
 
 
-def _row_local_results(df: DataFrame, checks) -> DataFrame:
-    conditions, spans = [], {}
+def _attempted(df: DataFrame, condition: Column) -> Column:
+    """X'01' if a condition is true, X'00' if it is not or unknown, null if it fails on the row: a
+    try function gives null for whatever fails inside it. A branch that is always taken, which
+    the optimiser does not know, keeps parts that several rules share from being computed ahead of
+    it."""
+    some = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    taken = F.pmod(F.hash(F.col(f"`{some[0]}`")), F.lit(1)) == 0 if some else F.lit(True)
+    text = F.when(condition, F.lit("01")).otherwise(F.lit("00"))
+    return F.when(taken, F.try_to_binary(text, F.lit("hex")))
+
+
+@dataclass
+class _Parts:
+    """What one check needs from the pass: conditions on rows (label, condition), conditions that
+    mark rows on which a rule fails, references to join (rule, known values), or why it crashed."""
+
+    local: list = field(default_factory=list)
+    raised: list = field(default_factory=list)
+    joined: list = field(default_factory=list)
+    error: str | None = None
+
+
+def _parts(df: DataFrame, check) -> _Parts:
+    out = _Parts()
+    try:
+        if isinstance(check, ReferenceCheck):
+            for rule in check.present(df):
+                known = rule.known(df)
+                if known is None:
+                    values = [v for v in rule.values if v is not None]
+                    out.local.append((rule.label, rule.broken(F.col(rule.column).isin(values))))
+                else:
+                    out.joined.append((rule, known))
+        elif isinstance(check, RuleCheck):
+            for label, condition in check.rules(df):
+                tried = _attempted(df, condition)
+                out.local.append((label, tried == F.lit(bytearray(b"\x01"))))
+                out.raised.append(tried.isNull())
+        elif not isinstance(check, SchemaCheck):
+            out.local = list(check.rules(df))
+        df.select(*[c.alias(f"c{i}") for i, c in enumerate(
+            [c for _, c in out.local] + out.raised)]).schema  # unknown columns, wrong types
+    except Exception as error:  # noqa: BLE001
+        return _Parts(error=str(error) or type(error).__name__)
+    return out
+
+
+def _one_pass(df: DataFrame, checks: Sequence[Any]) -> DataFrame:
+    """One row per check, with its number in _at, for all but duplicate checks."""
+    conditions: list[Column] = []
+
+    def bit(condition: Column) -> Column:
+        conditions.append(condition)
+        return _bit(len(conditions) - 1)
+
+    found, references = [], []
     for check in checks:
-        if not isinstance(check, SchemaCheck):
-            rules = check.rules(df)
-            spans[id(check)] = [(label, len(conditions) + i) for i, (label, _) in enumerate(rules)]
-            conditions += [c for _, c in rules]
+        parts = _parts(df, check)
+        pairs = [(label, bit(c)) for label, c in parts.local]
+        for rule, known in parts.joined:
+            pairs.append((rule.label, F.col(f"_broken_{len(references)}")))
+            references.append((rule, known))
+        found.append((pairs, [bit(c) for c in parts.raised], parts.error))
+
     masks = _masks(conditions)
-    names = [f"_m{i}" for i in range(len(masks))]
-    patterns = df.select(*masks).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    columns = list(dict.fromkeys(rule.column for rule, _ in references))
+    names = [f"_m{i}" for i in range(len(masks))] + columns
+    patterns = counted = df.select(*masks, *columns).groupBy(*names).agg(
+        F.count(F.lit(1)).alias("_n"))
+    for i, (rule, known) in enumerate(references):
+        side = known.select(F.col(known.columns[0]).alias("_key"), F.lit(True).alias("_found"))
+        patterns = patterns.join(side, F.col(rule.column) == F.col("_key"), "left").withColumn(
+            f"_broken_{i}", rule.broken(F.col("_found"))).drop("_key", "_found")
 
     def rows_where(condition):
         return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
 
     aggs = [F.coalesce(F.sum("_n"), F.lit(0)).alias("_total")]
-    aggs += [rows_where(_bit(i)).alias(f"_c{i}") for i in range(len(conditions))]
     counts = None
-    for j, check in enumerate(checks):
-        bits = [i for _, i in spans.get(id(check), [])]
+    for j, (check, (pairs, raised, _)) in enumerate(zip(checks, found)):
+        aggs += [rows_where(c).alias(f"_c{j}_{i}") for i, (_, c) in enumerate(pairs)]
         hit = F.lit(False)
-        if isinstance(check, NullCheck) and check.threshold_percent > 0 and bits:
+        if isinstance(check, NullCheck) and check.threshold_percent > 0 and pairs:
             # which fields fail depends on their totals, so those are read first
-            if counts is None:
-                counts = patterns.agg(*aggs).select(F.struct("*")).scalar()
-            for i in bits:
-                hit = hit | (_bit(i) & check.fails(counts[f"_c{i}"], counts["_total"]))
+            counts = counted.agg(
+                F.sum("_n").alias("_total"),
+                *[rows_where(c).alias(f"_c{i}") for i, (_, c) in enumerate(pairs)],
+            ).select(F.struct("*")).scalar()
+            for i, (_, c) in enumerate(pairs):
+                hit = hit | (c & check.fails(counts[f"_c{i}"], counts["_total"]))
         else:
-            for i in bits:
-                hit = hit | _bit(i)
+            for _, c in pairs:
+                hit = hit | c
         aggs.append(rows_where(hit).alias(f"_f{j}"))
+        failed = F.lit(False)
+        for c in raised:
+            failed = failed | c
+        aggs.append(rows_where(failed).alias(f"_x{j}"))
 
     one = patterns.agg(*aggs)
     total = F.col("_total")
     rows = []
-    for j, check in enumerate(checks):
+    for j, (check, (pairs, raised, error)) in enumerate(zip(checks, found)):
+        if error is not None:
+            rows.append(_crash_result(check, total, F.lit(error)))
+            continue
         if isinstance(check, SchemaCheck):
             missing, extra, wrong = check.findings(df)
             errors = len(missing) + len(wrong) + (0 if check.allow_extra else len(extra))
@@ -307,20 +386,24 @@ def _row_local_results(df: DataFrame, checks) -> DataFrame:
             failed = total if missing else F.lit(0)
             rows.append(_result(check, total, failed, F.lit(errors), details, F.lit(None)))
             continue
-        pairs = []
-        for label, i in spans[id(check)]:
-            count = F.col(f"_c{i}")
+        labelled = []
+        for i, (label, _) in enumerate(pairs):
+            count = F.col(f"_c{j}_{i}")
             if isinstance(check, NullCheck):
                 count = F.when(check.fails(count, total), count).otherwise(F.lit(0).cast("long"))
-            pairs.append((label, count))
-        failures = _failure_map(pairs)
+            labelled.append((label, count))
+        failures = _failure_map(labelled)
         missing = check.missing(df)
         broken = F.coalesce(F.size(failures), F.lit(0)) if pairs else F.lit(0)
-        rows.append(
-            _result(check, total, F.col(f"_f{j}"), broken + len(missing),
-                    {"missing": missing} if missing else {}, failures)
-        )
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        word = "missing_columns" if isinstance(check, ReferenceCheck) else "missing"
+        row = _result(check, total, F.col(f"_f{j}"), broken + len(missing),
+                      {word: missing} if missing else {}, failures)
+        if raised:
+            text = F.concat(F.lit("a rule cannot be evaluated on "), F.col(f"_x{j}").cast("string"),
+                            F.lit(" rows"))
+            row = F.when(F.col(f"_x{j}") > 0, _crash_result(check, total, text)).otherwise(row)
+        rows.append(row)
+    return one.select(F.posexplode(F.array(*rows)).alias("_at", "r")).select("_at", "r.*")
 
 
 def _copies(df: DataFrame, key) -> DataFrame:
@@ -351,107 +434,91 @@ def _duplicate_result(df: DataFrame, check: DuplicateCheck) -> DataFrame:
     return one.select(result.alias("r")).select("r.*")
 
 
-def _reference_result(df: DataFrame, check: ReferenceCheck) -> DataFrame:
-    rules = check.present(df)
-    columns = list(dict.fromkeys(r.column for r in rules))
-    values = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    marked, flags = _mark_references(values, rules)
-    any_broken = F.lit(False)
-    for _, flag in flags:
-        any_broken = any_broken | F.col(flag)
-
-    def rows_where(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0))
-
-    one = marked.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
-        rows_where(any_broken).alias("_failed"),
-        *[rows_where(F.col(flag)).alias(f"_c_{flag}") for _, flag in flags],
-    )
-    failures = _failure_map([(label, F.col(f"_c_{flag}")) for label, flag in flags])
-    missing = check.missing(df)
-    errors = (F.coalesce(F.size(failures), F.lit(0)) if flags else F.lit(0)) + len(missing)
-    details = {"missing_columns": missing} if missing else {}
-    result = _result(check, F.col("_total"), F.col("_failed"), errors, details, failures)
-    return one.select(result.alias("r")).select("r.*")
-
-
 _RESULT_SCHEMA = (
     "validation_name string, status string, severity string, rows_checked long, "
     "rows_failed long, error_count long, message string, failures map<string,bigint>"
 )
 
 
-def _crashed(df: DataFrame, check, error: Exception) -> DataFrame:
+def _crash_result(check, total: Column, error: Column) -> Column:
     """A check that cannot be evaluated fails every row, as critical."""
-    text = str(error) or type(error).__name__
-    total = F.col("_total")
-    return df.agg(F.count(F.lit(1)).alias("_total")).select(
+    return F.struct(
         F.lit(check.name).alias("validation_name"),
         F.lit("failed").alias("status"),
         F.lit("critical").alias("severity"),
-        total.alias("rows_checked"),
-        total.alias("rows_failed"),
+        total.cast("long").alias("rows_checked"),
+        total.cast("long").alias("rows_failed"),
         F.lit(1).cast("long").alias("error_count"),
-        F.lit(f"unexpected validation error: {text}").alias("message"),
+        F.concat(F.lit("unexpected validation error: "), error).alias("message"),
         F.lit(None).cast(_NO_FAILURES).alias("failures"),
     )
 
 
-def _result_of(df: DataFrame, check) -> DataFrame:
-    if isinstance(check, DuplicateCheck):
-        return _duplicate_result(df, check)
-    if isinstance(check, ReferenceCheck):
-        return _reference_result(df, check)
-    return _row_local_results(df, [check])
+def _report(df: DataFrame, checks: Sequence[Any]) -> DataFrame:
+    """One row per check with its number in _at: one pass, and a branch for each duplicate check."""
+    local = [n for n, c in enumerate(checks) if not isinstance(c, DuplicateCheck)]
+    branches = []
+    if local:
+        number = F.element_at(F.array(*[F.lit(n) for n in local]), F.col("_at") + 1)
+        branches.append(_one_pass(df, [checks[n] for n in local]).withColumn("_at", number))
+    for n, check in enumerate(checks):
+        if n not in local:
+            branches.append(_duplicate_result(df, check).withColumn("_at", F.lit(n)))
+    return reduce(lambda a, b: a.unionByName(b), branches)
 
 
-def _collected(df: DataFrame, check, build) -> list:
-    """Result rows of `build()`; if it fails, also at run time, those of a crashed check."""
+def _alone(df: DataFrame, check) -> list:
+    """The result row of one check; if it fails, that of a crashed check."""
     try:
-        return build().select(*RESULT_COLUMNS).collect()
+        return _report(df, [check]).select(*RESULT_COLUMNS).collect()
     except Exception as error:  # noqa: BLE001
-        return _crashed(df, check, error).select(*RESULT_COLUMNS).collect()
+        text = str(error) or type(error).__name__
+        return df.agg(F.count(F.lit(1)).alias("_total")).select(
+            _crash_result(check, F.col("_total"), F.lit(text)).alias("r")).select("r.*").collect()
+
+
+def timed_reports(tables: Sequence[tuple[str, DataFrame, Sequence[Any]]]) -> list[tuple]:
+    """(table, result row, seconds) per table and check, in order. All tables are one action, whose
+    time each of its checks has. If it fails, the tables run one by one, and the checks of a table
+    that fails; so that only a check that fails is lost."""
+    started = time.perf_counter()
+    asked = [(name, df, checks) for name, df, checks in tables if checks]
+    if not asked:
+        return []
+    try:
+        parts = [_report(df, checks).withColumn("_table", F.lit(t))
+                 for t, (_, df, checks) in enumerate(asked)]
+        rows = reduce(lambda a, b: a.unionByName(b), parts).select(
+            "_table", "_at", *RESULT_COLUMNS).collect()
+    except Exception:  # noqa: BLE001
+        if len(asked) > 1:
+            return [row for one in asked for row in timed_reports([one])]
+        [(name, df, checks)] = asked
+        out = []
+        for check in checks:
+            started = time.perf_counter()
+            [row] = _alone(df, check)
+            out.append((name, row, round(time.perf_counter() - started, 6)))
+        return out
+    seconds = round(time.perf_counter() - started, 6)
+    return [(asked[r["_table"]][0], r[2:], seconds)
+            for r in sorted(rows, key=lambda r: (r["_table"], r["_at"]))]
 
 
 def timed_checks(df: DataFrame, checks: Sequence[Any]) -> list[tuple]:
-    """(result row, seconds) per check, in order. Row-local checks share one pass, and its time. If
-    that pass fails they run one by one, so that only the check that fails is lost."""
-    results: dict[int, tuple] = {}
+    """(result row, seconds) per check, in order."""
+    return [(row, seconds) for _, row, seconds in timed_reports([("", df, checks)])]
 
-    def run(numbers, build):
-        started = time.perf_counter()
-        rows = build()
-        seconds = round(time.perf_counter() - started, 6)
-        results.update({n: (row, seconds) for n, row in zip(numbers, rows)})
 
-    local = [n for n, c in enumerate(checks) if not isinstance(c, (DuplicateCheck, ReferenceCheck))]
-    if local:
-        together = [checks[n] for n in local]
-        try:
-            run(local, lambda: _in_order(_row_local_results(df, together), together))
-        except Exception:  # noqa: BLE001
-            for n in local:
-                run([n], lambda c=checks[n]: _collected(df, c, lambda: _result_of(df, c)))
-    for n, check in enumerate(checks):
-        if n not in results:
-            run([n], lambda c=check: _collected(df, c, lambda: _result_of(df, c)))
-    return [results[n] for n in range(len(checks))]
-
-
-def _in_order(results: DataFrame, checks: Sequence[Any]) -> list:
-    """The result rows in the order of their checks; checks of one name keep theirs."""
-    rows = results.select(*RESULT_COLUMNS).collect()
-    out = []
-    for check in checks:
-        at = next(i for i, r in enumerate(rows) if r["validation_name"] == check.name)
-        out.append(rows.pop(at))
-    return out
+def run_reports(tables: Sequence[tuple[str, DataFrame, Sequence[Any]]]) -> DataFrame:
+    """One result row per table and check, from one action."""
+    rows = [(name, *row) for name, row, _ in timed_reports(tables)]
+    return tables[0][1].sparkSession.createDataFrame(rows, "table_name string, " + _RESULT_SCHEMA)
 
 
 def run_checks(df: DataFrame, checks: Sequence[Any]) -> DataFrame:
-    """One result row per check. The checks run at once, for a check that fails while it runs must
-    not take the others with it; what reaches the driver is one row per check."""
+    """One result row per check. The checks run at once; what reaches the driver is one row per
+    check."""
     rows = [tuple(row) for row, _ in timed_checks(df, checks)]
     return df.sparkSession.createDataFrame(rows, _RESULT_SCHEMA)
 
@@ -483,31 +550,19 @@ def write_report(df: DataFrame, checks: Sequence[Any], path: str, run_id: str) -
     return written.where(F.col("run_id") == run_id)
 
 
-def _fails_at_run_time(df: DataFrame, check) -> bool:
-    """Whether a user's rules cannot be evaluated on some row; the other checks always can."""
-    if not isinstance(check, RuleCheck):
-        return False
-    try:
-        df.agg(*[F.count_if(c) for _, c in check.rules(df)] or [F.lit(0)]).collect()
-    except Exception:  # noqa: BLE001
-        return True
-    return False
-
-
 def flag_rows(df: DataFrame, checks: Sequence[Any], only: Sequence[str] | None = None):
     """df plus `_failed_checks`, the names of the checks each row fails.
 
-    `only` limits the flags to some checks by name. Key and reference flags come from
-    joins with one row per repeated key or per known value; adaptive execution splits
-    the partitions of a key that holds much of the table.
+    `only` limits the flags to some checks by name. A row on which a rule cannot be evaluated
+    fails its check; a check whose rules name unknown columns is failed by all rows. Key and
+    reference flags come from joins with one row per repeated key or per known value; adaptive
+    execution splits the partitions of a key that holds much of the table.
     """
     out, flags = df, []
     for n, check in enumerate(checks):
         if only is not None and check.name not in only:
             continue
-        if _fails_at_run_time(df, check):
-            flag = F.lit(True)  # as in the report: all rows fail it
-        elif isinstance(check, SchemaCheck):
+        if isinstance(check, SchemaCheck):
             flag = F.lit(bool(check.findings(df)[0]))
         elif isinstance(check, DuplicateCheck):
             key = [c for c in (check.key or df.columns) if c in df.columns]
@@ -541,9 +596,10 @@ def flag_rows(df: DataFrame, checks: Sequence[Any], only: Sequence[str] | None =
             for i, (_, c) in enumerate(rules):
                 flag = flag | (c & check.fails(counts[f"_c{i}"], counts["_total"]))
         else:
-            flag = F.lit(False)
-            for _, c in check.rules(df):
-                flag = flag | c
+            parts = _parts(df, check)
+            flag = F.lit(parts.error is not None)
+            for c in [c for _, c in parts.local] + parts.raised:
+                flag = flag | F.coalesce(c, F.lit(False))
         flags.append(F.when(flag, F.lit(check.name)))
     failed = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
     return out.select(*df.columns, failed.alias("_failed_checks"))

@@ -7,7 +7,7 @@ from tradepath.adapters import Marketplace
 from tradepath.functions import reference_data as ref
 from tradepath.operators.quality import (
     DuplicateCheck, NullCheck, RangeCheck, RangeRule, ReferenceCheck, ReferenceRule, Rule,
-    RuleCheck, run_checks,
+    RuleCheck, run_reports,
 )
 from tradepath.plans import silver
 
@@ -60,9 +60,5 @@ def standard_rules(m: Marketplace) -> list[tuple[str, DataFrame, list]]:
 
 
 def run_standard_rules(m: Marketplace) -> DataFrame:
-    """One row per table and check."""
-    out = None
-    for table, rows, checks in standard_rules(m):
-        part = run_checks(rows, checks).select(F.lit(table).alias("table_name"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """One row per table and check, from one action."""
+    return run_reports(standard_rules(m))
