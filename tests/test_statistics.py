@@ -156,6 +156,24 @@ def test_dunn(groups):
         assert math.isclose(r["p_value"], min(1, 3 * math.erfc(z / math.sqrt(2))), rel_tol=1e-6)
 
 
+def test_dunn_of_many_groups(spark):
+    """5,000 groups: 12,497,500 pairs, none twice, no array of all groups, no nested loop."""
+    df = spark.range(20_000).select(
+        F.format_string("g%d", F.col("id") % 5000).alias("g"),
+        F.pmod(F.xxhash64("id"), F.lit(997)).alias("v"))
+    pairs = h.dunn(df, "v", "g")
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "collect_list" not in plan
+    row = pairs.agg(F.count(F.lit(1)), F.count_if(F.col("group_a") < F.col("group_b")),
+                    F.min("n_pairs"), F.max("n_pairs"), F.sum(F.hash("group_a", "group_b"))).first()
+    assert tuple(row)[:4] == (12_497_500,) * 4
+    few = df.where("g IN ('g1', 'g2', 'g3', 'g4')")
+    for blocks in (1, 2, 7):
+        got = h.dunn(few, "v", "g", blocks=blocks).orderBy("group_a", "group_b").collect()
+        assert got == h.dunn(few, "v", "g").orderBy("group_a", "group_b").collect()
+        assert len(got) == 6
+
+
 def test_two_proportions_and_chi_square(spark):
     rows = [(True, True)] * 30 + [(False, True)] * 70 + [(True, False)] * 15 + [(False, False)] * 85
     df = spark.createDataFrame(rows, "hit boolean, late boolean")

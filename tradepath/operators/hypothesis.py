@@ -158,35 +158,41 @@ def kruskal_wallis(df: DataFrame, value, group: str, copies: str | None = None)
     )
 
 
-def dunn(df: DataFrame, value, group: str, copies: str | None = None) -> DataFrame:
+#: Blocks of groups whose pairs are formed together; each group is copied once for each.
+BLOCKS = 32
+
+
+def dunn(df: DataFrame, value, group: str, copies: str | None = None, blocks: int = BLOCKS
+         ) -> DataFrame:
     """z of the mean rank difference for each pair of groups, and the number of pairs.
 
-    Pairs are formed from one array with an entry per group, not by joining rows.
+    Groups are rows, dealt into blocks; a join on the pair of blocks forms the pairs, so the
+    groups of two blocks meet in a task, never all of them. Each group carries its own part of the
+    variance, which the two of a pair add up.
     """
-    groups = rank_sums(df, value, group, copies).agg(
-        F.array_sort(F.collect_list(
-            F.struct("group", (F.col("rank_sum") / F.col("n")).alias("mean_rank"), "n")
-        )).alias("g"),
-        F.max("total").cast("double").alias("total"),
-        F.sum("ties").alias("ties"),
-    )
-    pairs = F.flatten(F.transform(
-        "g",
-        lambda a: F.transform(
-            F.filter("g", lambda b: b["group"] > a["group"]),
-            lambda b: F.struct(a.alias("a"), b.alias("b")),
-        ),
-    ))
-    n = F.col("total")
-    spread = F.sqrt(
-        (n * (n + 1) / 12 - F.col("ties") / (12 * (n - 1)))
-        * (1 / F.col("p.a.n") + 1 / F.col("p.b.n"))
-    )
-    return groups.select("total", "ties", F.explode(pairs).alias("p"),
-                         F.size(pairs).alias("n_pairs")).select(
-        F.col("p.a.group").alias("group_a"),
-        F.col("p.b.group").alias("group_b"),
-        (F.abs(F.col("p.a.mean_rank") - F.col("p.b.mean_rank")) / spread).alias("z"),
+    key = F.pmod(F.xxhash64("group"), F.lit(1)).alias("_all")  # 0, which the optimiser cannot fold
+    groups = rank_sums(df, value, group, copies).select("*", key)
+    figures = groups.groupBy("_all").agg(
+        F.max("total").cast("double").alias("_n"), F.sum("ties").alias("_ties"),
+        F.count(F.lit(1)).alias("_k"))
+    n = F.col("_n")
+    spread = (n * (n + 1) / 12 - F.col("_ties") / (12 * (n - 1))) / F.col("n")
+    groups = groups.join(F.broadcast(figures), "_all").select(
+        "group", (F.col("rank_sum") / F.col("n")).alias("mean"), spread.alias("part"),
+        (F.col("_k") * (F.col("_k") - 1) / 2).cast("long").alias("n_pairs"),
+        F.pmod(F.xxhash64("group"), F.lit(blocks)).cast("int").alias("_block"))
+    first = groups.select(
+        F.col("group").alias("a"), F.col("mean").alias("mean_a"), F.col("part").alias("part_a"),
+        "n_pairs", F.col("_block").alias("_i"),
+        F.explode(F.sequence(F.col("_block"), F.lit(blocks - 1))).alias("_j"))
+    second = groups.select(
+        F.col("group").alias("b"), F.col("mean").alias("mean_b"), F.col("part").alias("part_b"),
+        F.col("_block").alias("_j"), F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("_i"))
+    pairs = first.join(second, ["_i", "_j"]).where("_i < _j OR a < b")
+    return pairs.select(
+        F.least("a", "b").alias("group_a"), F.greatest("a", "b").alias("group_b"),
+        (F.abs(F.col("mean_a") - F.col("mean_b")) / F.sqrt(F.col("part_a") + F.col("part_b")))
+        .alias("z"),
         "n_pairs",
     )
 

@@ -10,7 +10,7 @@ from tradepath.functions import labels
 from tradepath.functions import reference_data as ref
 from tradepath.functions.temporal import date_key, floor_days_between
 from tradepath.operators.quality import DuplicateCheck, NullCheck, ReferenceCheck, ReferenceRule
-from tradepath.operators.quality import run_checks
+from tradepath.operators.quality import run_reports
 from tradepath.operators.scd import (
     BEGINNING, CURRENT, END, START, UNKNOWN_KEY, as_of, dense_keys, hash_key, history, wide_key,
 )
@@ -389,11 +389,10 @@ class Warehouse:
             ("FactReviews", self.fact_reviews(), ["ReviewKey"], [
                 customer, ReferenceRule("ReviewDateKey", days)]),
         ]
-        out = None
+        reports = []
         for table, rows, key, references in plans:
             checks = [NullCheck(key), DuplicateCheck(key, full_row=False)]
             if references:
                 checks.append(ReferenceCheck(references))
-            part = run_checks(rows, checks).select(F.lit(table).alias("table_name"), "*")
-            out = part if out is None else out.unionByName(part)
-        return out
+            reports.append((table, rows, checks))
+        return run_reports(reports)

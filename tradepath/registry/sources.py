@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tradepath.contracts import CONTRACTS, struct
-from tradepath.operators.quality import contract_checks, publish_counts, run_checks, split
+from tradepath.operators.quality import contract_checks, publish_counts, run_reports, split
 from tradepath.registry import register
 from tradepath.registry.silver import ts
 from tradepath.sources import bronze, csv, kafka
@@ -190,13 +190,9 @@ TABLE_VIEWS = {"orders": "m_orders", "customers": "m_customers", "order_items":
       count(*) AS rows_checked, CAST(0 AS BIGINT) AS rows_failed FROM {v}"""
     for t, v in TABLE_VIEWS.items() for check in ("schema_validation", "null_validation")))
 def _(m):
-    out = None
-    for name, rows in contract_tables(m).items():
-        part = run_checks(rows, contract_checks(CONTRACTS[name])).select(
-            F.lit(name).alias("table_name"), "validation_name", "status", "rows_checked",
-            "rows_failed")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return run_reports([
+        (name, rows, contract_checks(CONTRACTS[name])) for name, rows in contract_tables(m).items()
+    ]).select("table_name", "validation_name", "status", "rows_checked", "rows_failed")
 
 
 @register("v13_valid_rows", f"""
