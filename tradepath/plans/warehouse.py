@@ -15,6 +15,8 @@ from tradepath.operators.scd import (
     BEGINNING, CURRENT, END, START, UNKNOWN_KEY, as_of, dense_keys, hash_key, history, wide_key,
 )
 from tradepath.plans import silver
+from tradepath.sources.catalogue import LoadCatalogue, file_state
+from tradepath.sources.workspace import own_folder
 
 SOURCE_SYSTEM = "marketplace"
 CUSTOMER_ATTRIBUTES = [
@@ -71,14 +73,28 @@ class Warehouse:
     """Dimensions and facts as lazy frames; nothing runs while they are built.
 
     With a `folder` the dimensions are read from there, after `write_dimensions` has put them
-    there, once per load; without one each fact derives those that it needs. `orders` stands in
-    for the marketplace's orders in the facts.
+    there; with `of_load` a catalogue holds them, and each is written when a fact of the load first
+    asks for it and read by all others. Without either, each fact derives those that it needs.
+    `orders` stands in for the marketplace's orders in the facts.
     """
 
     def __init__(self, m: Marketplace, folder: str | None = None, orders: DataFrame | None = None):
         self.m = m
         self.folder = folder
         self.orders = m.orders if orders is None else orders
+        self.catalogue: LoadCatalogue | None = None
+        self.load = ""
+
+    @classmethod
+    def of_load(cls, m: Marketplace, catalogue: LoadCatalogue | None = None,
+                load: str | None = None, orders: DataFrame | None = None) -> "Warehouse":
+        """A warehouse on the dimensions of one load. By default the load is the state of the
+        marketplace's files, and the catalogue lies in the application's folder; a job that is to
+        share dimensions with later ones names a folder that stays."""
+        out = cls(m, orders=orders)
+        out.catalogue = catalogue or LoadCatalogue(m.spark, f"{own_folder(m.spark)}/warehouse")
+        out.load = load or file_state(m.spark, m.path)
+        return out
 
     DIMENSIONS = ("dates", "geography", "customers", "products", "sellers", "payment_types")
 
@@ -93,6 +109,8 @@ class Warehouse:
         return out
 
     def _dimension(self, name: str, derive) -> DataFrame:
+        if self.catalogue is not None:
+            return self.catalogue.table(self.load, name, derive)
         if self.folder is None:
             return derive()
         return self.m.spark.read.parquet(f"{self.folder}/{name}")

@@ -9,7 +9,6 @@ from tradepath.plans.warehouse import (
 )
 from tradepath.registry import register
 from tradepath.registry.silver import _SILVER_GEO, _SILVER_ORDERS, _LOOKUP, r, ts
-from tradepath.sources.workspace import fresh_path
 from tradepath.registry.sql import VIEWS, case_map, floor_days, secs
 
 
@@ -255,13 +254,13 @@ def _sales(w):
 
 @register("d09_fact_sales", _sales_sql("m_orders"))
 def _(m):
-    return _sales(Warehouse(m))
+    return _sales(Warehouse.of_load(m))
 
 
 @register("d09_fact_sales_unknown_orders", _sales_sql(_SOME_ORDERS))
 def _(m):
     """A tenth of the orders has not arrived; their items stay in the fact."""
-    return _sales(Warehouse(m, orders=m.orders.where("order_id % 10 <> 0")))
+    return _sales(Warehouse.of_load(m, orders=m.orders.where("order_id % 10 <> 0")))
 
 
 def _payments_sql(orders):
@@ -283,12 +282,12 @@ def _paid(w):
 
 @register("d10_fact_payments", _payments_sql("m_orders"))
 def _(m):
-    return _paid(Warehouse(m))
+    return _paid(Warehouse.of_load(m))
 
 
 @register("d10_fact_payments_unknown_orders", _payments_sql(_SOME_ORDERS))
 def _(m):
-    return _paid(Warehouse(m, orders=m.orders.where("order_id % 10 <> 0")))
+    return _paid(Warehouse.of_load(m, orders=m.orders.where("order_id % 10 <> 0")))
 
 
 _D = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
@@ -312,7 +311,7 @@ def _int_days(end, start):
     FROM m_orders o {_as_of_sql('m_customer_versions', 'c', 'o.customer_id', 'customer_id')}
     {_as_of_sql('m_geo_versions', 'g', 'c.customer_zip_code_prefix', 'zip')}""")
 def _(m):
-    w = Warehouse(m)
+    w = Warehouse.of_load(m)
     return (
         w.fact_delivery()
         .join(w.customers.select("CustomerKey", "CustomerId"), "CustomerKey", "left")
@@ -331,7 +330,7 @@ def _(m):
       is_late AS IsLateDelivery
     FROM m_latest_review LEFT JOIN so USING (order_id)""")
 def _(m):
-    return Warehouse(m).fact_reviews().drop("ReviewKey", "CustomerKey")
+    return Warehouse.of_load(m).fact_reviews().drop("ReviewKey", "CustomerKey")
 
 
 _TESTS = [
@@ -358,7 +357,5 @@ def _test_sql(table, view, check):
     + (["referential_integrity_validation"]
        if t.startswith("Fact") or t in ("DimCustomer", "DimSeller") else [])))
 def _(m):
-    # written once, as a load does; the tests read every dimension several times
-    w = Warehouse(m).write_dimensions(fresh_path(m.spark, "dimensions"))
-    return w.key_tests().select(
+    return Warehouse.of_load(m).key_tests().select(
         "table_name", "validation_name", "status", "rows_checked", "rows_failed")

@@ -36,11 +36,15 @@ def _remove_at_exit(spark: SparkSession, folder: str) -> None:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing else uses. Paths of a session lie in a folder of
-    its own, which goes when the session's application ends."""
+    """A path in the application's folder that nothing else uses."""
+    return f"{own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def own_folder(spark: SparkSession) -> str:
+    """The folder of this application below the shared one, which goes when it ends."""
     own = f"{shared_folder(spark)}/tradepath/{spark.sparkContext.applicationId}"
     _remove_at_exit(spark, own)
-    return f"{own}/{label}-{uuid.uuid4().hex}"
+    return own
 
 
 def remove(spark: SparkSession, path: str) -> None:
