@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradepath.operators.quantiles import distribution
@@ -60,6 +60,31 @@ def cardinality(df: DataFrame, columns: Sequence[str], approximate: bool = False
     return present
 
 
+class SketchStore:
+    """Distinct counts of a growing table: a HyperLogLog sketch per load and column is stored (a few
+    kilobytes, from one pass without a shuffle of values), and any set of loads is counted by
+    merging theirs. Loads may overlap; a load that is added again replaces itself."""
+
+    def __init__(self, spark: SparkSession, path: str, bits: int = 14):
+        self.spark, self.path, self.bits = spark, path, bits
+
+    def add(self, df: DataFrame, columns: Sequence[str], load: str) -> None:
+        sketches = df.agg(*[F.hll_sketch_agg(F.col(c).cast("string"), self.bits).alias(c)
+                            for c in columns])
+        melt(sketches, columns, "column", "sketch").withColumn("load", F.lit(load)).write.mode(
+            "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "load").parquet(self.path)
+
+    def cardinality(self, loads: Sequence[str] | None = None) -> DataFrame:
+        """Distinct non-null values per column over some loads, or all."""
+        rows = self.spark.read.schema("column string, sketch binary, load string").parquet(self.path)
+        if loads is not None:
+            rows = rows.where(F.col("load").isin(list(loads)))
+        return rows.groupBy("column").agg(
+            F.count(F.lit(1)).alias("loads"),
+            F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per column."""
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])

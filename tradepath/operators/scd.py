@@ -5,6 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradepath.sources.buckets import BucketedTable
+from tradepath.sources.workspace import materialise
+
 START, END, CURRENT = "EffectiveStartDate", "EffectiveEndDate", "IsCurrent"
 BEGINNING = "1900-01-01"
 UNKNOWN_KEY = -1
@@ -109,6 +112,22 @@ def merge(
     return dim.join(touched, key, "left_anti").unionByName(rebuilt, allowMissingColumns=True)
 
 
+def merge_buckets(
+    dim: BucketedTable, feed: BucketedTable, updates: DataFrame, attributes: Sequence[str], at: str,
+) -> list[int]:
+    """`merge` where the dimension and the feed are laid out by the same key: the updates are
+    appended to the feed, and of both tables only the buckets that they touch are read and written.
+    A load that died after its append may be run again: observations that the feed has already
+    change nothing. Returns the touched buckets."""
+    updates = materialise(updates.select(*feed.schema.names), "updates")
+    feed.append(updates)
+    touched = feed.touched(updates)
+    if touched:
+        merged = merge(dim.read(touched), feed.read(touched), updates, dim.key, attributes, at)
+        dim.replace(merged)
+    return touched
+
+
 def as_of(
     fact: DataFrame, dim: DataFrame, on: dict[str, str], at: str, take: dict[str, str]
 ) -> DataFrame:

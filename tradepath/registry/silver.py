@@ -9,6 +9,7 @@ from tradepath.operators import cleaning, profile
 from tradepath.plans import silver, stages
 from tradepath.registry import register
 from tradepath.registry.sql import case_map, floor_days, secs
+from tradepath.sources.workspace import fresh_path
 
 
 def r(x, d=6):
@@ -74,6 +75,26 @@ def _(m):
         F.abs(F.col("about") - F.col("n_distinct")) <= 0.1 * F.col("n_distinct")).alias("close"))
 
 
+@register("p04_cardinality_of_loads", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(4 AS BIGINT) AS loads, TRUE AS agrees, TRUE AS close"
+    for c in ITEM_COLUMNS))
+def _(m):
+    """Sketches of four loads, stored and merged: they agree with one sketch of all rows to a
+    fiftieth, and lie within a twentieth of the exact counts."""
+    store = profile.SketchStore(m.spark, fresh_path(m.spark, "sketches"))
+    for load in range(4):
+        store.add(m.items.where(F.pmod("order_id", F.lit(4)) == load), ITEM_COLUMNS, str(load))
+    merged = store.cardinality()
+    whole = profile.SketchStore(m.spark, fresh_path(m.spark, "sketches"))
+    whole.add(m.items, ITEM_COLUMNS, "all")
+    once = whole.cardinality().select("column", F.col("n_distinct").alias("once"))
+    exact = profile.cardinality(m.items, ITEM_COLUMNS).withColumnRenamed("n_distinct", "exact")
+    return merged.join(once, "column").join(exact, "column").select(
+        "column", "loads",
+        (F.abs(F.col("n_distinct") - F.col("once")) <= 0.02 * F.col("once")).alias("agrees"),
+        (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close"))
+
+
 def _describe_sql(column):
     q = ", ".join(f"{r(f'quantile_cont(CAST({column} AS DOUBLE), {p})', 4)} AS {n}"
                   for n, p in [("q25", .25), ("q50", .5), ("q75", .75)])

@@ -7,6 +7,8 @@ from tradepath.operators.quality import contract_checks, publish_counts, run_rep
 from tradepath.registry import register
 from tradepath.registry.silver import ts
 from tradepath.sources import bronze, csv, kafka
+from tradepath.sources.buckets import BucketedTable
+from tradepath.sources.marks import MarkedLoad
 from tradepath.sources.workspace import fresh_path
 
 _REVIEWS = "review_id long, order_id long, review_score int, review_comment_message string"
@@ -153,6 +155,25 @@ def _(m):
     return bronze.above_watermark(*_daily_load(m), "t", ["order_id"])
 
 
+@register("s12_load_with_a_mark", f"""
+    SELECT 'orders' AS table_name, CAST(1 AS BIGINT) AS load, count(*) AS n_rows,
+      CAST(0 AS BIGINT) AS late_rows, {ts('max(t)')} AS mark FROM {_LOADED}
+    UNION ALL SELECT 'orders', 2, (SELECT count(*) FROM {_DAILY}) - count(*)
+        - (SELECT count(*) FROM {_DAILY} WHERE t < (SELECT max(t) FROM {_LOADED})
+           AND order_id NOT IN (SELECT order_id FROM {_LOADED})),
+      (SELECT count(*) FROM {_DAILY} WHERE t < (SELECT max(t) FROM {_LOADED})
+           AND order_id NOT IN (SELECT order_id FROM {_LOADED})),
+      {ts(f'(SELECT max(t) FROM {_DAILY})')} FROM {_LOADED}""")
+def _(m):
+    """Two loads; the second one's late rows are counted by the stored mark."""
+    source, loaded = _daily_load(m)
+    base = fresh_path(m.spark, "marked")
+    load = MarkedLoad(m.spark, "orders", f"{base}/rows", f"{base}/marks", "t", ["order_id"])
+    load.run(loaded)
+    load.run(source)
+    return load.marks().select("table_name", "load", "n_rows", "late_rows", "mark")
+
+
 @register("s12_late_rows", f"""
     SELECT order_id, {ts('t')} AS t FROM {_DAILY}
     WHERE t < (SELECT max(t) FROM {_LOADED})
@@ -165,11 +186,14 @@ def _(m):
     SELECT order_id, CASE WHEN order_id % 5 = 0 THEN 'canceled' ELSE order_status END AS order_status
     FROM m_orders WHERE order_id % 3 <> 0 OR order_id % 5 = 0""")
 def _(m):
-    target = m.orders.where("order_id % 3 <> 0")
-    updates = m.orders.where("order_id % 5 = 0").withColumn("order_status", F.lit("canceled"))
-    return bronze.upsert(
-        target, updates, ["order_id"], ["order_purchase_timestamp"]
-    ).select("order_id", "order_status")
+    """Updates of two loads into a table in buckets."""
+    rows = m.orders.select("order_id", "order_purchase_timestamp", "order_status")
+    table = BucketedTable(m.spark, fresh_path(m.spark, "orders"), rows.schema, ["order_id"], 16)
+    table.append(rows.where("order_id % 3 <> 0"))
+    updates = rows.where("order_id % 5 = 0").withColumn("order_status", F.lit("canceled"))
+    for load in ("order_id % 2 = 0", "order_id % 2 <> 0"):
+        table.upsert(updates.where(load), ["order_purchase_timestamp"])
+    return table.read().select("order_id", "order_status")
 
 
 def contract_tables(m):

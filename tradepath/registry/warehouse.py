@@ -10,6 +10,8 @@ from tradepath.plans.warehouse import (
 from tradepath.registry import register
 from tradepath.registry.silver import _SILVER_GEO, _SILVER_ORDERS, _LOOKUP, r, ts
 from tradepath.registry.sql import VIEWS, case_map, floor_days, secs
+from tradepath.sources.buckets import BucketedTable
+from tradepath.sources.workspace import fresh_path
 
 
 def versions(feed, key, attributes):
@@ -199,6 +201,20 @@ def _(m):
     return dim
 
 
+@register("d08_type2_merge_in_buckets", f"""
+    SELECT customer_id, {', '.join(CUSTOMER_ATTRIBUTES)}, {_VALID} FROM m_customer_versions""")
+def _(m):
+    """The same three loads into a dimension and a feed that lie in buckets of the key."""
+    feed = m.customer_changes.select("customer_id", *CUSTOMER_ATTRIBUTES, "changed_at")
+    load = F.pmod(F.xxhash64("customer_id", "changed_at"), 3)
+    shape = scd.history(feed, ["customer_id"], CUSTOMER_ATTRIBUTES, "changed_at").schema
+    seen = BucketedTable(m.spark, fresh_path(m.spark, "feed"), feed.schema, ["customer_id"], 16)
+    dim = BucketedTable(m.spark, fresh_path(m.spark, "customers"), shape, ["customer_id"], 16)
+    for n in range(3):
+        scd.merge_buckets(dim, seen, feed.where(load == n), CUSTOMER_ATTRIBUTES, "changed_at")
+    return dim.read()
+
+
 @register("j08_point_in_time_join", f"""
     SELECT order_id, {ts('v.s')} AS version_start, v.customer_zip_code_prefix AS zip
     FROM m_orders o LEFT JOIN m_customer_versions v ON v.customer_id = o.customer_id
