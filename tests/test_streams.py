@@ -4,7 +4,7 @@ from pyspark.sql.types import StructType
 
 from tradepath.contracts import struct
 from tradepath.operators.quality import DuplicateCheck, NullCheck, SchemaCheck
-from tradepath.streaming import bronze, progress, quarantine
+from tradepath.streaming import bronze, progress, quarantine, seen
 
 SCHEMA = struct("id long, name string")
 KAFKA = ("key string, value string, topic string, partition int, offset long, "
@@ -98,3 +98,46 @@ def test_checks_of_a_whole_table_are_refused_in_a_stream(spark, tmp_path):
     for check in (NullCheck(["id"], threshold_percent=5), DuplicateCheck(["id"], name="null_validation")):
         with pytest.raises(ValueError, match="whole table"):
             quarantine.start(rows, [check], f"{tmp_path}/rows", f"{tmp_path}/check", once=True)
+
+
+def test_a_duplicate_two_batches_later_is_held_back(spark, tmp_path):
+    feed, base = f"{tmp_path}/feed", str(tmp_path)
+    checks = [NullCheck(["id"]), DuplicateCheck(["id"], full_row=False)]
+
+    def go():
+        rows = bronze.bronze_rows(source(spark, feed), SCHEMA)
+        quarantine.start(rows, checks, f"{base}/rows", f"{base}/check", [c.name for c in checks],
+                         once=True, at="kafka_timestamp").awaitTermination()
+
+    for n, values in enumerate([['{"id":1}', '{"id":2}', '{"id":2,"name":"again"}'], ['{"id":3}'],
+                                ['{"id":1,"name":"late"}', '{"id":4}']]):
+        add(spark, feed, values, start=10 * n)
+        go()
+    valid, bad = quarantine.read(spark, f"{base}/rows")
+    assert sorted(r["id"] for r in valid.collect()) == [1, 2, 3, 4]
+    assert sorted((r["id"], r["_failed_checks"]) for r in bad.collect()) == [
+        (1, ["duplicate_validation"]), (2, ["duplicate_validation"])]
+
+
+def test_seen_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(seen.SeenKeys, "COMPACT", 3)
+    state = seen.SeenKeys(spark, f"{tmp_path}/s", ["k", "l"], "t", "2 hours")
+
+    def batch(number, *rows):
+        df = spark.createDataFrame(rows, "k int, l string, t string").withColumn(
+            "t", F.concat(F.lit("2024-01-01 "), "t").cast("timestamp_ntz"))
+        return [r["_repeat"] for r in state.repeats(df.coalesce(1), number).orderBy("t").collect()]
+
+    assert batch(0, (1, "a", "01:00"), (None, "a", "01:01"), (None, "a", "01:02")) == [False, False, True]
+    assert batch(1, (1, None, "01:10"), (1, "a", "01:30"), (2, "b", "01:40")) == [False, True, False]
+    again = batch(1, (1, None, "01:10"), (1, "a", "01:30"), (2, "b", "01:40"))  # a retry
+    assert again == [False, True, False]
+    # 1:30 is within two hours of 3:29, not of 3:31; the third batch compacts
+    assert batch(2, (1, "a", "03:29")) == [True]
+    assert {p.name for p in (tmp_path / "s").iterdir()} == {"new=0", "new=1", "all=2"}
+    assert batch(3, (2, "b", "03:41"), (1, "a", "03:50")) == [False, True]
+    assert {p.name for p in (tmp_path / "s").iterdir()} == {"all=2", "new=3"}
+    kept = spark.read.parquet(f"{tmp_path}/s/all=2").collect()
+    assert {(r["k"], r["l"]) for r in kept} == {(1, "a"), (2, "b")}  # 01:02 and 01:10 have gone
+    assert batch(4, (7, "x", None), (7, "x", None)) in ([False, True], [True, False])
+    assert batch(5, *[(9, "hot", "04:00")] * 50).count(False) == 1

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tradepath.contracts import CONTRACTS
-from tradepath.operators.quality import NullCheck, SchemaCheck
+from tradepath.operators.quality import DuplicateCheck, NullCheck, SchemaCheck
 from tradepath.registry import register
 from tradepath.registry.sources import EVENT_SCHEMA, TABLE_VIEWS, contract_tables
 from tradepath.sources import kafka
@@ -110,3 +110,27 @@ def _(m):
     figures = [F.count(F.lit(1)).alias("n"), F.sum("kafka_offset").alias("offsets")]
     return valid.groupBy(F.lit("valid").alias("side")).agg(*figures).unionByName(
         bad.groupBy(F.array_join("_failed_checks", ",").alias("side")).agg(*figures))
+
+
+@register("x06_stream_duplicates", """
+    SELECT 'valid' AS side, count(*) AS n FROM m_kafka WHERE p_event_id IS NOT NULL
+    UNION ALL SELECT 'null_validation', count(*) FILTER (WHERE off % 97 = 0)
+      + count(*) FILTER (WHERE off % 970 = 0) FROM m_kafka
+    UNION ALL SELECT 'duplicate_validation', count(*) FILTER (WHERE off % 10 = 0 AND off % 97 <> 0)
+      + count(*) FILTER (WHERE off % 97 = 0) + count(*) FILTER (WHERE off % 970 = 0) - 1 FROM m_kafka""")
+def _(m):
+    """Every tenth event is sent again two batches later; broken events share the null key."""
+    path = fresh_path(m.spark, "repeating-feed")
+    for part in ("offset % 3 = 0", "offset % 3 <> 0", "offset % 10 = 0"):
+        m.kafka_rows.where(part).coalesce(1).write.mode("append").parquet(path)
+    feed = m.spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    base = fresh_path(m.spark, "repeating-stream")
+    checks = [NullCheck(["event_id"]), DuplicateCheck(["event_id"], full_row=False)]
+    quarantine.start(
+        bronze.bronze_rows(feed, EVENT_SCHEMA), checks, f"{base}/rows", f"{base}/checkpoint",
+        [c.name for c in checks], once=True, at="kafka_timestamp", horizon="60 days",
+    ).awaitTermination()
+    valid, bad = quarantine.read(m.spark, f"{base}/rows")
+    n = F.count(F.lit(1)).alias("n")
+    return valid.groupBy(F.lit("valid").alias("side")).agg(n).unionByName(
+        bad.select(F.explode("_failed_checks").alias("side")).groupBy("side").agg(n))
