@@ -1,3 +1,4 @@
+import os
 import re
 from collections import Counter, defaultdict
 
@@ -90,10 +91,36 @@ def test_least_matches():
             assert (density[grid >= 0.8].sum() / density.sum() < 1e-6) == drop
 
 
-def test_keep_one_keeps_columns(spark):
+def test_keep_one_row_keeps_columns(spark):
     docs = documents(spark, EDGES)
-    kept = jaccard.keep_one(docs)
+    kept = jaccard.keep_one_row(docs)
     assert kept.columns == docs.columns
     rows = kept.collect()
+    # 6 stands for two texts, one of them listed twice; 8 is a copy of it
     assert sorted(str(r["doc_id"]) for r in rows) == sorted(
-        ["1", "2", "3", "4", "5", "6", "None", "None", "10", "11", "12", "13"])
+        ["1", "2", "3", "4", "5", "6", "6", "None", "None", "10", "11", "12", "13"])
+
+
+def test_working_tables_are_removed(spark):
+    made = []
+    df = jaccard.near_duplicates(documents(spark, copies()), made=made)
+    df.count()
+    before = {p for p in made if spark.read.parquet(p).count() >= 0}
+    assert len(before) == len(made) >= 5
+    folder = os.path.dirname(made[0])
+    listed = set(os.listdir(folder))
+    kept = jaccard.keep_one_row(documents(spark, copies()))
+    assert {p.split("-")[0] for p in set(os.listdir(folder)) - listed} == {"judged"}
+    assert kept.count() > 0
+
+
+def test_a_byte_of_each_value_drops_no_pair():
+    """Pairs at or above the threshold outlast the comparison as they do with whole values."""
+    draw = np.random.default_rng(4)
+    left = draw.integers(0, 2**32, (400, jaccard.HASHES), dtype=np.uint32)
+    right = np.where(draw.random(left.shape) < draw.uniform(0.3, 1, (400, 1)), left,
+                     draw.integers(0, 2**32, left.shape, dtype=np.uint32))
+    at = np.arange(400)
+    whole = jaccard.surviving(left, right, at, at, 0.8, 1e-6)
+    short = jaccard.surviving(left.astype(np.uint8), right.astype(np.uint8), at, at, 0.8, 1e-6)
+    assert set(whole) <= set(short) and len(short) < len(whole) + 20

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradepath.sources.workspace import fresh_path, remove, shared_folder  # noqa: F401
 
 WORD = r"[\p{L}\p{N}]+"
-#: Rows up to which a side may be broadcast; above it the join is shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a side may be broadcast; above it the join is shuffled.
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +30,25 @@ def fold(doc_id: str, folds: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if it has been counted and is small, else as it is."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def _size(column: Column, kind: T.DataType) -> Column:
+    """About how many bytes a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType) and not isinstance(
+            kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType, T.MapType)):
+        return F.greatest(F.size(column), F.lit(0)) * 16 + 24
+    if isinstance(kind, T.StructType):
+        parts = [_size(column[f.name], f.dataType) for f in kind.fields]
+        return reduce(lambda a, b: a + b, parts, F.lit(16))
+    return F.lit(16) if isinstance(kind, T.AtomicType) else F.length(F.to_json(column)) * 4
+
+
+def small_side(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """The frame with a broadcast hint if its bytes have been counted and are few, else as it is."""
+    limit = BROADCAST_BYTES if limit is None else limit
+    sizes = [_size(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+    size = df.agg(F.sum(reduce(lambda a, b: a + b, sizes, F.lit(16)).cast("long"))).first()[0]
+    return F.broadcast(df) if (size or 0) <= limit else df
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -42,9 +60,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage with a compressed table in the shared folder, for wide or many rows."""
+def written(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared folder, for wide or many rows. Its
+    path is added to `made`, for the caller to remove once nothing reads it."""
     path = fresh_path(df.sparkSession, label)
+    if made is not None:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -54,13 +75,6 @@ def fresh(label: str) -> str:
     return f"_{label}_{uuid.uuid4().hex[:8]}"
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """docs without the rows whose id is in ids (nulls equal nulls); docs' columns stay."""
-    key = fresh("id")
-    gone = ids.select(F.col(id_col).alias(key)).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone[key]), "left_anti")
-
-
 def row_key(doc_id: str, text: str) -> Column:
     """What a row is known by: its id and its text. Null ids come last and are kept apart by text."""
     return F.struct(F.col(doc_id).isNull().alias("no"), F.col(doc_id).alias("id"),
@@ -72,7 +86,7 @@ def in_rows(docs: DataFrame, rows: DataFrame, key: str, doc_id: str, text: str,
     """docs left_semi or left_anti joined with the rows that the row keys in `key` name; docs'
     columns stay."""
     of, h = fresh("id"), fresh("hash")
-    rows = rows.select(F.col(f"{key}.id").alias(of), F.col(f"{key}.h").alias(h)).distinct()
+    rows = small_side(rows.select(F.col(f"{key}.id").alias(of), F.col(f"{key}.h").alias(h)).distinct())
     return docs.join(
         rows, docs[doc_id].eqNullSafe(rows[of]) & (F.xxhash64(docs[text]) == rows[h]), how)
 
@@ -80,7 +94,7 @@ def in_rows(docs: DataFrame, rows: DataFrame, key: str, doc_id: str, text: str,
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """docs with only the rows whose id is in ids (nulls equal nulls); docs' columns stay."""
     key = fresh("id")
-    kept = ids.select(F.col(id_col).alias(key)).distinct()
+    kept = small_side(ids.select(F.col(id_col).alias(key)).distinct())
     return docs.join(kept, docs[id_col].eqNullSafe(kept[key]), "left_semi")
 
 

@@ -9,7 +9,8 @@ Two documents are linked if the sets of their word shingles have a Jaccard simil
    probability of 5e-8, one at 0.85 with 7e-11.
 3. The pairs of a bucket are compared by their MinHash values a few at a time; a pair is dropped
    once the posterior probability (uniform prior) of reaching the threshold falls below TOLERANCE.
-   What is left ties classes into provisional groups.
+   Of each value the lowest byte is compared: one in 256 unequal values counts as a match, so a
+   pair may stay longer, never go earlier. What is left ties classes into provisional groups.
 4. The members of a group come together once, with their sets. All pairs in a group go through
    the same pruning, and the rest is verified on the sets. Verified links give each class its number
    of links and, by connected components, its group.
@@ -38,14 +39,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepath.llm.common import (
-    cut,
-    drop_ids,
     fresh,
     group_starts,
     in_rows,
-    keep_ids,
+    remove,
     row_key,
+    small_side,
     whole_groups,
+    written,
 )
 from tradepath.llm.components import components
 from tradepath.llm.symbols import word_shingles
@@ -154,14 +155,15 @@ def _sets(column, n: int) -> list[np.ndarray]:
     return out
 
 
-def _name(s: np.ndarray) -> str:
-    return xxhash.xxh3_128_hexdigest(s.tobytes())
+def _name(s: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(s.tobytes())
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
-    """Rows doc_id, node (name of the set, null without a word), values, bands."""
+    """Rows doc_id, node (name of the set, null without a word), values (the lowest byte of each),
+    bands."""
     schema = T.StructType([
-        T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("node", T.StringType()),
+        T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("node", T.BinaryType()),
         T.StructField("values", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches):
@@ -175,9 +177,10 @@ def sketches(docs: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
                 found = minhash(np.concatenate([sets[i] for i in some]),
                                 np.concatenate([[0], np.cumsum(sizes)[:-1]]))
                 for i, v, keys in zip(some, found, band_keys(found)):
-                    nodes[i], values[i], bands[i] = _name(sets[i]), v.tobytes(), keys
+                    nodes[i], bands[i] = _name(sets[i]), keys
+                    values[i] = v.astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.string()), pa.array(values, pa.binary()),
+                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(values, pa.binary()),
                  pa.array(bands, pa.list_(pa.int64()))], names=schema.names)
 
     return docs.select(doc_id, text).mapInArrow(run, schema)
@@ -205,20 +208,26 @@ FROM w LEFT JOIN sets USING (doc_id) LEFT JOIN sizes ON sizes.k = sets.k
 LEFT JOIN links ON links.k = sets.k LEFT JOIN least ON least.k = sets.k"""
 
 
-def _dealt(members: DataFrame, key: str, others: list[str]) -> DataFrame:
-    """Members of each key in pairs of blocks: rows key, i, j, side, node, others. A row meets all
-    rows of its key in exactly one pair of blocks, on side 0 or 1 (2 within a block)."""
-    size = members.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n")).where("_n > 1")
+def _dealt(members: DataFrame, key: str) -> DataFrame:
+    """Members (key, node, _n: the size of the key) in pairs of blocks: rows key, i, j, side, node. A
+    row meets all rows of its key in exactly one pair of blocks, on side 0 or 1 (2 within a
+    block)."""
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = members.join(size, F.col(key) == F.col("_k")).select(
-        key, "node", *others, own.alias("_own"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other"))
+    dealt = members.where("_n > 1").select(
+        key, "node", own.alias("_own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other"))
     side = F.when(F.col("_own") == F.col("_other"), 2).otherwise(
         F.when(F.col("_own") < F.col("_other"), 0).otherwise(1))
-    dealt = dealt.select(key, F.least("_own", "_other").alias("i"),
-                         F.greatest("_own", "_other").alias("j"), side.alias("side"), "node", *others)
-    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "side", "node")
+    return dealt.select(key, F.least("_own", "_other").alias("i"),
+                        F.greatest("_own", "_other").alias("j"), side.alias("side"), "node")
+
+
+def _together(dealt: DataFrame, key: str, wide: DataFrame) -> DataFrame:
+    """The dealt rows with the columns of their nodes, each pair of blocks in one task. What is wide
+    joins last and is shuffled once."""
+    rows = dealt.join(wide, "node").select(
+        key, "i", "j", "side", "node", *[c for c in wide.columns if c != "node"])
+    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "side", "node")
 
 
 def _pairs(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +254,7 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _values(column) -> np.ndarray:
-    return np.frombuffer(b"".join(v.as_py() for v in column), np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(v.as_py() for v in column), np.uint8).reshape(-1, HASHES)
 
 
 def _provisional(threshold: float, tolerance: float):
@@ -281,8 +290,8 @@ def _provisional(threshold: float, tolerance: float):
             root = _roots(rows.num_rows, np.concatenate(out_a), np.concatenate(out_b))
             tied = np.flatnonzero(root != np.arange(len(root)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node[i] for i in tied], pa.string()),
-                 pa.array([node[i] for i in root[tied]], pa.string())], names=["a", "b"])
+                [pa.array([node[i] for i in tied], pa.binary()),
+                 pa.array([node[i] for i in root[tied]], pa.binary())], names=["a", "b"])
 
     return run
 
@@ -311,17 +320,19 @@ def _verified(threshold: float, tolerance: float):
                 root = _roots(len(node), *map(np.concatenate, zip(*ties))) if ties else []
                 some = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([node[i] for i in some], pa.string()), pa.array(links[some]),
-                     pa.array([node[root[i]] for i in some], pa.string())],
+                    [pa.array([node[i] for i in some], pa.binary()), pa.array(links[some]),
+                     pa.array([node[root[i]] for i in some], pa.binary())],
                     names=["node", "links", "tie"])
 
     return run
 
 
 def _with_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
-    """Rows node, shingles of the classes wanted (node, least), from the text of the least id."""
+    """Rows node, shingles of the classes wanted (node, least), from the text of the least id. Texts
+    are shuffled only if the ids are too many to be broadcast."""
     docs = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    some = docs.join(wanted, docs["_id"].eqNullSafe(wanted["least"])).select("node", "_text")
+    wanted = small_side(wanted)
+    some = docs.join(wanted, docs["_id"].eqNullSafe(F.col("least"))).select("node", "_text")
 
     def run(batches):
         for batch in batches:
@@ -330,36 +341,42 @@ def _with_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, n: in
             # an id may stand for several texts
             right = [i for i, s in enumerate(sets) if len(s) and _name(s) == node[i]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node[i] for i in right], pa.string()),
+                [pa.array([node[i] for i in right], pa.binary()),
                  pa.array([sets[i].tobytes() for i in right], pa.binary())],
                 names=["node", "shingles"])
 
-    return some.mapInArrow(run, "node string, shingles binary").groupBy("node").agg(
+    return some.mapInArrow(run, "node binary, shingles binary").groupBy("node").agg(
         F.first("shingles").alias("shingles"))
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS_PER_SHINGLE, threshold: float = THRESHOLD,
                     tolerance: float = TOLERANCE, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", made: list[str] | None = None) -> DataFrame:
     """Rows doc_id, class_id (the least id of the group that links tie together), n_links (other
     documents at or above the threshold, copies among them), copy_id (least id with the same
-    shingles)."""
-    found = cut(sketches(docs, doc_id, text, n))
-    classes = cut(found.where("node IS NOT NULL").groupBy("node").agg(
+    shingles). The result reads tables in the shared folder; their paths are added to `made`."""
+    made = [] if made is None else made
+    early: list[str] = []
+    found = written(sketches(docs, doc_id, text, n), "sketches", made)
+    classes = written(found.where("node IS NOT NULL").groupBy("node").agg(
         F.min(doc_id).alias("least"), F.count("*").alias("copies"),
-        F.first("values").alias("values"), F.first("bands").alias("bands")))
+        F.first("values").alias("values"), F.first("bands").alias("bands")), "classes", made)
     bands = classes.select("node", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("_c")).where("_c > 1").select("band")
-    members = bands.join(shared, "band", "left_semi").join(classes.select("node", "values"), "node")
-    ties = _dealt(members, "band", ["values"]).mapInArrow(
-        _provisional(threshold, tolerance), "a string, b string")
-    groups = cut(components(ties))
-    wanted = groups.join(classes, "node").select("node", "root", "least", "copies", "values")
+    shared = bands.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
+    ties = _together(_dealt(bands.join(shared, "band"), "band"), "band",
+                     classes.select("node", "values")).mapInArrow(
+        _provisional(threshold, tolerance), "a binary, b binary")
+    groups = written(components(ties, early), "groups", made)
+    for path in early:
+        remove(docs.sparkSession, path)
+    wanted = groups.select("node").join(classes, "node").select("node", "least", "copies", "values")
     sets = _with_sets(docs, wanted.select("node", "least"), doc_id, text, n)
-    verified = cut(_dealt(wanted.drop("least").join(sets, "node"), "root",
-                          ["copies", "values", "shingles"]).mapInArrow(
-        _verified(threshold, tolerance), "node string, links long, tie string"))
-    roots = components(verified.select(F.col("node").alias("a"), F.col("tie").alias("b")))
+    sizes = groups.groupBy("root").agg(F.count("*").alias("_n"))
+    verified = written(_together(
+        _dealt(groups.join(sizes, "root"), "root"), "root",
+        wanted.drop("least").join(sets, "node")).mapInArrow(
+        _verified(threshold, tolerance), "node binary, links long, tie binary"), "verified", made)
+    roots = components(verified.select(F.col("node").alias("a"), F.col("tie").alias("b")), made)
     links = verified.groupBy(F.col("node").alias("_v")).agg(F.sum("links").alias("links"))
     named = classes.select("node", "least", "copies").join(roots, "node", "left").join(
         links, F.col("node") == F.col("_v"), "left").select(
@@ -380,32 +397,26 @@ def keep_one_row(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """docs with one row of each group of near copies, each row judged by its own text, also where
     rows share an id or have none: the row with the least id (nulls last) and, among those, the
     least hash of its text. Rows without a word stay, but of exact repeats with an id one does.
-    Columns stay as they are."""
-    key = fresh("key")
+    Columns stay as they are.
+
+    Rows are judged on their keys; the documents meet only the keys of rows that go, broadcast if
+    they are few."""
+    key, made = fresh("key"), []
     named = docs.select(row_key(doc_id, text).alias(key), text)
-    found = cut(near_duplicates(named, doc_id=key, text=text, **options))
-    gone = found.where(F.col(key) != F.col("class_id"))
-    kept = in_rows(docs, gone, key, doc_id, text, "left_anti")
+    found = near_duplicates(named, doc_id=key, text=text, made=made, **options)
+    gone = F.col(key) != F.col("class_id")
     # of repeats one row stays; they have links to each other unless they have no word
-    again = found.where((F.col(key) == F.col("class_id")) & (
-        (F.col("n_links") > 0) | ~F.col(f"{key}.no"))).groupBy(key).count().where("count > 1")
-    if not again.head(1):
+    judged = found.groupBy(key).agg(
+        F.max(gone).alias("gone"),
+        ((F.count("*") > 1) & ((F.max("n_links") > 0) | ~F.col(f"{key}.no"))).alias("again"))
+    judged = written(judged.where("gone OR again"), "judged")
+    for path in made:
+        remove(docs.sparkSession, path)
+    kept = in_rows(docs, judged.where("gone"), key, doc_id, text, "left_anti")
+    again = judged.where("again AND NOT gone")
+    if again.isEmpty():
         return kept
     h = fresh("hash")
     one = in_rows(kept, again, key, doc_id, text, "left_semi").withColumn(h, F.xxhash64(text))
     return in_rows(kept, again, key, doc_id, text, "left_anti").unionByName(
         one.dropDuplicates([doc_id, h]).drop(h))
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """docs with one row of each group of near copies, the one with the least id, and one row of
-    each id; rows without a word stay. Columns stay as they are. For ids that stand for one text
-    each; keep_one_row has no such condition."""
-    found = cut(near_duplicates(docs, doc_id=doc_id, **options))
-    kept = drop_ids(docs, found.where(F.col(doc_id) != F.col("class_id")), doc_id)
-    again = found.where(F.col(doc_id) == F.col("class_id")).groupBy(doc_id).count().where("count > 1")
-    if not again.head(1):
-        return kept
-    # a row that is listed more than once, or an id that stands for several texts
-    return drop_ids(kept, again, doc_id).unionByName(
-        keep_ids(kept, again, doc_id).dropDuplicates([doc_id]))
