@@ -126,6 +126,7 @@ def test_kneser_ney_against_plain(spark):
         want += grams[g] if g in grams else math.log(freed(1, g[:-1]) / freed(0, g[:-1]))
     assert row["length"] == len(s) - order + 1
     assert row["total"] == pytest.approx(want, abs=1e-4)
+    assert sum(row["strong"]) == pytest.approx(want, abs=1e-4)  # a few words, all of them
 
 
 @pytest.mark.parametrize("bits", [16, 5, 0])
@@ -144,13 +145,44 @@ def test_ratios_go_by_exact_keys(spark, bits):
     assert out.columns == documents(spark, []).columns + ["m"]
     want = []
     for key, text in rows:
-        keys = toxicity.ngrams(*toxicity._texts([text]))[0].tolist()
-        want.append((key, text, len(keys), sum(
-            grams[g] if g in grams else contexts.get(g >> symbols.SYMBOL_BITS, 0.0) for g in keys)))
-    got = [(r["doc_id"], r["text"], r["m"]["length"], r["m"]["total"]) for r in out.collect()]
+        s, words, total, n = letters_of(text or ""), defaultdict(float), 0.0, 0
+        word = 0
+        for i in range(len(s)):
+            word += s[i] == 0
+            if i >= toxicity.ORDER - 1:
+                g = 0
+                for x in s[i - toxicity.ORDER + 1:i + 1]:
+                    g = (g << symbols.SYMBOL_BITS) | x
+                context = g >> symbols.SYMBOL_BITS
+                g -= (g >> 63) << 64  # as a signed number
+                ratio = grams[g] if g in grams else contexts.get(context, 0.0)
+                words[word] += ratio
+                total += ratio
+                n += 1
+        want.append((key, text, n, total, sorted(words.values(), reverse=True)[:8]))
+    got = [(r["doc_id"], r["text"], r["m"]["length"], r["m"]["total"], r["m"]["strong"])
+           for r in out.collect()]
     assert len(got) == len(want)
-    for g, w in zip(sorted(got, key=str), sorted(want, key=str)):
+    for g, w in zip(sorted(got, key=lambda r: str(r[:3])), sorted(want, key=lambda r: str(r[:3]))):
         assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], abs=1e-4)
+        assert g[4] == pytest.approx(w[4], abs=1e-6)
+
+
+def test_few_toxic_words_in_long_texts(spark):
+    """Three toxic words among hundreds of others, in a language with few labelled rows."""
+    docs, labels = toxic_corpus(400)
+    for i in range(1000, 1240):
+        words = " ".join("ñü" + w for w in prose(i, 300).split()).split()
+        if i % 3 == 0:
+            draw = random.Random(i)
+            for _ in range(3):
+                words.insert(draw.randrange(300), draw.choice(["gröbnü", "flümöx"]) + draw.choice(["", "es", "ung"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 3 == 0)))
+    truth = {k: t for k, _, t in labels}
+    rows = toxicity.score(documents(spark, docs), labelled(spark, labels)).collect()
+    held = [r for r in rows if r["held_out"] and r["doc_id"] >= 1000]
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.95
 
 
 def test_counts_cover_the_rows_that_the_sample_leaves(spark, monkeypatch):

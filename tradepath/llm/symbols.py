@@ -6,7 +6,8 @@ from functools import lru_cache
 
 import numpy as np
 
-SYMBOL_BITS = 12
+#: Letters of the basic plane have symbols of their own; rarer ones share theirs with one of these.
+SYMBOL_BITS = 16
 
 
 @lru_cache(maxsize=1)

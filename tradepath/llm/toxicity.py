@@ -5,7 +5,9 @@ For each class the model gives the probability of a symbol after the ORDER - 1 b
 counts over all labelled training rows with an absolute discount. What the discount frees goes to
 one lower-order Kneser-Ney model, built from the distinct left neighbours in both classes together,
 so an expression that neither class knows weighs nothing. A document's measure is the toxic minus the
-ordinary log-likelihood, by length.
+ordinary log-likelihood, by length. The same difference is summed for each word (a separator and the
+letters behind it): in a long text a few toxic expressions drown in the mean, so the sums of
+the STRONGEST words stand beside it.
 
 Counting, continuation counts and probabilities are joins and groupings of n-gram tables that grow
 with the input. Scoring needs only the log ratio of known n-grams and contexts, by their exact keys.
@@ -13,7 +15,7 @@ If these are 2 ** BITS at most, they are broadcast; of a larger model the most f
 and the n-grams of a text that are not among them are joined with the rest by key. The result is
 the same either way.
 
-A logistic curve that turns the measure and the length into a score is fitted on rows of one fold,
+A logistic curve that turns these figures and the length into a score is fitted on rows of one fold,
 CALIBRATION of them at most by hash order (a documented bound). The counts come from all other
 training rows, those of that fold that are not in the sample included. Held-out rows are in neither.
 
@@ -32,7 +34,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradepath.llm.common import cut, fold, fresh
@@ -43,6 +45,8 @@ DISCOUNT = 0.75
 BITS = 21
 FOLDS = 5
 HELD_OUT = 0
+#: Numbers of words whose sums are features.
+STRONGEST = (1, 2, 4, 8)
 CALIBRATION_FOLD = 1
 CALIBRATION = 50_000
 #: n-grams that a task holds before it passes its counts on
@@ -53,14 +57,36 @@ def _mask(order: int) -> int:
     return (1 << (SYMBOL_BITS * order)) - 1
 
 
-def ngrams(text_bytes: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams of the texts, none across two of them, and which text each belongs to."""
+def ngrams(text_bytes: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed n-grams of the texts, none across two of them; which text each belongs to, and
+    which word: that of its last symbol."""
     syms, of = symbols(text_bytes, ends)
     packed = np.zeros(max(0, len(syms) - ORDER + 1), np.int64)
     for i in range(ORDER):
         packed = (packed << SYMBOL_BITS) | syms[i:len(syms) - ORDER + 1 + i]
     whole = of[:len(packed)] == of[ORDER - 1:]
-    return packed[whole], of[ORDER - 1:][whole]
+    word = np.cumsum(syms == 0)[ORDER - 1:]
+    return packed[whole], of[ORDER - 1:][whole], word[whole]
+
+
+def _contexts(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) >> np.uint64(SYMBOL_BITS)).view(np.int64)
+
+
+def _words(word: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Where each word's n-grams begin, and the sums of values over them."""
+    if not len(word):
+        return (np.zeros(0, np.int64), *(np.zeros(0) for _ in values))
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    return (first, *(np.add.reduceat(v, first) for v in values))
+
+
+def _strongest(of: np.ndarray, sums: np.ndarray, n: int) -> list[np.ndarray]:
+    """The largest sums of the words of each of n texts, in descending order."""
+    order = np.lexsort((-sums, of))
+    of, sums = of[order], sums[order]
+    begin = np.searchsorted(of, np.arange(n + 1))
+    return [sums[a:min(b, a + STRONGEST[-1])] for a, b in zip(begin[:-1], begin[1:])]
 
 
 def _texts(texts) -> tuple[bytes, np.ndarray]:
@@ -101,7 +127,7 @@ def _count(batches):
         labels = batch.column(1).to_numpy(zero_copy_only=False)
         for at in range(0, batch.num_rows, 256):
             data, ends = _texts(batch.column(0).slice(at, 256).to_pylist())
-            keys, of = ngrams(data, ends)
+            keys, of, _ = ngrams(data, ends)
             toxic = labels[at:at + 256][of] == 1
             for label in (0, 1):
                 one, n = np.unique(keys[toxic == label], return_counts=True)
@@ -124,7 +150,7 @@ def log_ratios(found: DataFrame) -> DataFrame:
     def suffix(order):
         return F.col("key").bitwiseAND(F.lit(_mask(order)))
 
-    context = F.shiftright("key", SYMBOL_BITS)
+    context = F.shiftrightunsigned("key", SYMBOL_BITS)
     types = {ORDER: found}
     for order in range(ORDER - 1, 0, -1):
         types[order] = types[order + 1].groupBy(suffix(order).alias("key")).agg(
@@ -194,84 +220,107 @@ def _folded(ratios: DataFrame, bits: int) -> Model:
 
 
 def _rare(docs: DataFrame, shared, text: str, rest: DataFrame) -> DataFrame:
-    """Rows of _name (of a text) and _rare: the sum over the n-grams of the text that are not in
-    the arrays. An n-gram that is not in the rest either has the ratio of its context."""
+    """Rows of _name (of a text), _rare: the sum over the n-grams of the text that are not in the
+    arrays, and _strong: the largest sums of words that hold such n-grams. An n-gram that is not
+    in the rest either has the ratio of its context."""
     def run(batches):
         grams, contexts = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 data, ends = _texts(part.column(1).to_pylist())
-                keys, of = ngrams(data, ends)
-                left = np.isnan(_looked_up(grams, keys))
-                # an n-gram has 48 bits, the number of a text 8
-                one, n = np.unique((of[left] << (SYMBOL_BITS * ORDER)) | keys[left],
-                                   return_counts=True)
-                of, keys = one >> (SYMBOL_BITS * ORDER), one & _mask(ORDER)
-                freed = _looked_up(contexts, keys >> SYMBOL_BITS)
-                kinds = np.bincount(of, minlength=part.num_rows)[of]
+                keys, of, word = ngrams(data, ends)
+                known = _looked_up(grams, keys)
+                left = np.isnan(known)
+                first, sums, missing = _words(word, np.nan_to_num(known, nan=0.0), left.astype(float))
+                number = np.searchsorted(first, np.flatnonzero(left), "right") - 1
+                of, keys, word = of[left], keys[left], word[left]
+                freed = _looked_up(contexts, _contexts(keys))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(of)), pa.array(keys), pa.array(n),
-                     pa.array(kinds), pa.array(freed, mask=np.isnan(freed))],
-                    names=["_name", "_key", "_n", "_kinds", "_freed"])
-
-    rows = docs.select(F.md5(F.col(text).cast("binary")), text).mapInArrow(
-        run, "_name string, _key long, _n long, _kinds long, _freed double")
+                    [part.column(0).take(pa.array(of)), pa.array(word - (word.min(initial=0))),
+                     pa.array(keys), pa.array(freed, mask=np.isnan(freed)),
+                     pa.array(sums[number]), pa.array(missing[number])],
+                    names=["_name", "_word", "_key", "_freed", "_sum", "_missing"])
+
+    # texts that are the same are read once
+    rows = docs.select(F.md5(F.col(text).cast("binary")).alias("_name"), F.col(text).alias("_text"))
+    rows = rows.groupBy("_name").agg(F.first("_text").alias("_text")).mapInArrow(
+        run, "_name string, _word long, _key long, _freed double, _sum double, _missing double")
     grams = rest.where("kind = 0").select(F.col("key").alias("_g"), F.col("ratio").alias("_known"))
     contexts = rest.where("kind = 1").select(F.col("key").alias("_c"), F.col("ratio").alias("_late"))
     rows = rows.join(grams, F.col("_key") == F.col("_g"), "left")
     # an n-gram that needs no context here has a negative key that no context has
-    needed = F.when(F.coalesce("_known", "_freed").isNull(), F.shiftright("_key", SYMBOL_BITS))
-    rows = rows.withColumn("_context", F.coalesce(needed, -1 - F.col("_key"))).join(
+    needed = F.when(F.coalesce("_known", "_freed").isNull(),
+                    F.shiftrightunsigned("_key", SYMBOL_BITS))
+    spread = -1 - F.shiftrightunsigned("_key", 1)
+    rows = rows.withColumn("_context", F.coalesce(needed, spread)).join(
         contexts, F.col("_context") == F.col("_c"), "left")
-    # rows of the same text come together: each n-gram once for each of them
     ratio = F.coalesce("_known", "_freed", "_late", F.lit(0.0))
-    return rows.groupBy("_name").agg((F.sum(F.col("_n") * ratio) * F.max("_kinds") / F.count("*"))
-                                     .alias("_rare"))
+    words = rows.groupBy("_name", "_word").agg(
+        F.sum(ratio).alias("_rare"), F.max("_sum").alias("_sum"))
+    return words.groupBy("_name").agg(
+        F.sum("_rare").alias("_rare"),
+        F.slice(F.sort_array(F.collect_list(F.col("_rare") + F.col("_sum")), False), 1,
+                STRONGEST[-1]).alias("_strong"))
 
 
 def measured(docs: DataFrame, model: Model | DataFrame, column: str, text: str = "text",
              bits: int = BITS) -> DataFrame:
-    """docs with one more column, struct(total, length): the toxic minus the ordinary
-    log-likelihood, and the number of n-grams. Only texts go to Python. bits: if the model is
-    still a table of log ratios."""
+    """docs with one more column, struct(total, length, strong): the toxic minus the ordinary
+    log-likelihood, the number of n-grams, and the largest sums of words. Only texts go to
+    Python. bits: if the model is still a table of log ratios."""
     if isinstance(model, DataFrame):
         model = _folded(model, bits)
     shared = docs.sparkSession.sparkContext.broadcast((model.grams, model.contexts))
     whole = model.rest is None
 
-    @F.pandas_udf("total double, length long")
+    @F.pandas_udf("total double, length long, strong array<double>")
     def compare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         grams, contexts = shared.value
         for batch in batches:
-            totals, lengths = [np.zeros(0)], [np.zeros(0, np.int64)]
+            totals, lengths, strong = [np.zeros(0)], [np.zeros(0, np.int64)], []
             for at in range(0, len(batch), 256):
                 data, ends = _texts(batch.iloc[at:at + 256])
-                keys, of = ngrams(data, ends)
+                keys, of, word = ngrams(data, ends)
                 known = _looked_up(grams, keys)
+                left = np.isnan(known)
                 if whole:
-                    rest = np.flatnonzero(np.isnan(known))
-                    known[rest] = _looked_up(contexts, keys[rest] >> SYMBOL_BITS)
-                totals.append(np.bincount(of, np.nan_to_num(known, nan=0.0), len(ends)))
+                    rest = np.flatnonzero(left)
+                    known[rest] = _looked_up(contexts, _contexts(keys[rest]))
+                    left[:] = False  # a context that neither class knows weighs nothing
+                known = np.nan_to_num(known, nan=0.0)
+                first, sums, missing = _words(word, known, left.astype(float))
+                done = missing == 0
+                strong += _strongest(of[first[done]], sums[done], len(ends))
+                totals.append(np.bincount(of, known, len(ends)))
                 lengths.append(np.bincount(of, minlength=len(ends)))
-            yield pd.DataFrame({"total": np.concatenate(totals), "length": np.concatenate(lengths)})
+            yield pd.DataFrame({"total": np.concatenate(totals), "length": np.concatenate(lengths),
+                                "strong": pd.Series(strong, dtype=object)})
 
     out = docs.withColumn(column, compare(F.col(text)))
     if whole:
         return out
-    name, of, rare = fresh("name"), fresh("of"), fresh("rare")
-    sums = _rare(docs, shared, text, model.rest).withColumnsRenamed({"_name": of, "_rare": rare})
+    name, of, rare, more = fresh("name"), fresh("of"), fresh("rare"), fresh("strong")
+    sums = _rare(docs, shared, text, model.rest).withColumnsRenamed(
+        {"_name": of, "_rare": rare, "_strong": more})
     total = F.col(f"{column}.total") + F.coalesce(rare, F.lit(0.0))
+    both = F.concat(F.col(f"{column}.strong"), F.coalesce(more, F.array().cast("array<double>")))
+    strong = F.slice(F.sort_array(both, False), 1, STRONGEST[-1])
     out = out.withColumn(name, F.md5(F.col(text).cast("binary"))).join(
         sums, F.col(name) == F.col(of), "left")
-    return out.withColumn(column, F.struct(total.alias("total"), F.col(f"{column}.length"))).drop(
-        name, of, rare)
+    return out.withColumn(column, F.struct(
+        total.alias("total"), F.col(f"{column}.length"), strong.alias("strong"))).drop(
+        name, of, rare, more)
 
 
-def features(total, length):
-    """The measure by length, and by the root of the length, for longer texts vary less."""
-    length = F.greatest(length, F.lit(1))
-    return [total / length, total / F.sqrt(length), F.log(length)]
+def features(measure: str) -> list[Column]:
+    """The measure by length, and by the root of the length, for longer texts vary less; the
+    length; and what the strongest words add up to."""
+    total = F.col(f"{measure}.total")
+    length = F.greatest(F.col(f"{measure}.length"), F.lit(1))
+    sums = [F.aggregate(F.slice(F.col(f"{measure}.strong"), 1, k), F.lit(0.0), lambda a, x: a + x)
+            for k in STRONGEST]
+    return [total / length, total / F.sqrt(length), F.log(length), *sums]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
@@ -315,8 +364,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rest = plain.where(fold(doc_id, folds) == apart).join(chosen, in_sample)
     rest = measured(rest.dropDuplicates(["_sid", "_sh"]), model, "_measure", text, bits)
     sample = (
-        rest.select("_measure.*", "_y").select(
-            *(c.alias(f"x{i}") for i, c in enumerate(features(F.col("total"), F.col("length")))),
+        rest.select(
+            *(c.alias(f"x{i}") for i, c in enumerate(features("_measure"))),
             F.col("_y").cast("double").alias("y"))
         .toPandas()
     )
@@ -329,7 +378,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 def _score(measure: str, weights: list[float] | None):
     if weights is None:
         return F.lit(0.0)
-    parts = features(F.col(f"{measure}.total"), F.col(f"{measure}.length"))
+    parts = features(measure)
     return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, (
         c * w for c, w in zip(parts, weights)), F.lit(weights[-1]))))
 
