@@ -1,4 +1,5 @@
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -51,18 +52,18 @@ def plain_next(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("range_rows", [2000, 7, 1])
-def test_next_documents(spark, range_rows):
+@pytest.mark.parametrize("part_bytes", [2000, 7, 1])
+def test_next_documents(spark, part_bytes):
     rows = [r for r in EDGES if r[0] not in (6, None)] + [(None, prose(9, 80), "en", "s0")]
     rows += [(100 + 3 * i, prose(i, 10 + 7 * i)) for i in range(40)]
     docs = documents(spark, rows).repartition(4)
-    out = fingerprints.compare_with_next(docs, range_rows=range_rows)
+    out = fingerprints.compare_with_next(docs, part_bytes=part_bytes)
     got = sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in out.collect()), key=str)
     assert got == plain_next(rows)
 
 
 def test_rows_that_repeat_an_id(spark):
-    out = fingerprints.compare_with_next(documents(spark, EDGES), range_rows=3).collect()
+    out = fingerprints.compare_with_next(documents(spark, EDGES), part_bytes=300).collect()
     assert len(out) == len(EDGES)
 
 
@@ -76,7 +77,7 @@ def test_levels_against_plain():
     texts = [prose(1, 80).encode(), b"a" * 100, b"", b"short", bytes(range(256)), prose(2, 60).encode()]
     for text, levels in zip(texts, fingerprints.levels_of(texts)):
         data = np.frombuffer(text, np.uint8)
-        want = [entropy(data[i:i + 64]) for i in range(len(data) - 63)]
+        want = [entropy(data[i:i + fingerprints.WINDOW]) for i in range(len(data) - fingerprints.WINDOW + 1)]
         assert len(levels) == len(want) and np.abs(levels - want).max(initial=0) <= 0.5 + 1e-6
     before, behind = texts[0], texts[5]
     levels = fingerprints.levels_of([before, behind])
@@ -100,5 +101,116 @@ def test_likeness(spark):
 def test_equal_texts_have_equal_fingerprints_wherever_they_lie(spark):
     text = prose(5, 400)
     rows = [(i, text if i % 7 == 3 else prose(100 + i, 50 + i)) for i in range(80)]
-    out = fingerprints.compare_with_next(documents(spark, rows), range_rows=9)
+    out = fingerprints.compare_with_next(documents(spark, rows), part_bytes=4000)
     assert out.where(F.col("doc_id") % 7 == 3).select("fingerprint").distinct().count() == 1
+
+
+def plain_places(levels, ranks):
+    """Windows that are the leftmost of the rarest level in some neighbourhood."""
+    n = len(levels)
+    width = min(fingerprints.NEIGHBOURS, n)
+    votes = [0] * n
+    for start in range(n - width + 1 if n else 0):
+        votes[min(range(start, start + width), key=lambda i: (ranks[levels[i]], i))] += 1
+    least = min(fingerprints.VOTES, n - width + 1)
+    return [i for i in range(n) if votes[i] >= least and levels[i] >= fingerprints.LOWEST]
+
+
+def stirred(x):
+    for by, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = ((x ^ (x >> by)) * times) % 2**64
+    return x ^ (x >> 31)
+
+
+def plain_chain(data, places):
+    """Sets of bits of the filters, and how many features each has."""
+    hashes = []
+    for i in places:
+        h = 0
+        for k in range(0, fingerprints.WINDOW, 8):
+            word = int.from_bytes(data[i + k:i + k + 8], "little")
+            h = stirred((h + word + k // 8 + 1) % 2**64)
+        if h not in hashes:
+            hashes.append(h)
+    hashes = hashes or [int.from_bytes(hashlib.sha256(data).digest()[:8], "little")]
+    chain = [hashes[i:i + fingerprints.PER_FILTER]
+             for i in range(0, len(hashes), fingerprints.PER_FILTER)]
+    return [{(h >> (11 * i)) % fingerprints.FILTER_BITS for h in part for i in range(5)}
+            for part in chain], [len(part) for part in chain]
+
+
+def plain_likeness(a, b):
+    if a[0] == b[0]:
+        return 1.0
+    if len(a[1]) > len(b[1]):
+        a, b = b, a
+    total = 0.0
+    for one, n in zip(*a):
+        best = 0.0
+        for other in b[0]:
+            chance = len(one) * len(other) / fingerprints.FILTER_BITS
+            most = min(len(one), len(other))
+            least = chance + fingerprints.FLOOR * (most - chance)
+            best = max(best, min(1, max(0, (len(one & other) - least) / max(most - least, 1e-9))))
+        total += best * n
+    return total / sum(a[1])
+
+
+def test_features_filters_and_likeness_against_plain():
+    texts = [prose(i, 2 + 11 * i).encode() for i in range(14)]
+    texts += [texts[12] + texts[3], texts[12][:300] + texts[11], b"", b"ab", b"12345678", b"a" * 90]
+    all_levels = fingerprints.levels_of(texts)
+    counts = Counter(x for levels in all_levels for x in levels.tolist())
+    order = sorted(range(fingerprints.LEVELS + 1), key=lambda x: (counts[x], -x))
+    ranks = np.empty(len(order), np.int64)
+    ranks[order] = np.arange(len(order))
+    marks, plain = [], []
+    for data, levels in zip(texts, all_levels):
+        places = fingerprints.feature_places(levels, ranks)
+        assert places.tolist() == plain_places(levels.tolist(), ranks)
+        filters, sizes = fingerprints.fingerprint(data, levels, ranks)
+        bits = [set(np.flatnonzero(np.unpackbits(f))) for f in filters]
+        marks.append((filters, sizes))
+        plain.append(plain_chain(data, places))
+        assert (bits, sizes.tolist()) == plain[-1]
+    for a, x in zip(marks, plain):
+        for b, y in zip(marks, plain):
+            if len(a[1]) != len(b[1]) or a is b:
+                assert fingerprints.likeness(a, b) == pytest.approx(plain_likeness(x, y))
+            assert fingerprints.likeness(a, b) == fingerprints.likeness(b, a)
+    assert max(len(p[1]) for p in plain) > 2
+
+
+def test_short_texts(spark):
+    """Half of a text of 16 to 200 bytes is told from another text."""
+    rows = []
+    for i in range(300):
+        text = prose(i, 60).capitalize()
+        rows.append((i, text[:16 + (i * 37) % 184]))
+    out = fingerprints.compare_with_next(documents(spark, rows)).collect()
+    edited = np.array([r["near_edited"] for r in out])
+    other = np.array([r["near_next"] for r in out])
+    assert edited.mean() > 0.2 and (edited > other).mean() > 0.95
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "decimal(20,3)", "double", "binary"])
+def test_ids_of_any_type(spark, kind):
+    days = F.date_add(F.lit("2024-01-01").cast("date"), F.col("doc_id").cast("int"))
+    made = {"date": days, "timestamp": days.cast("timestamp"),
+            "string": F.concat(F.lit("k"), F.lpad(F.col("doc_id").cast("string"), 5, "0")),
+            "binary": F.concat(F.lit("k"), F.lpad(F.col("doc_id").cast("string"), 5, "0")).cast("binary")}
+    rows = [(i, prose(i, 12)) for i in range(70)] + [(None, prose(99, 9))]
+    docs = documents(spark, rows)
+    typed = docs.withColumn("doc_id", made[kind] if kind in made else F.col("doc_id").cast(kind))
+    out = fingerprints.compare_with_next(typed, part_bytes=150).collect()
+    assert len(out) == 71 and sum(r["doc_id"] is None for r in out) == 1
+    assert Counter(r["edited_sha256"] for r in out) == Counter(
+        r["edited_sha256"] for r in fingerprints.compare_with_next(docs).collect())
+
+
+def test_ranges_are_of_bounded_size(spark):
+    """Rows of one id are split between ranges, but for rows that repeat a text as well."""
+    docs = documents(spark, [(7, prose(i, 20)) for i in range(200)])
+    sizes = fingerprints.with_next(docs, "doc_id", "text", 1000).where("last = 0").groupBy(
+        "part").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    assert len(sizes) > 10 and max(r["n"] for r in sizes) < 1300

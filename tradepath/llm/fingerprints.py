@@ -1,21 +1,25 @@
 """Document fingerprints: an improbable-feature digest.
 
 Each window of WINDOW bytes has an entropy, in LEVELS steps. How often each level occurs in the
-corpus ranks the levels: the rarer, the more telling. In each neighbourhood of WINDOW windows the
-leftmost one of the rarest level gets a vote; windows with VOTES or more are features, apart from
-those of the least levels, which are runs and tables. Features are hashed into five bits each of
+corpus ranks the levels: the rarer, the more telling. In each neighbourhood of NEIGHBOURS windows
+the leftmost one of the rarest level gets a vote; windows with VOTES or more are features, apart
+from those of the least levels, which are runs and tables. Windows are so short that half of a text
+of a few words still holds some; the same numbers hold for all texts. Features are hashed into five bits each of
 a Bloom filter of FILTER_BITS; after PER_FILTER different features the next filter of the chain
 begins. Two fingerprints are compared filter by filter: the overlap beyond that of chance, by the
 most that is possible; each filter of the shorter chain takes its best partner, and filters
 weigh by their features. A text without a feature has the hash of its bytes as its only one.
 
 The levels' frequencies are counted over all texts (a table of LEVELS + 1 rows). To meet the next
-document, texts are dealt into ranges of ids; the first text of each range is also sent to the
-range before it, and each task reads its range in order, a batch at a time.
+document, texts are dealt into ranges of ids and hashes that hold about PART_BYTES of text, or a
+PARTS-th of it if that is more. Where a range begins comes from a sort of ids, hashes and sizes
+alone; these rows, a bounded number, are broadcast, and each text finds its range among them by
+binary search. The first text of each range is also sent to the range before it, and each task
+reads its range in order, a batch at a time.
 
 Defined results: a null text is an empty one; empty texts have one feature in common, so they are
-alike; rows that repeat an id follow each other by the hash of their text; null ids come first; a
-corpus of one row is its own next document; an empty table gives an empty result; other columns
+alike; rows that repeat an id follow each other by the hash of their text (rows that repeat both lie
+in one range); null ids come first; ids may be of any type that can be sorted; a corpus of one row is its own next document; an empty table gives an empty result; other columns
 are not read.
 """
 
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from functools import lru_cache
 
 import numpy as np
@@ -34,15 +39,17 @@ from pyspark.sql import types as T
 from tradepath.llm.common import cut
 from tradepath.llm.symbols import mix
 
-WINDOW = 64
+WINDOW = 8
 LEVELS = 1000
 LOWEST = 100
-VOTES = 16
+NEIGHBOURS = 8
+VOTES = 1
 FILTER_BITS = 2048
 PER_FILTER = 160
 #: overlap that counts as none: this share of the way from chance to the most that is possible
 FLOOR = 0.1
-RANGE_ROWS = 2_000
+PART_BYTES = 4 << 20
+PARTS = 50_000
 _CHUNK = 1 << 18
 _TEXTS = 512
 
@@ -127,7 +134,7 @@ def feature_places(levels: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """Windows that the neighbourhoods vote for."""
     if not len(levels):
         return np.zeros(0, np.int64)
-    width = min(WINDOW, len(levels))
+    width = min(NEIGHBOURS, len(levels))
     votes = np.bincount(_least((ranks[levels] << 40) | np.arange(len(levels)), width)
                         & ((1 << 40) - 1), minlength=len(levels))
     return np.flatnonzero((votes >= min(VOTES, len(levels) - width + 1)) & (levels >= LOWEST))
@@ -206,36 +213,60 @@ def level_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
     return ranks
 
 
-def with_next(docs: DataFrame, doc_id: str, text: str, range_rows: int) -> DataFrame:
+def _place(key, h) -> tuple:
+    """What rows are ordered by: ids (nulls first, not-a-number last), then hashes."""
+    if key is None:
+        return 0, 0, h
+    return (1, key, h) if key == key else (2, 0, h)
+
+
+def _begins(keys: DataFrame, size: int) -> list[tuple]:
+    """The first id and hash of each range of about `size` bytes of text, in order."""
+    def run(batches):
+        held = size  # the first row of a task begins a range
+        for batch in batches:
+            begin = []
+            for i, n in enumerate(batch.column(2).to_pylist()):
+                if held >= size:
+                    begin.append(i)
+                    held = 0
+                held += n
+            yield batch.select([0, 1]).take(pa.array(begin, pa.int64()))
+
+    schema = T.StructType([keys.schema["id"], keys.schema["h"]])
+    order = [F.col("id").asc_nulls_first(), F.col("h").asc()]
+    rows = keys.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+    found = rows.toArrow()
+    # a key that several ranges begin with, as its rows are many, begins one
+    return sorted({_place(key, h) for key, h in zip(
+        found["id"].to_pylist(), found["h"].to_pylist())})
+
+
+def with_next(docs: DataFrame, doc_id: str, text: str, part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows part, last, id, h, text, in order within a part (ids, nulls first); the row with
     last = 1 is a copy of the first of the next part (after the last part: of the first)."""
     plain = docs.select(F.col(doc_id).alias("id"), F.coalesce(text, F.lit("")).alias("text"))
-    keys = cut(plain.select("id", F.xxhash64("text").alias("h")))
-    n = keys.count()
-    parts = max(1, round(n / range_rows))
-    bounds = sorted(set(keys.where("id IS NOT NULL").approxQuantile(
-        "id", [i / parts for i in range(1, parts)], 0.2 / parts))) if parts > 1 else []
-    # parts by binary search in the bounds; a null id is in the first
-    part = F.lit(0)
-    if bounds:
-        part = F.coalesce(F.size(F.filter(
-            F.array(*(F.lit(b) for b in bounds)), lambda b: F.col("id") >= b)), F.lit(0))
-    part = part.cast("int")
-    firsts = sorted((r["part"], r["first"]["id"], r["first"]["h"]) for r in keys.groupBy(
-        part.alias("part")).agg(F.min(F.struct("id", "h")).alias("first")).collect())
-    before = [(*row, firsts[i - 1][0]) for i, row in enumerate(firsts)]
-    kind = T.StructType([T.StructField("of", T.IntegerType()), T.StructField("fid", docs.schema[doc_id].dataType),
-                         T.StructField("fh", T.LongType()), T.StructField("part", T.IntegerType())])
-    heads = docs.sparkSession.createDataFrame(before, kind)
     rows = plain.withColumn("h", F.xxhash64("text"))
-    copies = rows.join(F.broadcast(heads), rows["id"].eqNullSafe(heads["fid"]) & (
-        rows["h"] == heads["fh"])).select("part", F.lit(1).alias("last"), "id", "h", "text")
-    copies = copies.dropDuplicates(["part"])
-    return rows.select(part.alias("part"), F.lit(0).alias("last"), "id", "h", "text").union(copies)
+    keys = cut(rows.select("id", "h", (F.octet_length("text").cast("long") + 1).alias("n")))
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    shared = docs.sparkSession.sparkContext.broadcast(
+        _begins(keys, max(part_bytes, -(-total // PARTS))))
+
+    @F.arrow_udf("array<int>")
+    def parts(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        begins, out = shared.value, []
+        for key, h in zip(ids.to_pylist(), hashes.to_pylist()):
+            place = _place(key, h)
+            at = bisect_right(begins, place) - 1
+            out.append([at, (at - 1) % len(begins)] if begins[at] == place else [at])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return rows.select(F.posexplode(parts("id", "h")).alias("last", "part"), "id", "h",
+                       "text").select("part", "last", "id", "h", "text")
 
 
 def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                      range_rows: int = RANGE_ROWS) -> DataFrame:
+                      part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next;
     the edited text has its last half replaced by the beginning of the next document."""
     shared = docs.sparkSession.sparkContext.broadcast(level_ranks(docs, text))
@@ -276,6 +307,6 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             held = None if last else (part, key, value, data, levels, mark)
         return out, held
 
-    ordered = with_next(docs, doc_id, text, range_rows).repartition("part").sortWithinPartitions(
+    ordered = with_next(docs, doc_id, text, part_bytes).repartition("part").sortWithinPartitions(
         "part", "last", F.col("id").asc_nulls_first(), "h")
     return ordered.mapInArrow(run, schema)
