@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import EDGES, documents, prose
@@ -99,3 +100,16 @@ def test_rule():
         else:
             assert b not in gaps and o == 0
         gaps[b] = gaps.get(b, 64) - s
+
+
+def test_equal_pieces_are_dealt(spark):
+    """A third of the rows repeat one id and text, with ids that doubles cannot hold among them."""
+    rows = [(None, "a b")] * 300 + [(2**60 + i, f"t {i}") for i in range(600)]
+    pieces = packing.pieces(documents(spark, rows)).withColumn("ids_crc32", F.lit(7).cast("long"))
+    out = packing.pack(pieces, 64, group_pieces=100)
+    seen = defaultdict(int)
+    for r in out.collect():
+        assert 0 <= r["offset"] <= 64 - r["length"]
+        seen[(-1 - r["sequence_id"]) >> 32] += r["doc_id"] is None
+    assert len(seen) == 9 and max(seen.values()) < 80
+    assert {r["doc_id"] for r in out.collect()} == {None, *(2**60 + i for i in range(600))}

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tests.llm.helpers import EDGES, documents
 from tradepath.llm import secret_scan
 
@@ -86,3 +88,31 @@ def test_no_python_on_the_main_path(spark):
     for frame in (secret_scan.digest(secret_scan.find_secrets(docs)), secret_scan.redact(docs)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_redact_with_clashing_names_and_without_owners(spark):
+    rows = [(1, "password=abcdef123456789 and so on"), (2, "nothing"), (3, None),
+            (1, "password=abcdef123456789 and so on")]
+    docs = documents(spark, rows)
+    for name in ("_spans", "_d", "_g", "_doc", "_h", "live", "spans"):
+        docs = docs.withColumn(name, F.lit("own"))
+    masked = secret_scan.redact(docs)
+    assert masked.columns == docs.columns
+    text = [(r["doc_id"], r["text"], r["_spans"], r["_d"]) for r in masked.collect()]
+    assert sorted(text, key=str) == sorted(
+        [(1, "[secret] and so on", "own", "own")] * 2 + [(2, "nothing", "own", "own"), (3, None, "own", "own")],
+        key=str)
+    bare = secret_scan.redact(docs.select("doc_id", "text"))
+    assert {r["text"] for r in bare.collect()} == {"[secret] and so on", "nothing", None}
+
+
+def test_spans_added_by_owners(spark):
+    """A generic value of one owner is added; one that three owners in three documents have is not,
+    and a base span of such a value is marked as widely copied."""
+    own, shared, base = "Zx9kQ2mW7pLr4Tn8Vb3c", "Ab1Cd2Ef3Gh4Ij5Kl6Mn", "password=common1234567890"
+    rows = [(i, f"see {own if i < 4 else shared} here {base}", "en", f"s{i // 2 if i < 4 else i}")
+            for i in range(8)]
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.find_secrets(documents(spark, rows)).collect()}
+    kinds = {i: sorted((s["kind"], s["live"]) for s in spans) for i, spans in found.items()}
+    assert all(kinds[i] == [("assign", False), ("live", True)] for i in range(4))
+    assert all(kinds[i] == [("assign", False)] for i in range(4, 8))

@@ -2,11 +2,11 @@
 
 A document's tokens, with an end token, are one piece, or pieces of `length` tokens of which the
 first may be shorter. A full piece is a sequence of its own. The others are dealt into groups of
-about `group_pieces` by a hash, and each group is packed in one task: pieces come longest first,
+about `group_pieces`, and each group is packed in one task: pieces come longest first,
 and each goes where the sum over gaps of the squared number of open sequences with that gap
 becomes smallest; a new sequence is opened only if none that is open has room. What a group
 leaves unfilled does not grow with the group, so the number of sequences follows the input. The
-number of groups follows the number of pieces; no group holds a share of the input.
+number of groups follows the number of pieces, which are dealt by the numbers of their rows.
 
 Tokens come from the rank file of the vocabulary, which gives the ids of its `tokenizers` file
 several times faster; a text that spells out a special token goes through that file itself, so that
@@ -23,7 +23,6 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -138,18 +137,19 @@ def pack(cut_pieces: DataFrame, length: int = LENGTH, group_pieces: int = GROUP_
     schema = T.StructType([*found.schema, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop(columns="_group").sort_values(
-            ["length", *(c for c in ("ids_crc32", "piece") if c in frame)],
-            ascending=False, kind="stable")
-        bins, offsets = place(frame["length"].tolist(), length)
-        return frame.assign(
-            sequence_id=-1 - (int(key[0]) * 2**32 + np.array(bins, np.int64)),
-            offset=np.array(offsets, np.int64))
-
-    names = [F.col(c) for c in found.columns if c != "ids"]
-    packed = short.withColumn("_group", F.pmod(F.xxhash64(*names), F.lit(groups))).groupBy(
-        "_group").applyInPandas(run, schema)
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.drop_columns(["_group"])
+        by = [rows[c].to_numpy() for c in ("length", "ids_crc32", "piece") if c in rows.column_names]
+        rows = rows.take(pa.array(np.lexsort([-v.astype(np.int64) for v in reversed(by)])))
+        bins, offsets = place(rows["length"].to_pylist(), length)
+        sequence = -1 - (key[0].as_py() * 2**32 + np.array(bins, np.int64))
+        return rows.append_column("sequence_id", pa.array(sequence)).append_column(
+            "offset", pa.array(offsets, pa.int64()))
+
+    # by the number of a row, so that rows that repeat each other are dealt as well
+    packed = short.withColumn("_group", F.pmod(
+        F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))).groupBy(
+        "_group").applyInArrow(run, schema)
     full = found.where(F.col("length") >= length).select(
         "*", F.monotonically_increasing_id().alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"))

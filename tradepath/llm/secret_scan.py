@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tradepath.llm.common import cut
+from tradepath.llm.common import cut, fresh
 
 # Fixed patterns. (?i: ) folds ASCII letters only.
 ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))"
@@ -80,7 +80,9 @@ def find_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  wide: int = WIDE) -> DataFrame:
     """A row for each row of docs: doc_id, text_hash, and spans, an array of
     struct(start, rank, end, kind, value, live) by start and kind, with places in code points.
-    Each document is a repository of its own unless a column names one."""
+    Each document is a repository of its own unless a column names one, and its own owner if there
+    is no column of owners."""
+    owner = owner if owner in docs.columns else doc_id
     plain = docs.select(
         F.col(doc_id).alias("_doc"), F.coalesce(text, F.lit("")).alias("_text"),
         F.coalesce(F.col(owner).cast("string"), F.lit("")).alias("_owner_name"),
@@ -158,15 +160,16 @@ def redact(docs: DataFrame, mask: str = "[secret]", doc_id: str = "doc_id", text
            **options) -> DataFrame:
     """docs with the owner-specific values masked; widely copied examples stay. Rows and columns
     stay as they are; a null text stays null."""
+    d, g, spans = fresh("doc"), fresh("hash"), fresh("spans")
     found = find_secrets(docs, doc_id, text, **options).select(
-        F.col(doc_id).alias("_d"), F.col("text_hash").alias("_g"),
-        F.filter("spans", lambda s: s["live"]).alias("_spans"),
-    ).where(F.size("_spans") > 0).dropDuplicates(["_d", "_g"])
+        F.col(doc_id).alias(d), F.col("text_hash").alias(g),
+        F.filter("spans", lambda s: s["live"]).alias(spans),
+    ).where(F.size(spans) > 0).dropDuplicates([d, g])
     # one step per span, from the left: what is kept so far, and the place reached
-    body = F.col(text)
+    body = docs[text]
     state = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     masked = F.aggregate(
-        "_spans", state,
+        spans, state,
         lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
             F.concat(a["out"], F.when(s["start"] >= a["at"], F.concat(
                 body.substr(a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int")),
@@ -175,8 +178,7 @@ def redact(docs: DataFrame, mask: str = "[secret]", doc_id: str = "doc_id", text
         lambda a: F.concat(a["out"], body.substr(a["at"].cast("int") + 1, F.length(body))),
     )
     joined = docs.join(
-        found, docs[doc_id].eqNullSafe(found["_d"]) & (F.xxhash64(docs[text]) == found["_g"]),
-        "left")
+        found, docs[doc_id].eqNullSafe(found[d]) & (F.xxhash64(docs[text]) == found[g]), "left")
     return joined.select(*(
-        F.when(F.col("_spans").isNotNull(), masked).otherwise(docs[c]).alias(c)
+        F.when(F.col(spans).isNotNull(), masked).otherwise(docs[c]).alias(c)
         if c == text else docs[c] for c in docs.columns))
