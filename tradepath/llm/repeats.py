@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradepath.llm.common import group_starts, small_side, whole_groups, written
+from tradepath.llm.common import group_starts, whole_groups, written
 from tradepath.llm.symbols import mix
 
 SPAN = 200
@@ -303,7 +303,10 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, doc_id
     # 1. anchors that occur again
     one = F.col("kind") == 0
     again = runs.where(one).groupBy("anchor").agg(F.sum("n").alias("c")).where("c > 1")
-    left = written(runs.join(again.select("anchor"), "anchor", "left_semi"), "runs")
+    # written, as are the rims: adaptive execution splits the rows of a common anchor only if both
+    # sides of a join come straight from a shuffle
+    again = written(again.select("anchor"), "again")
+    left = written(runs.join(again, "anchor", "left_semi"), "runs")
     # 2. regions that occur again
     regions = left.where(one).groupBy("anchor", "region").agg(
         F.sum("n").alias("n"),
@@ -315,8 +318,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, group: int = GROUP, doc_id
     # 3. regions that occur once under an anchor with others
     rims = regions.groupBy(F.col("anchor").alias("a")).agg(
         F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1")
-    # few anchors: broadcast, so that the regions of a common one do not meet in a task
-    rims = small_side(written(rims.select("a", "kinds"), "rims"))
+    rims = written(rims.select("a", "kinds"), "rims")
     wanted = regions.join(rims, F.col("anchor") == F.col("a")).select(
         "w.doc", "w.h", F.struct(
             "anchor", "w.start", "w.windows", "w.offset",
