@@ -17,6 +17,8 @@ COLUMNS = {
     "op8": "doc_id class_id n_links",
     "op9": "doc_id piece start length ids_crc32 sequence_id offset",
     "op10": "doc_id held_out score predicted",
+    "op11": "doc_id size text_crc32 law shard slot grown_shard",
+    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
