@@ -36,11 +36,13 @@ def _kw(source):
         / (1 - tie / (n * n * n - n))''')} AS h, (SELECT count(*) - 1 FROM gs) AS dof FROM ties"""
 
 
-def _dunn(source):
+_Z = """abs(a.rs / a.n - b.rs / b.n) / sqrt((t.n * (t.n + 1) / 12 - t.tie / (12 * (t.n - 1)))
+        * (1.0 / a.n + 1.0 / b.n))"""
+
+
+def _dunn(source, z=r(_Z)):
     return _ranks(source) + f"""
-    SELECT a.g AS group_a, b.g AS group_b,
-      {r('''abs(a.rs / a.n - b.rs / b.n) / sqrt((t.n * (t.n + 1) / 12 - t.tie / (12 * (t.n - 1)))
-        * (1.0 / a.n + 1.0 / b.n))''')} AS z,
+    SELECT a.g AS group_a, b.g AS group_b, {z} AS z,
       (SELECT CAST(count(*) * (count(*) - 1) // 2 AS BIGINT) FROM gs) AS n_pairs
     FROM gs a JOIN gs b ON a.g < b.g CROSS JOIN ties t"""
 
@@ -114,8 +116,8 @@ _TAIL = """CASE WHEN z > 8 THEN 0 WHEN z <= 0 THEN 0.5 ELSE 0.5 - exp(-z * z / 2
 
 
 @register("h04_basket_pairs_probability", f"""
-    WITH p AS (SELECT *, least(2 * {_TAIL}, 1.0) AS tails FROM ({_dunn(_BASKET)}))
-    SELECT group_a, group_b, z, n_pairs, {r('tails')} AS p_raw,
+    WITH p AS (SELECT *, least(2 * {_TAIL}, 1.0) AS tails FROM ({_dunn(_BASKET, _Z)}))
+    SELECT group_a, group_b, {r('z')} AS z, n_pairs, {r('tails')} AS p_raw,
       {r('least(tails * n_pairs, 1.0)')} AS p_value FROM p""")
 def _(m):
     return tests.dunn_bonferroni(
