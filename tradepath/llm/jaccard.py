@@ -33,6 +33,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ from tradepath.llm.common import (
     written,
 )
 from tradepath.llm.components import components
-from tradepath.llm.symbols import word_shingles
+from tradepath.llm.symbols import packs, word_shingles
 
 WORDS_PER_SHINGLE = 5
 THRESHOLD = 0.8
@@ -59,7 +60,7 @@ HASHES = BANDS * ROWS
 STEP = 16
 TOLERANCE = 1e-6
 BLOCK = 256
-#: texts and pairs handled at once in a task
+#: sketches and pairs handled at once in a task
 _TEXTS = 256
 _PAIRS = 200_000
 
@@ -144,8 +145,9 @@ def jaccards(sets_a: list[np.ndarray], sets_b: list[np.ndarray], a: np.ndarray,
 def _sets(column, n: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     out = []
-    for at in range(0, len(column), _TEXTS):
-        hashes, of, size = word_shingles(column.slice(at, _TEXTS), n)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for at, to in packs(sizes):
+        hashes, of, size = word_shingles(column.slice(at, to - at), n)
         order = np.lexsort((hashes, of))
         hashes, of = hashes[order], of[order]
         new = np.ones(len(hashes), bool)

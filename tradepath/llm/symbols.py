@@ -29,6 +29,23 @@ def folded() -> np.ndarray:
     return np.where(points > 0, points % ((1 << SYMBOL_BITS) - 1) + 1, 0)
 
 
+def packs(sizes: np.ndarray, limit: int = 1 << 18):
+    """(begin, end) of stretches of texts of `limit` bytes or letters together, a longer text alone:
+    what a task holds in arrays at a time."""
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(ends):
+        base = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, base + limit, "right")))
+        yield at, end
+        at = end
+
+
+def text_sizes(texts) -> np.ndarray:
+    """The lengths of texts, which may be null."""
+    return np.fromiter((len(t) if t else 0 for t in texts), np.int64)
+
+
 def symbols(data: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols of texts that lie one behind the other in UTF-32, with a separator before and after
     each and runs of separators as one; and the number of the text of each symbol. ends: where

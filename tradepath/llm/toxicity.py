@@ -34,11 +34,12 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradepath.llm.common import cut, fold, fresh
-from tradepath.llm.symbols import SYMBOL_BITS, symbols
+from tradepath.llm.symbols import SYMBOL_BITS, packs, symbols, text_sizes
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -94,6 +95,10 @@ def _texts(texts) -> tuple[bytes, np.ndarray]:
     return b"".join(raw), np.cumsum([len(r) // 4 for r in raw], dtype=np.int64)
 
 
+def _sizes(column) -> np.ndarray:
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+
+
 class Model(NamedTuple):
     """Sorted keys and their log ratios, of n-grams and of contexts; and a table of those that are
     less frequent (columns as of log_ratios), if not all are in the arrays."""
@@ -125,10 +130,10 @@ def _count(batches):
     held, size = {0: [], 1: []}, 0
     for batch in batches:
         labels = batch.column(1).to_numpy(zero_copy_only=False)
-        for at in range(0, batch.num_rows, 256):
-            data, ends = _texts(batch.column(0).slice(at, 256).to_pylist())
+        for at, to in packs(_sizes(batch.column(0))):
+            data, ends = _texts(batch.column(0).slice(at, to - at).to_pylist())
             keys, of, _ = ngrams(data, ends)
-            toxic = labels[at:at + 256][of] == 1
+            toxic = labels[at:to][of] == 1
             for label in (0, 1):
                 one, n = np.unique(keys[toxic == label], return_counts=True)
                 held[label].append(np.repeat(one, n))
@@ -226,8 +231,8 @@ def _rare(docs: DataFrame, shared, text: str, rest: DataFrame) -> DataFrame:
     def run(batches):
         grams, contexts = shared.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, to in packs(_sizes(batch.column(1))):
+                part = batch.slice(at, to - at)
                 data, ends = _texts(part.column(1).to_pylist())
                 keys, of, word = ngrams(data, ends)
                 known = _looked_up(grams, keys)
@@ -279,8 +284,8 @@ def measured(docs: DataFrame, model: Model | DataFrame, column: str, text: str =
         grams, contexts = shared.value
         for batch in batches:
             totals, lengths, strong = [np.zeros(0)], [np.zeros(0, np.int64)], []
-            for at in range(0, len(batch), 256):
-                data, ends = _texts(batch.iloc[at:at + 256])
+            for at, to in packs(text_sizes(batch)):
+                data, ends = _texts(batch.iloc[at:to])
                 keys, of, word = ngrams(data, ends)
                 known = _looked_up(grams, keys)
                 left = np.isnan(known)
