@@ -23,6 +23,8 @@ from tradepath.sources.workspace import materialise
 
 def _ready(spark: SparkSession) -> None:
     tune(spark)
+    # the stages share their executors' Python workers, which keep what their largest batch took
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.sparkContext.environment.setdefault(
         "PYTHONPATH", os.path.dirname(os.path.abspath(__file__)))
 
