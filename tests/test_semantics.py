@@ -1,6 +1,7 @@
 """Rules whose exact reading changes answers."""
 
 import os
+import random
 import subprocess
 import sys
 
@@ -221,6 +222,36 @@ def test_history_keeps_changes_only(spark):
     ]
 
 
+def test_history_takes_the_feed_once_where_no_value_comes_back(spark):
+    rows = [(k, "ab"[d > 5], f"2020-01-{d:02d}") for k in range(20) for d in range(1, 11)]
+    out = scd.history(feed(spark, rows), ["k"], ["a"], "t")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 40 and out.where(scd.CURRENT).count() == 20
+
+
+def test_history_of_values_that_come_back(spark):
+    rng = random.Random(5)
+    rows = [(k, rng.choice(["x", "y", None]), f"2020-01-{rng.randint(1, 9):02d} 0{rng.randint(0, 3)}:00:00")
+            for k in range(30) for _ in range(rng.randint(1, 12))]
+    rows += [(100, "x", "2020-01-01"), (100, "y", "2020-01-02"), (None, "x", "2020-01-01")]
+    want = []
+    for k in {r[0] for r in rows} - {None}:
+        at = {}
+        for _, a, t in (r for r in rows if r[0] == k):
+            at[t] = max(at.get(t, (False, "")), (a is not None, a or ""))
+        changes = []
+        for t in sorted(at):
+            if not changes or changes[-1][1] != at[t]:
+                changes.append((t, at[t]))
+        starts = ["1900-01-01"] + [t for t, _ in changes[1:]]
+        for (_, v), s, e in zip(changes, starts, starts[1:] + [None]):
+            want.append((k, v[1] if v[0] else None, s[:10], e and e[:13], e is None))
+    got = [(r["k"], r["a"], str(r[scd.START])[:10], r[scd.END] and str(r[scd.END])[:13], r[scd.CURRENT])
+           for r in scd.history(feed(spark, rows), ["k"], ["a"], "t").collect()]
+    want = [(k, a, s, e and (e + " 00")[:13], c) for k, a, s, e, c in want]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_history_merge_and_lookup(spark):
     dim = scd.history(feed(spark, [(1, "x", "2020-01-01"), (2, "q", "2020-01-01")]), ["k"], ["a"], "t")
     updates = feed(spark, [(1, "y", "2020-06-01"), (2, "q", "2020-06-01"), (3, "n", "2020-06-01")])

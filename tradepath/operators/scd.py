@@ -1,6 +1,7 @@
 """Versioned dimensions: histories from change feeds, incremental merge, point-in-time joins."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,13 +65,59 @@ def history(
 ) -> DataFrame:
     """Versions of each key: a row per change of the attributes, with its validity.
 
+    Of observations at the same instant the highest attribute values count. `from_beginning` lets
+    the first version of a key reach back before its first observation.
+
+    Observations are combined before the shuffle, to one span (first and last instant) per key and
+    attribute values. Where no two spans of a key touch, each is a version. These spans are
+    written in the shared folder, and only the keys whose spans touch, because values come back
+    or instants repeat or have none, are taken from the feed again, day by day.
+    """
+    key = list(key)
+    spans = feed.groupBy(*key, *attributes).agg(
+        F.min(at).alias("_at"), F.max(at).alias("_until"),
+        F.count_if(F.col(at).isNull()).alias("_timeless"))
+    order = Window.partitionBy(*key).orderBy("_at")
+    touches = (F.col("_timeless") > 0) | (F.col("_at") <= F.lag("_until").over(order))
+    # the day by day join meets no null key either
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    spans = materialise(_with_validity(
+        spans.where(known).withColumn("_touches", F.coalesce(touches, F.lit(False))),
+        key, from_beginning, ["_touches"], attributes), "spans")
+    tangled = spans.where("_touches").select(*key)
+    plain = spans.drop("_touches")
+    if tangled.isEmpty():
+        return plain
+    tangled = tangled.distinct()
+    by_day = _by_day(feed.join(tangled, key, "left_semi"), key, attributes, at)
+    return plain.join(tangled, key, "left_anti").unionByName(
+        _with_validity(by_day, key, from_beginning, [], attributes))
+
+
+def _with_validity(
+    changes: DataFrame, key: Sequence[str], from_beginning: bool, also: Sequence[str],
+    attributes: Sequence[str],
+) -> DataFrame:
+    """Rows of key, attributes and _at, each valid until the next of its key."""
+    order = Window.partitionBy(*key).orderBy("_at")
+    start = F.col("_at")
+    if from_beginning:
+        first = F.lag("_at").over(order).isNull()
+        start = F.when(first, F.lit(BEGINNING).cast(changes.schema["_at"].dataType)).otherwise(start)
+    return changes.select(
+        *key, *attributes, start.alias(START), F.lead("_at").over(order).alias(END), *also,
+    ).withColumn(CURRENT, F.col(END).isNull())
+
+
+def _by_day(
+    feed: DataFrame, key: Sequence[str], attributes: Sequence[str], at: str
+) -> DataFrame:
+    """The observations that change a key's attributes.
+
     A key with very many observations is not sorted in one task: changes are found day by
     day, and the last observation of each earlier day is carried to the next one. Only the
-    versions themselves, few per key, are ordered together. Of observations at the same
-    instant the highest attribute values count. `from_beginning` lets the first version of
-    a key reach back before its first observation.
+    versions themselves, few per key, are ordered together.
     """
-    key = list(key)
     seen = (
         feed.groupBy(*key, F.col(at).alias("_at"))
         .agg(F.max(F.struct(*attributes)).alias("_v"))
@@ -84,15 +131,7 @@ def history(
     inside = F.lag("_v").over(Window.partitionBy(*key, "_day").orderBy("_at"))
     before = seen.withColumn("_inside", inside).join(carried, [*key, "_day"])
     changed = before.where(~F.col("_v").eqNullSafe(F.coalesce("_inside", "_carried")))
-    order = Window.partitionBy(*key).orderBy("_at")
-    first = F.lag("_at").over(order).isNull()
-    start = F.col("_at")
-    if from_beginning:
-        start = F.when(first, F.lit(BEGINNING).cast(feed.schema[at].dataType)).otherwise(start)
-    return changed.select(
-        *key, *[F.col(f"_v.{a}").alias(a) for a in attributes],
-        start.alias(START), F.lead("_at").over(order).alias(END),
-    ).withColumn(CURRENT, F.col(END).isNull())
+    return changed.select(*key, *[F.col(f"_v.{a}").alias(a) for a in attributes], "_at")
 
 
 def merge(
