@@ -13,6 +13,7 @@ from tradepath.contracts import CONTRACTS
 from tradepath.functions import labels, temporal
 from tradepath.operators import cleaning, profile, scd, terms
 from tradepath.plans import kpis, silver, stages
+from tradepath.registry.warehouse import _member
 from tradepath.sources import bronze, csv, kafka, workspace
 
 
@@ -252,6 +253,28 @@ def test_history_of_values_that_come_back(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
 
 
+def test_rows_of_the_unknown_member_are_dealt(spark):
+    dim = spark.createDataFrame([(-1, None, "1900-01-01"), (7, 70, "2020-01-01")],
+                                f"CustomerKey long, CustomerId long, {scd.START} string")
+    fact = spark.range(2000).select(F.col("id").alias("OrderId"), F.when(
+        F.col("id") % 10 == 0, 7).otherwise(-1).cast("long").alias("CustomerKey"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = _member(fact, dim, "Customer")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        rows = out.select("OrderId", "CustomerId", "CustomerFrom").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 4 and max(sizes) < 1000
+    assert sorted(tuple(r) for r in rows if r["CustomerId"]) == [
+        (i, 70, "2020-01-01") for i in range(0, 2000, 10)]
+    assert len(rows) == 2000 and sum(r["CustomerFrom"] is None for r in rows) == 1800
+
+
 def test_history_merge_and_lookup(spark):
     dim = scd.history(feed(spark, [(1, "x", "2020-01-01"), (2, "q", "2020-01-01")]), ["k"], ["a"], "t")
     updates = feed(spark, [(1, "y", "2020-06-01"), (2, "q", "2020-06-01"), (3, "n", "2020-06-01")])

@@ -254,11 +254,21 @@ def _sales_sql(orders):
     {_as_of_sql('m_seller_versions', 's', 'i.seller_id', 'seller_id')}"""
 
 
+#: Parts over which the rows of the unknown member are dealt, so that no task gets all of them.
+_DEALS = 1024
+
+
 def _member(fact, dim, name):
-    """Business key and version start of a fact's member; nothing for the unknown one."""
-    known = dim.where(F.col(f"{name}Key") != scd.UNKNOWN_KEY).select(
-        f"{name}Key", f"{name}Id", F.col(scd.START).alias(f"{name}From"))
-    return fact.join(known, f"{name}Key", "left")
+    """Business key and version start of a fact's member; nothing for the unknown one, whose rows
+    are dealt by order over parts that no row of the dimension lies in."""
+    key = f"{name}Key"
+    unknown = F.col(key) == scd.UNKNOWN_KEY
+    part = F.when(unknown, F.pmod(F.xxhash64("OrderId"), F.lit(_DEALS))).otherwise(F.lit(-1))
+    known = dim.select(
+        key, f"{name}Id", F.col(scd.START).alias(f"{name}From"),
+        F.when(unknown, F.lit(-2)).otherwise(F.lit(-1)).cast("long").alias("_part"))
+    return fact.withColumn("_part", part.cast("long")).join(known, [key, "_part"], "left").drop(
+        "_part")
 
 
 def _sales(w):
