@@ -275,6 +275,16 @@ def test_rows_of_the_unknown_member_are_dealt(spark):
     assert len(rows) == 2000 and sum(r["CustomerFrom"] is None for r in rows) == 1800
 
 
+def test_csv_files_of_bounded_size(spark, tmp_path):
+    df = spark.range(3000).select("id", F.expr(
+        "CASE WHEN id % 3 > 0 THEN concat(id, '\\n\"q\", ', repeat('x', 80)) END").alias("t")).coalesce(1)
+    csv.write_csv(df, f"{tmp_path}/t", 20_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "t").glob("*.csv")]
+    assert len(sizes) > 10 and max(sizes) <= 20_000 + len("id,t\n")
+    back = csv.read_csv(spark, f"{tmp_path}/t", df.schema, multi_line=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_history_merge_and_lookup(spark):
     dim = scd.history(feed(spark, [(1, "x", "2020-01-01"), (2, "q", "2020-01-01")]), ["k"], ["a"], "t")
     updates = feed(spark, [(1, "y", "2020-06-01"), (2, "q", "2020-06-01"), (3, "n", "2020-06-01")])

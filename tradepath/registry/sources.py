@@ -16,9 +16,13 @@ _ORDERS = ["order_id long", "customer_id long", "order_status string",
            *[f"{c} string" for c in CONTRACTS["orders"].schema.names[3:]]]
 
 
-def _written(m, df, label):
+#: Of a file that one task reads whole, as its text has line breaks.
+_FILE_BYTES = 512 << 20
+
+
+def _written(m, df, label, file_bytes=None):
     path = fresh_path(m.spark, label)
-    csv.write_csv(df, path)
+    csv.write_csv(df, path, file_bytes)
     return path
 
 
@@ -34,7 +38,8 @@ def _order_text(m):
       md5(review_comment_message) AS digest FROM m_reviews_text""")
 def _(m):
     reviews = m.reviews_with_text.drop("review_creation_date")
-    back = csv.read_csv(m.spark, _written(m, reviews, "reviews-csv"), _REVIEWS, multi_line=True)
+    path = _written(m, reviews, "reviews-csv", _FILE_BYTES)
+    back = csv.read_csv(m.spark, path, _REVIEWS, multi_line=True)
     return back.select("review_id", "order_id", "review_score",
                        F.length("review_comment_message").cast("long").alias("n_chars"),
                        F.md5("review_comment_message").alias("digest"))

@@ -13,8 +13,9 @@ from tradepath.sources.kafka import encode
 def read_csv(spark: SparkSession, path: str, schema, multi_line: bool = False) -> DataFrame:
     """CSV with a header and a declared schema; a missing path is an error.
 
-    Line breaks inside quoted text need `multi_line`, which reads each file in one task.
-    Leave it off for tables without free text, so that files split.
+    Line breaks inside quoted text need `multi_line`, which reads each file in one task: such
+    files should be bounded, as `write_csv` does. Leave it off for tables without free text, so
+    that files split.
     """
     return (
         spark.read.schema(schema)
@@ -27,8 +28,19 @@ def read_csv(spark: SparkSession, path: str, schema, multi_line: bool = False) -
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, file_bytes: int | None = None) -> None:
+    """CSV with a header. No file gets more than `file_bytes` of rows, if that is given, or one row:
+    the longest row is measured first, and each file holds as many rows as fit if all were as long.
+    """
+    out = df.write.option("header", True).option("quote", '"').option("escape", '"')
+    if file_bytes is not None:
+        # a value, its doubled quotes, the quotes around it and the separator
+        row = sum((F.coalesce(F.octet_length(F.replace(
+            F.col(f"`{c}`").cast("string"), F.lit('"'), F.lit('""'))), F.lit(0)).cast("long") + 3
+            for c in df.columns), F.lit(0))
+        longest = df.agg(F.max(row)).first()[0] or 1
+        out = out.option("maxRecordsPerFile", max(1, file_bytes // longest))
+    out.csv(path)
 
 
 def row_count(df: DataFrame) -> DataFrame:
