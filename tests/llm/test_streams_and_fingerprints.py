@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,3 +215,13 @@ def test_ranges_are_of_bounded_size(spark):
     sizes = fingerprints.with_next(docs, "doc_id", "text", 1000).where("last = 0").groupBy(
         "part").agg(F.sum(F.octet_length("text")).alias("n")).collect()
     assert len(sizes) > 10 and max(r["n"] for r in sizes) < 1300
+
+
+def test_texts_are_held_in_pieces_of_bounded_bytes():
+    texts = [None, "", "ab" * 150_000, *["x" * 2000] * 700, *["y"] * 1200]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    found = [p.column(0).to_pylist() for p in fingerprints.pieces(batch, 0)]
+    assert [t for p in found for t in p] == texts
+    for piece in found:
+        assert len(piece) <= 512
+        assert len(piece) == 1 or sum(len(t or "") for t in piece) <= 1 << 18

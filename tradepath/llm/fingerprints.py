@@ -32,12 +32,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradepath.llm.common import cut
-from tradepath.llm.symbols import mix
+from tradepath.llm.symbols import mix, packs
 
 WINDOW = 8
 LEVELS = 1000
@@ -52,6 +53,8 @@ PART_BYTES = 4 << 20
 PARTS = 50_000
 _CHUNK = 1 << 18
 _TEXTS = 512
+#: Rows of an Arrow batch: an executor holds several batches of each of its tasks, in Java and Python
+_BATCH_ROWS = 500
 
 
 @lru_cache(maxsize=1)
@@ -191,14 +194,23 @@ def likeness(a, b) -> float:
     return float((found * na).sum() / na.sum())
 
 
+def pieces(batch: pa.RecordBatch, text: int):
+    """The batch in slices of at most _TEXTS rows and _CHUNK bytes of text, a longer text alone: what
+    a task holds as strings and levels at a time."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    for begin, end in packs(sizes, _CHUNK):
+        for at in range(begin, end, _TEXTS):
+            yield batch.slice(at, min(_TEXTS, end - at))
+
+
 def level_ranks(docs: DataFrame, text: str = "text") -> np.ndarray:
     """The rank of each level by its frequency in all texts; the rarest has rank 0, ties go to the
     higher entropy."""
     def run(batches):
         total = np.zeros(LEVELS + 1, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS):
-                texts = [(t or "").encode() for t in batch.column(0).slice(at, _TEXTS).to_pylist()]
+            for piece in pieces(batch, 0):
+                texts = [(t or "").encode() for t in piece.column(0).to_pylist()]
                 total += np.bincount(np.concatenate(levels_of(texts)), minlength=LEVELS + 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(LEVELS + 1)), pa.array(total)], names=["level", "n"])
@@ -269,6 +281,7 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
                       part_bytes: int = PART_BYTES) -> DataFrame:
     """Rows doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next;
     the edited text has its last half replaced by the beginning of the next document."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
     shared = docs.sparkSession.sparkContext.broadcast(level_ranks(docs, text))
     schema = T.StructType([
         T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("n_chars", T.LongType()),
@@ -280,8 +293,8 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         ranks, held = shared.value, None
         for whole in batches:
             kind = whole.schema.field(2).type
-            for at in range(0, whole.num_rows, _TEXTS):
-                out, held = step(whole.slice(at, _TEXTS), ranks, held)
+            for piece in pieces(whole, 4):
+                out, held = step(piece, ranks, held)
                 kinds = [kind, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(out, kinds)], names=schema.names)
