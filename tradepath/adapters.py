@@ -273,8 +273,10 @@ class Marketplace:
 
     @cached_property
     def product_changes(self) -> DataFrame:
-        """A product as of each shipping limit; its weight is corrected every third year."""
-        return self.items.join(self.products, "product_id").select(
+        """A product as of each shipping limit; its weight is corrected every third year. Items go to
+        their product while they are short: after a broadcast each would carry all attributes into
+        the shuffle of the history."""
+        return self.items.join(self.products.hint("merge"), "product_id").select(
             "product_id", "product_category_name", "product_name_lenght",
             "product_description_lenght", "product_photos_qty",
             F.expr("product_weight_g + 50 * ((year(shipping_limit_date) - 1995) DIV 3)")

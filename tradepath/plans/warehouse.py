@@ -267,9 +267,28 @@ class Warehouse:
     # facts
 
     def _orders(self) -> DataFrame:
-        """Orders with the customer version valid at purchase."""
+        """Orders with the customer version valid at purchase. The keys of the later dates, which are
+        short, and the durations are taken before the joins, so that these need not carry the dates."""
+        def days(end, start):
+            return floor_days_between(end, start).cast("int")
+
+        dated = self.orders.withColumns({
+            "OrderApprovedDateKey": date_key("order_approved_at"),
+            "CarrierDeliveredDateKey": date_key("order_delivered_carrier_date"),
+            "CustomerDeliveredDateKey": date_key("order_delivered_customer_date"),
+            "EstimatedDeliveryDateKey": date_key("order_estimated_delivery_date"),
+            "DaysToCarrier": days("order_delivered_carrier_date", "order_purchase_timestamp"),
+            "DaysToCustomer": days("order_delivered_customer_date", "order_purchase_timestamp"),
+            "EstimatedDeliveryDays": days(
+                "order_estimated_delivery_date", "order_purchase_timestamp"),
+            "DeliveryDelayDays": days(
+                "order_delivered_customer_date", "order_estimated_delivery_date"),
+            "IsDelivered": F.col("order_delivered_customer_date").isNotNull(),
+            "IsLateDelivery": F.col("order_delivered_customer_date")
+            > F.col("order_estimated_delivery_date"),
+        })
         return as_of(
-            self.orders, self.customers, {"customer_id": "CustomerId"},
+            dated, self.customers, {"customer_id": "CustomerId"},
             "order_purchase_timestamp",
             {"CustomerKey": "CustomerKey", "CustomerZipCodePrefix": "_zip"},
         )
@@ -278,7 +297,7 @@ class Warehouse:
         """One row per order item; items of an unknown order point to the unknown members."""
         orders = self._orders().select(
             "order_id", "CustomerKey", "order_status", "order_purchase_timestamp",
-            "order_approved_at",
+            "OrderApprovedDateKey",
         )
         rows = self.m.items.join(orders, "order_id", "left")
         rows = as_of(rows, self.products, {"product_id": "ProductId"},
@@ -293,7 +312,7 @@ class Warehouse:
             F.col("order_item_id").alias("OrderItemId"),
             _known("CustomerKey"), _known("ProductKey"), _known("SellerKey"),
             _known(date_key("order_purchase_timestamp")).alias("OrderPurchaseDateKey"),
-            date_key("order_approved_at").alias("OrderApprovedDateKey"),
+            "OrderApprovedDateKey",
             F.coalesce("order_status", F.lit("unknown")).alias("OrderStatus"),
             quantity.alias("Quantity"),
             price.alias("ItemPriceAmount"),
@@ -327,32 +346,17 @@ class Warehouse:
         """One row per order."""
         rows = as_of(self._orders(), self.geography, {"_zip": "ZipCodePrefix"},
                      "order_purchase_timestamp", {"GeographyKey": "CustomerGeographyKey"})
-
-        def days(end, start):
-            return floor_days_between(end, start).cast("int")
-
-        delivered = F.col("order_delivered_customer_date").isNotNull()
         return rows.select(
             wide_key("order_id").alias("DeliveryKey"),
             F.col("order_id").alias("OrderId"),
             _known("CustomerKey"),
             "CustomerGeographyKey",
             _known(date_key("order_purchase_timestamp")).alias("OrderPurchaseDateKey"),
-            date_key("order_approved_at").alias("OrderApprovedDateKey"),
-            date_key("order_delivered_carrier_date").alias("CarrierDeliveredDateKey"),
-            date_key("order_delivered_customer_date").alias("CustomerDeliveredDateKey"),
-            date_key("order_estimated_delivery_date").alias("EstimatedDeliveryDateKey"),
+            "OrderApprovedDateKey", "CarrierDeliveredDateKey", "CustomerDeliveredDateKey",
+            "EstimatedDeliveryDateKey",
             F.col("order_status").alias("OrderStatus"),
-            days("order_delivered_carrier_date", "order_purchase_timestamp").alias("DaysToCarrier"),
-            days("order_delivered_customer_date", "order_purchase_timestamp")
-            .alias("DaysToCustomer"),
-            days("order_estimated_delivery_date", "order_purchase_timestamp")
-            .alias("EstimatedDeliveryDays"),
-            days("order_delivered_customer_date", "order_estimated_delivery_date")
-            .alias("DeliveryDelayDays"),
-            delivered.alias("IsDelivered"),
-            (F.col("order_delivered_customer_date") > F.col("order_estimated_delivery_date"))
-            .alias("IsLateDelivery"),
+            "DaysToCarrier", "DaysToCustomer", "EstimatedDeliveryDays", "DeliveryDelayDays",
+            "IsDelivered", "IsLateDelivery",
             *_stamps(),
         )
 
